@@ -105,7 +105,7 @@ def conditional_value(spark, sf_dir):
 
 
 @query(with_(ODS, """
-SELECT 'user' AS kind, user_id AS id, arg_min(country, event_ts * 1000000000 + event_id) AS country FROM ods GROUP BY user_id
+SELECT 'user' AS kind, user_id AS id, first(country ORDER BY event_ts, event_id) AS country FROM ods GROUP BY user_id
 UNION ALL SELECT DISTINCT 'item', item_id, NULL FROM ods"""))
 def distinct_keys(spark, sf_dir):
     ods = views.ods_events(spark, sf_dir)

@@ -14,7 +14,8 @@ def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column])
     ``row_number() = 1`` becomes a WindowGroupLimit below the shuffle: a task sends at most
     one row per key, so a key with very many copies does not fill one partition.
     """
-    ties = [F.col(c) for c in df.columns if c not in keys and c not in order_by]
+    named = {c for c in order_by if isinstance(c, str)} | set(keys)
+    ties = [F.col(c) for c in df.columns if c not in named]
     w = Window.partitionBy(*keys).orderBy(*order_by, *ties)
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
