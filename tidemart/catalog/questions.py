@@ -8,7 +8,7 @@ from tidemart.catalog.registry import query
 from tidemart.catalog.sql import ADS, DIMS, DWD, DWS, ODS, TODAY, with_
 from tidemart.catalog.warehouse import ads, dwd, dws
 from tidemart.operators import checks
-from tidemart.operators.joins import salted_join
+from tidemart.operators.joins import attach, spread_join
 from tidemart.operators.retrieval import split_sections, topk_by_overlap
 from tidemart.plans import analytics as ask
 from tidemart.plans import warehouse as plan
@@ -108,7 +108,7 @@ def channel_gmv_share(spark, sf_dir):
 SELECT u.is_active, ROUND(SUM(d.pay_amount), 2) AS gmv, CAST(SUM(d.session_cnt) AS BIGINT) AS sessions
 FROM dws d JOIN dim_user u ON d.user_id = u.user_id GROUP BY u.is_active"""))
 def summary_dim_join(spark, sf_dir):
-    joined = ask.attach(dws(spark, sf_dir), views.dim_user(spark, sf_dir).select("user_id", "is_active"), "user_id", "inner")
+    joined = attach(dws(spark, sf_dir), views.dim_user(spark, sf_dir).select("user_id", "is_active"), "user_id", "inner")
     return joined.groupBy("is_active").agg(
         F.round(F.sum("pay_amount"), 2).alias("gmv"), F.sum("session_cnt").alias("sessions")
     )
@@ -155,10 +155,7 @@ def inner_star_join_agg(spark, sf_dir):
 @query(with_(DWD, _STAR))
 def smj_star_join(spark, sf_dir):
     """The star join without a broadcast of the dimensions: sort-merge joins, hot keys spread."""
-    def merge_join(fact, dim, key, how):
-        return salted_join(fact, dim, key, how, hint="merge")
-
-    out = ask.star_join(dwd(spark, sf_dir), views.dim_user(spark, sf_dir), views.dim_item(spark, sf_dir), merge_join)
+    out = ask.star_join(dwd(spark, sf_dir), views.dim_user(spark, sf_dir), views.dim_item(spark, sf_dir), spread_join)
     return out.withColumn("gmv", F.round("gmv", 2))
 
 

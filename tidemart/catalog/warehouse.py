@@ -29,6 +29,13 @@ def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.build_ads(dwd(spark, sf_dir))
 
 
+def stored_layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return plan.run_layers(
+        spark, views.raw_events(spark, sf_dir), views.dim_user(spark, sf_dir), views.dim_item(spark, sf_dir),
+        scratch_dir(spark, "layers"),
+    )
+
+
 def _cents(df: DataFrame, *columns: str) -> DataFrame:
     """Sums of doubles depend on their order in the last bits."""
     return df.withColumns({c: F.round(c, 2) for c in columns})
@@ -59,11 +66,7 @@ def build_ads_funnel(spark, sf_dir):
 @query(with_(ADS, "SELECT * REPLACE (ROUND(gmv, 2) AS gmv) FROM ads"))
 def stored_layers_funnel(spark, sf_dir):
     """The funnel read from stored layers: every layer is written and the next reads it."""
-    layers = plan.run_layers(
-        spark, views.raw_events(spark, sf_dir), views.dim_user(spark, sf_dir), views.dim_item(spark, sf_dir),
-        scratch_dir(spark, "layers"),
-    )
-    return _cents(layers["ads_funnel_daily"], "gmv")
+    return _cents(stored_layers(spark, sf_dir)["ads_funnel_daily"], "gmv")
 
 
 @query(with_(ADS, """
@@ -167,12 +170,8 @@ UNION ALL SELECT 'ads_funnel_daily', COUNT(*) FROM (SELECT DISTINCT dt, country,
 
 @query(with_(DWD, _LAYER_COUNTS))
 def layer_row_counts(spark, sf_dir):
-    return checks.row_counts({
-        "ods_events": views.ods_events(spark, sf_dir),
-        "dwd_user_action": dwd(spark, sf_dir),
-        "dws_user_daily": dws(spark, sf_dir),
-        "ads_funnel_daily": ads(spark, sf_dir),
-    })
+    """Counts of the stored tables, from their file footers."""
+    return checks.row_counts(stored_layers(spark, sf_dir))
 
 
 @query(with_(ADS, "SELECT 'ads_funnel_daily' AS layer, COUNT(*) AS row_cnt FROM ads"))

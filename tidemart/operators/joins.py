@@ -39,16 +39,34 @@ def attach(
     key: str | Sequence[str],
     how: str = "left",
     limit: int | None = None,
-    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``dim`` (unique on ``key``) to ``fact``; ``how`` is ``left`` or ``inner``.
 
     A dimension within the size limit is broadcast, and the fact is not moved at all. A
-    larger one is joined by a shuffle in which hot keys are spread (``salted_join``).
+    larger one takes ``spread_join``.
     """
     if is_small(dim, limit):
         return fact.join(F.broadcast(dim), key, how)
-    return salted_join(fact, dim, key, how, hot=hot)
+    return spread_join(fact, dim, key, how)
+
+
+def spread_join(
+    fact: DataFrame, dim: DataFrame, key: str | Sequence[str], how: str = "left", hint: str = "merge"
+) -> DataFrame:
+    """Shuffle join that does not leave a hot key (or a NULL key) to one task.
+
+    Adaptive execution splits an oversized partition of the fact by its map outputs, even
+    when a single key fills it, and needs no look at the data beforehand. In a session
+    that has it switched off, hot keys are counted and salted instead.
+    """
+    conf = fact.sparkSession.conf
+    adaptive = all(
+        conf.get(name).lower() == "true"
+        for name in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    )
+    if adaptive:
+        return fact.join(dim.hint(hint), key, how)
+    return salted_join(fact, dim, key, how, hint=hint)
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
@@ -66,19 +84,17 @@ def salted_join(
     share: float = HOT_SHARE,
     salts: int = SALTS,
     hint: str | None = None,
-    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffle join in which every hot key is split over ``salts`` partitions.
 
     The rows of ``dim`` for hot keys are copied once per salt; all other rows travel once.
     The salt is a hash of the fact row, so a task that runs again puts its rows in the
-    same place. Only the hot keys, whose number is bounded by ``1 / share``, are broadcast;
-    a caller that has counted the keys already can pass them as ``hot``.
+    same place. Only the hot keys, whose number is bounded by ``1 / share``, are broadcast.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be left or inner, not {how!r}")
     keys = [key] if isinstance(key, str) else list(key)
-    hot = hot_keys(fact, keys, share) if hot is None else hot
+    hot = hot_keys(fact, keys, share)
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salts)).cast("int")
     salted_fact = _flag_hot(fact, hot, keys).withColumn(
         "_salt", F.when(F.col("_hot"), spread).otherwise(0)

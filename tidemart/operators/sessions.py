@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.functions import bucket_of
-from tidemart.operators.joins import HOT_SHARE, attach
+from tidemart.operators.joins import attach
 
 
 def session_slices(df: DataFrame, user: str, ts: str, gap_seconds: int) -> DataFrame:
@@ -41,12 +41,9 @@ def sessionize(df: DataFrame, user: str, ts: str, gap_seconds: int = 1800, limit
     """Adds ``session_no``: 1, 2, ... per user. A new session starts when the user was
     silent for ``gap_seconds`` or longer."""
     slices = session_slices(df, user, ts, gap_seconds)
-    total = slices.agg(F.sum("_events"))
-    hot = slices.where(F.col("_events") >= total.scalar() * F.lit(HOT_SHARE)).select(user, "_slice")
     return attach(
         df.withColumn("_slice", bucket_of(ts, gap_seconds)),
-        slices.select(user, "_slice", "session_no"),
-        [user, "_slice"], "left", limit, hot,
+        slices.select(user, "_slice", "session_no"), [user, "_slice"], "left", limit,
     ).drop("_slice")
 
 
@@ -104,7 +101,8 @@ def classify_late(
     closers = df.groupBy(
         partition, F.floor((micros - delay_seconds * 1_000_000) / size).cast("long").alias("_end")
     ).agg(F.min(position).alias("_closer"))
-    ends = rows.groupBy(partition, "_end").agg(F.min(F.when(F.lit(False), position)).alias("_closer"))
+    nobody = F.lit(None).cast(closers.schema["_closer"].dataType)
+    ends = rows.select(partition, "_end").distinct().withColumn("_closer", nobody)
     w = Window.partitionBy(partition).orderBy(F.desc("_end")).rowsBetween(Window.unboundedPreceding, 0)
     closed_by = (
         closers.unionByName(ends)

@@ -99,17 +99,15 @@ def shrunken_countries(ads: DataFrame, as_of: dt.date, below: float = 90.0) -> D
     return by_country.where(share < below).select("country").orderBy("country")
 
 
-def star_join(
-    dwd: DataFrame, dim_user: DataFrame, dim_item: DataFrame, joiner=attach
-) -> DataFrame:
+def star_join(dwd: DataFrame, dim_user: DataFrame, dim_item: DataFrame, joiner=attach) -> DataFrame:
     """GMV and users by event country, age group and brand; facts without dimensions drop out.
 
-    The fact is reduced to one row per country, user and item before the joins, which also
-    takes the weight off hot users when the joins have to shuffle.
+    ``joiner`` is ``attach`` (broadcast where the size allows) or ``spread_join`` (always a
+    shuffle).
     """
+    fact = dwd.select("country", "user_id", "item_id", "amount")
     users = dim_user.select("user_id", "age_group")
     items = dim_item.select("item_id", "brand")
-    fact = dwd.groupBy("country", "user_id", "item_id").agg(F.sum("amount").alias("amount"))
     joined = joiner(joiner(fact, users, "user_id", "inner"), items, "item_id", "inner")
     return sum_and_users(joined, ["country", "age_group", "brand"], "amount", "user_id", ("gmv", "uv"))
 

@@ -3,7 +3,7 @@ ADS (funnel). Every layer is a pure function of DataFrames; ``run_layers`` store
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions import event_day, pct, value_when, zero_if_null
@@ -41,32 +41,20 @@ def build_dwd(ods: DataFrame, dim_user: DataFrame, dim_item: DataFrame, limit: i
 def build_dws(dwd: DataFrame) -> DataFrame:
     """One row per user, day and country of the event.
 
-    Sessions are counted as rows of a first grouping by session, so that a very busy user
-    is reduced inside each task and then spread by session.
+    The one distinct count makes Spark group by session first, map side included, so a very
+    busy user is reduced inside each task and then spread by session.
     """
-    keys = ["user_id", "dt", "country"]
-    per_session = dwd.groupBy(*keys, "session_id").agg(
-        *[F.sum(value_when("action_type", s, F.lit(1), 0)).alias(f"{s}_cnt") for s in STEPS],
-        F.sum("amount").alias("_amount"),
-    )
-    return per_session.groupBy(*keys).agg(
-        *[F.sum(f"{s}_cnt").alias(f"{s}_cnt") for s in STEPS],
-        zero_if_null(F.sum("_amount")).alias("pay_amount"),
-        F.count("session_id").alias("session_cnt"),
-    )
+    return _daily_counts(dwd, ["user_id", "dt", "country"], F.countDistinct("session_id").alias("session_cnt"))
 
 
 def build_item_daily(dwd: DataFrame) -> DataFrame:
     """One row per item and day with the same counters as the user table."""
-    per_user = dwd.groupBy("item_id", "dt", "user_id").agg(
-        *[F.sum(value_when("action_type", s, F.lit(1), 0)).alias(f"{s}_cnt") for s in STEPS],
-        F.sum("amount").alias("_amount"),
-    )
-    return per_user.groupBy("item_id", "dt").agg(
-        *[F.sum(f"{s}_cnt").alias(f"{s}_cnt") for s in STEPS],
-        zero_if_null(F.sum("_amount")).alias("pay_amount"),
-        F.count("user_id").alias("user_cnt"),
-    )
+    return _daily_counts(dwd, ["item_id", "dt"], F.countDistinct("user_id").alias("user_cnt"))
+
+
+def _daily_counts(dwd: DataFrame, keys: list[str], distinct: Column) -> DataFrame:
+    steps = [F.sum(value_when("action_type", s, F.lit(1), 0)).alias(f"{s}_cnt") for s in STEPS]
+    return dwd.groupBy(*keys).agg(*steps, zero_if_null(F.sum("amount")).alias("pay_amount"), distinct)
 
 
 def build_ads(dwd: DataFrame, two_step: bool = True) -> DataFrame:
@@ -98,12 +86,12 @@ def run_layers(
     Each layer is read back from its table, so DWS and ADS share one stored DWD. Running
     it again with the same ``out`` replaces the tables.
     """
-    def store(df: DataFrame, name: str) -> DataFrame:
-        formats.append_partitioned(df, f"{out}/{name}", mode="overwrite")
+    def store(df: DataFrame, name: str, sort_by: str | None = None) -> DataFrame:
+        formats.append_partitioned(df, f"{out}/{name}", mode="overwrite", sort_by=sort_by)
         return spark.read.schema(df.schema).parquet(f"{out}/{name}").select(*df.columns)
 
-    ods = store(build_ods(raw), "ods_events")
-    dwd = store(build_dwd(ods, dim_user, dim_item), "dwd_user_action")
+    ods = store(build_ods(raw), "ods_events", "event_id")
+    dwd = store(build_dwd(ods, dim_user, dim_item), "dwd_user_action", "event_id")
     return {
         "ods_events": ods,
         "dwd_user_action": dwd,
