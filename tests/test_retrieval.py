@@ -35,7 +35,7 @@ def test_sections_without_a_common_word_rank_last(spark):
         (1, 1, 1, 1), (1, 2, 2, 0), (1, 3, 3, 0), (2, 1, 2, 0), (2, 2, 3, 0), (2, 3, 1, 0)]
 
 
-@pytest.mark.parametrize("question_bytes", [retrieval.QUESTION_BYTES, 40])
+@pytest.mark.parametrize("question_bytes", [retrieval.QUESTION_BYTES, 250])
 def test_whole_texts_equal_brute_force(spark, monkeypatch, question_bytes):
     monkeypatch.setattr(retrieval, "SCORE_ROWS", 7)
     rnd = random.Random(1)

@@ -12,9 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.operators.joins import source_bytes
-
-# Questions are sent to every task; more than this many bytes of them go in several passes.
+# Questions are sent to every task; more than this many bytes of them (measured, with 64
+# for each question's place in the index) go in several passes.
 QUESTION_BYTES = 16 * 1024 * 1024
 
 # Sections scored together in a task; bounds the score matrix.
@@ -45,7 +44,8 @@ def topk_by_overlap(
     exact because a section outside a part's best ``k`` is outside the overall best ``k``.
     ``questions`` has (question_id, question); ``sections`` as from ``split_sections``.
     """
-    passes = max(1, math.ceil(source_bytes(questions) / question_bytes))
+    size = questions.agg(F.sum(F.octet_length("question") + F.lit(64))).first()[0] or 0
+    passes = max(1, math.ceil(size / question_bytes))
     schema = "question_id long, doc_id long, section_no int, section string, overlap int"
     found = None
     for i in range(passes):
