@@ -172,18 +172,12 @@ def checkpoint_restart(spark, sf_dir):
     folder = scratch_dir(spark, "restart")
     session = stream_session(spark)
     for half in (F.col("dt") < F.lit("2024-01-16").cast("date"), F.col("dt") >= F.lit("2024-01-16").cast("date")):
-        formats.write_jsonl(ods.where(half).coalesce(8), f"{folder}/part")
-        _hand_over(spark, f"{folder}/part", f"{folder}/in")
+        ods.where(half).write.mode("append").json(f"{folder}/in")
         stream = sources.json_stream(session, f"{folder}/in", ods.schema)
         sinks.drain(stream, f"{folder}/out")
     return spark.read.schema(ods.schema).parquet(f"{folder}/out/table")
 
 
-def _hand_over(spark: SparkSession, source: str, target: str) -> None:
-    """Append the lines of one folder to the folder that the stream watches."""
-    spark.read.text(source).write.mode("append").text(target)
-
-
 @query(with_(ODS, "SELECT event_id, user_id, action_type, event_ts, dt, TRUE AS parsed, TRUE AS has_source FROM ods"))
 def stream_to_ods(spark, sf_dir):
     """Keep-everything landing: the raw line, where it came from and when, with the day for

@@ -60,7 +60,8 @@ def pct(x: ColumnLike, y: ColumnLike, digits: int = 2) -> Column:
 
 
 def zero_if_null(c: ColumnLike) -> Column:
-    return F.coalesce(_col(c), F.lit(0.0))
+    """Zero in the column's own type: decimal sums stay decimal."""
+    return F.coalesce(_col(c), F.lit(0))
 
 
 def value_when(column: str, equals: str, value: ColumnLike, otherwise=None) -> Column:

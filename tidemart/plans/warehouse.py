@@ -3,6 +3,8 @@ ADS (funnel). Every layer is a pure function of DataFrames; ``run_layers`` store
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +16,14 @@ from tidemart.sources import formats
 from tidemart.sources.views import EVENT_COLUMNS, STEPS
 
 
-def build_ods(raw: DataFrame) -> DataFrame:
-    """Events as delivered plus the partition day."""
-    return raw.select(*EVENT_COLUMNS, event_day("event_ts").alias("dt"))
+def build_ods(raw: DataFrame, exact_money: bool = False) -> DataFrame:
+    """Events as delivered plus the partition day.
+
+    With ``exact_money`` amounts become DECIMAL(18,2) here and in every later layer; sums of
+    doubles differ in their last bits with the order in which tasks finish.
+    """
+    ods = raw.select(*EVENT_COLUMNS, event_day("event_ts").alias("dt"))
+    return ods.withColumn("amount", F.col("amount").cast("decimal(18,2)")) if exact_money else ods
 
 
 def build_dwd(ods: DataFrame, dim_user: DataFrame, dim_item: DataFrame, limit: int | None = None) -> DataFrame:
@@ -78,6 +85,16 @@ def funnel_report(ads: DataFrame, n: int | None = 15) -> DataFrame:
     return report.orderBy(F.desc("dt"), F.desc("gmv"), F.asc("country")).limit(n)
 
 
+# Column that orders the rows of a stored file, where lookups by it are common.
+SORTED_BY = {"ods_events": "event_id", "dwd_user_action": "event_id"}
+
+
+def store(spark: SparkSession, df: DataFrame, out: str, table: str) -> DataFrame:
+    """Replace a day-partitioned layer table and return it as stored."""
+    formats.append_partitioned(df, f"{out}/{table}", mode="overwrite", sort_by=SORTED_BY.get(table))
+    return spark.read.schema(df.schema).parquet(f"{out}/{table}").select(*df.columns)
+
+
 def run_layers(
     spark: SparkSession, raw: DataFrame, dim_user: DataFrame, dim_item: DataFrame, out: str
 ) -> dict[str, DataFrame]:
@@ -86,15 +103,30 @@ def run_layers(
     Each layer is read back from its table, so DWS and ADS share one stored DWD. Running
     it again with the same ``out`` replaces the tables.
     """
-    def store(df: DataFrame, name: str, sort_by: str | None = None) -> DataFrame:
-        formats.append_partitioned(df, f"{out}/{name}", mode="overwrite", sort_by=sort_by)
-        return spark.read.schema(df.schema).parquet(f"{out}/{name}").select(*df.columns)
-
-    ods = store(build_ods(raw), "ods_events", "event_id")
-    dwd = store(build_dwd(ods, dim_user, dim_item), "dwd_user_action", "event_id")
+    ods = store(spark, build_ods(raw), out, "ods_events")
+    dwd = store(spark, build_dwd(ods, dim_user, dim_item), out, "dwd_user_action")
     return {
         "ods_events": ods,
         "dwd_user_action": dwd,
-        "dws_user_daily": store(build_dws(dwd), "dws_user_daily"),
-        "ads_funnel_daily": store(build_ads(dwd), "ads_funnel_daily"),
+        "dws_user_daily": store(spark, build_dws(dwd), out, "dws_user_daily"),
+        "ads_funnel_daily": store(spark, build_ads(dwd), out, "ads_funnel_daily"),
     }
+
+
+def backfill(
+    spark: SparkSession, dim_user: DataFrame, dim_item: DataFrame, out: str, first: dt.date, last: dt.date
+) -> None:
+    """Compute the days from ``first`` to ``last`` again from the stored ODS.
+
+    Other days' partitions are neither read in DWS and ADS nor touched. A copy of an event
+    can lie on another day, so DWD looks at all copies of the events of these days.
+    """
+    days = F.col("dt").between(F.lit(first), F.lit(last))
+    ods = spark.read.parquet(f"{out}/ods_events")
+    affected = ods.where(days).select("event_id").distinct()
+    copies = ods.join(affected, "event_id", "left_semi")
+    dwd = build_dwd(copies, dim_user, dim_item).where(days)
+    formats.overwrite_partitions(dwd, f"{out}/dwd_user_action")
+    stored = spark.read.schema(dwd.schema).parquet(f"{out}/dwd_user_action").where(days)
+    formats.overwrite_partitions(build_dws(stored), f"{out}/dws_user_daily")
+    formats.overwrite_partitions(build_ads(stored), f"{out}/ads_funnel_daily")

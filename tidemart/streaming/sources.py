@@ -19,17 +19,38 @@ def event_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1000
     stream = (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", "*.parquet").option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(*_event_folder(spark, sf_dir))
-        .where(F.col("event_id").isNotNull())
+        .parquet(_event_folder(spark, sf_dir))
     )
     return with_event_time(as_feed(stream))
 
 
-def _event_folder(spark: SparkSession, sf_dir: str) -> list[str]:
+def _event_folder(spark: SparkSession, sf_dir: str) -> str:
     """A file source watches a folder, so a single file is picked out of its parent by name."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
     is_file = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isFile()
-    return [f"{sf_dir}/events.parque[t]"] if is_file else [f"{sf_dir}/events.parquet"]
+    return f"{sf_dir}/events.parque[t]" if is_file else f"{sf_dir}/events.parquet"
+
+
+def broker_stream(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
+    """Every message of a broker topic as it came, with its partition, offset and time.
+
+    Needs Spark's Kafka connector on the class path. ``parse_events`` and everything behind
+    it take this stream like ``raw_stream``.
+    """
+    messages = (
+        spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+        .option("subscribe", topic).options(**options).load()
+    )
+    return messages.select(
+        F.col("value").cast("string").alias("raw"), F.col("timestamp").alias("landed_at"),
+        F.col("partition").alias("source_partition"), F.col("offset").alias("source_offset"),
+    )
+
+
+def stamp_arrival(stream: DataFrame) -> DataFrame:
+    """Adds ``arrival_ts``, the clock when the micro-batch started, for windows by arrival
+    in a running stream."""
+    return stream.withColumn("arrival_ts", F.current_timestamp())
 
 
 def with_event_time(feed: DataFrame) -> DataFrame:
