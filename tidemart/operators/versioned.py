@@ -47,7 +47,8 @@ def append(path: str, df: DataFrame) -> int:
     if unknown:
         raise ValueError(f"columns not in the table: {unknown}")
     version = state.next_version if state else 1
-    _write_batch(df, path, version)
+    typed = df.select(*[F.col(f.name).cast(f.dataType) for f in columns.fields if f.name in df.columns])
+    _write_batch(typed, path, version)
     added = _batch(spark, path, version).count()
     return _commit(spark, path, state, "append", version, columns, added=added)
 

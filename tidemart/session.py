@@ -13,6 +13,8 @@ SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key even where that costs a shuffle for the aggregation behind the join.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.compression.codec": "zstd",
