@@ -21,8 +21,9 @@ def spark(tmp_path_factory):
     session = build_session(
         "tidemart-tests", "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "8",
-            "spark.driver.memory": "8g",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.buffer.pageSize": "1m",
+            "spark.driver.memory": "4g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),

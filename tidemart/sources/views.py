@@ -11,6 +11,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemart.functions import event_day
 from tidemart.operators.joins import attach
@@ -27,8 +28,15 @@ EVENT_COLUMNS = (
 )
 
 
+# Schemas by path: a given schema saves the job that reads file footers at every load.
+_schemas: dict[str, T.StructType] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    path = f"{sf_dir}/{table}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def as_feed(events: DataFrame) -> DataFrame:
