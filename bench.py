@@ -93,7 +93,7 @@ def main() -> None:
         return fact.join(dim.hint("merge"), key, how)
 
     with settings(spark, **{adaptive: "false", partitions: "200"}):
-        timings["star_shuffle_200_aqe_off"] = best_of(star(plain))
+        timings["star_shuffle_200_aqe_off"] = best_of(star(plain), 2)
     with settings(spark, **{adaptive: "true", partitions: "200"}):
         timings["star_shuffle_200_aqe_on"] = best_of(star(spread_join))
     with settings(spark, **{adaptive: "false", partitions: "16"}):

@@ -1,4 +1,4 @@
-"""Sessions and late rows against row-by-row reference answers (M9, M10)."""
+"""Sessions and late rows against row-by-row answers (M9, M10)."""
 
 import datetime as dt
 import random

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemart.catalog.registry import query
-from tidemart.catalog.sql import ADS, DIMS, DWD, DWS, ODS, TODAY, with_
+from tidemart.catalog.sql import ADS, DWD, DWS, ODS, TODAY, with_
 from tidemart.catalog.warehouse import ads, dwd, dws
 from tidemart.operators import checks
 from tidemart.operators.joins import attach, spread_join
