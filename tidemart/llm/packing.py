@@ -33,7 +33,7 @@ END_ID = 0
 #: Rounds of multiplicative weights; more rounds leave less to the rounding.
 ROUNDS = 200
 #: Share of what a length still lacks that one round may cover.
-STEP = 1.0
+STEP = 0.5
 #: How fast a covered length loses weight.
 LEARNING_RATE = 2.0
 
