@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import packing, sharding, wavelet
+from tidemart.llm import language, packing, sharding, simhash, wavelet
 from tidemart.llm.common import table
 from tidemart.session import pin_utc
 
@@ -62,6 +62,18 @@ def op4_wavelet_shards(spark, sf_dir):
     return wavelet.token_index(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query()
+def op5_simhash_components(spark, sf_dir):
+    """Near-duplicate components of all documents: 3-word shingles, 3 bits."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+
+
+@query()
+def op7_language_identification(spark, sf_dir):
+    """The language of every document, learned from four fifths of the labelled ones."""
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op9_configuration_packing(spark, sf_dir):
     """All documents packed into sequences of 2,048 tokens."""
