@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import language, packing, sharding, simhash, wavelet
+from tidemart.llm import contamination, language, packing, sharding, simhash, substrings, wavelet
 from tidemart.llm.common import table
 from tidemart.session import pin_utc
 
@@ -30,6 +30,12 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op2_shared_passages(spark, sf_dir):
+    """Passages of all documents that an earlier document holds as well."""
+    return substrings.passages(table(spark, sf_dir, "documents"))
+
+
 SHARDING_SQL = f"""
 WITH d AS (
   SELECT doc_id, COALESCE(strlen(text), 0)::BIGINT AS n_bytes,
@@ -74,8 +80,40 @@ def op7_language_identification(spark, sf_dir):
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+CONTAMINATION_SQL = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), item AS (
+  SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), win AS (
+  SELECT DISTINCT item, array_to_string(w[s : s + 9], ' ') AS phrase, LEAST(len(w), 10) AS size
+  FROM (SELECT item, w, unnest(range(1, GREATEST(len(w) - 9, 1) + 1)) AS s FROM item WHERE len(w) > 0)
+), place AS (
+  SELECT doc_id, s, size, array_to_string(w[s : s + size - 1], ' ') AS phrase
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS s FROM doc, (SELECT DISTINCT size FROM win))
+), hit AS (
+  SELECT doc_id, s, p.size, item FROM place p JOIN win USING (phrase) WHERE p.size = win.size
+), covered AS (
+  SELECT doc_id, COUNT(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + size)) AS pos FROM hit) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, COUNT(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM hit GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, COALESCE(n_hit, 0)::BIGINT AS n_hit, COALESCE(n_items, 0)::BIGINT AS n_items,
+       sha256(COALESCE(names, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@query(CONTAMINATION_SQL)
+def op8_positional_decontamination(spark, sf_dir):
+    """Benchmark windows of 10 words found in all documents."""
+    found = contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_key")
+
+
 @query()
 def op9_configuration_packing(spark, sf_dir):
     """All documents packed into sequences of 2,048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
-STAGES: list = []
