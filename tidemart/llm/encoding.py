@@ -10,21 +10,32 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
-#: Chunks a worker keeps; beyond that it starts afresh, so memory has a bound (about 200 MB).
-MEMO_CHUNKS = 800_000
+#: Chunks a worker keeps; beyond that it starts afresh, so memory has a bound (about 300 MB).
+MEMO_CHUNKS = 1_500_000
 #: Characters of new chunks per call of the tokenizer.
 CALL_CHARS = 20_000
 #: A space between two characters that are no white space: a split is always safe there.
 INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
-#: Texts in which splitting at every space could part a run of white space.
-SPACE_RUN = re.compile(r"  |\s \s")
+#: Texts in which splitting at every space and line break could part a run of white space.
+SPACE_RUN = re.compile(r"\s\s|\s\Z|\x00")
+#: Between a letter and one of these every tokenizer splits.
+POINTS = ".,;:!?"
 #: Python's split() takes these as white space, tokenizers do not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable Latin-1 bytes
+    are themselves, the others the letters from U+0100 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = iter(range(0x100, 0x200))
+    return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
+
+
 class Encoder:
     """Encodes texts with a file of the ``tokenizers`` library; the ids are exactly those of
     ``Tokenizer.encode(text, add_special_tokens=False)``.
@@ -41,6 +52,7 @@ class Encoder:
         self.joined = joined
         self.memo: dict[str, bytes] = {}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.model, self.letters = self.tokenizer.model, byte_letters()
         self.mark = "\n" if joined else " \x01 "
         mark = self.tokenizer.encode(self.mark, add_special_tokens=False).ids
         self.mark_id = mark[0] if len(mark) == 1 else None
@@ -54,8 +66,10 @@ class Encoder:
             return None
         if not self.joined:
             return None if SEPARATORS.search(text) else text.split()
-        parts = INNER_SPACE.split(text) if SPACE_RUN.search(text) else text.split(" ")
-        return parts[:1] + [" " + p for p in parts[1:]]
+        if SPACE_RUN.search(text):
+            parts = INNER_SPACE.split(text)
+            return parts[:1] + [" " + p for p in parts[1:]]
+        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
 
     def _alone(self, chunk: str) -> bool:
         """Whether the separator could not be told from the chunk's own content."""
@@ -65,21 +79,49 @@ class Encoder:
         return "\x01" in chunk
 
     def _learn(self, chunks: set[str]) -> None:
-        group: list[str] = []
-        size = 0
+        """Encode chunks not met before; points after a word are looked up by themselves."""
+        memo, ends = self.memo, []
+        group: dict[str, None] = {}
         for chunk in chunks:
+            stem = chunk.rstrip(POINTS)
+            if stem and len(stem) < len(chunk) and stem[-1].isalpha():
+                tail = chunk[len(stem) :]
+                ends.append((chunk, stem, tail))
+                group.update(dict.fromkeys(x for x in (stem, tail) if x not in memo))
+            else:
+                group[chunk] = None
+        call, size = [], 0
+        for chunk in group:
             if not chunk:
-                self.memo[chunk] = b""
+                memo[chunk] = b""
+            elif (word := self._word(chunk)) is not None:
+                memo[chunk] = word
             elif self.mark_id is None or self._alone(chunk):
-                self.memo[chunk] = self._whole(chunk)
+                memo[chunk] = self._whole(chunk)
             else:
-                group.append(chunk)
+                call.append(chunk)
                 size += len(chunk)
                 if size >= CALL_CHARS:
-                    self._call(group)
-                    group, size = [], 0
-        if group:
-            self._call(group)
+                    self._call(call)
+                    call, size = [], 0
+        if call:
+            self._call(call)
+        for chunk, stem, tail in ends:
+            memo[chunk] = memo[stem] + memo[tail]
+
+    def _word(self, chunk: str) -> bytes | None:
+        """A plain Latin word is one pre-token, which the tokenizer's model takes as it is."""
+        lead = self.joined and chunk[0] == " "
+        body = chunk[1:] if lead else chunk
+        if not body.isalpha() or (not body.isascii() and max(body) >= "\u0100"):
+            return None
+        if not self.joined:
+            body = body.lower()
+        if not body.isascii():
+            body = "".join([self.letters[b] for b in body.encode()])
+        if lead:
+            body = self.letters[32] + body
+        return array("I", [t.id for t in self.model.tokenize(body)]).tobytes()
 
     def _call(self, group: list[str]) -> None:
         ids = np.array(self.tokenizer.encode(self.mark.join(group), add_special_tokens=False).ids, "<u4")
