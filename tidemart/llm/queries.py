@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import contamination, language, packing, sharding, simhash, substrings, wavelet
+from tidemart.llm import contamination, language, packing, sharding, simhash, substrings, toxicity, wavelet
 from tidemart.llm.common import table
 from tidemart.session import pin_utc
 
@@ -117,3 +117,9 @@ def op8_positional_decontamination(spark, sf_dir):
 def op9_configuration_packing(spark, sf_dir):
     """All documents packed into sequences of 2,048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op10_toxicity(spark, sf_dir):
+    """Toxicity of every document, learned from four fifths of the labelled ones."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
