@@ -65,6 +65,9 @@ SPACED = re.compile(r"(?<!\S)\S(?: \S){3,}(?!\S)")
 _RUN = re.compile(r"(.)\1*", re.S)
 
 
+_ALL = (1 << 64) - 1
+
+
 def _mix(h: np.ndarray) -> np.ndarray:
     h = h ^ (h >> np.uint64(31))
     h = h * np.uint64(0x9E3779B97F4A7C15)
@@ -84,6 +87,17 @@ def grams(codes: np.ndarray, n: int) -> np.ndarray:
     return h
 
 
+def gram(text: str) -> int:
+    """``grams`` for one short text, in plain integers."""
+    h = len(text) + 1
+    for c in text:
+        h = (h * 1_000_003 + ord(c)) & _ALL
+        h ^= h >> 31
+        h = (h * 0x9E3779B97F4A7C15) & _ALL
+        h ^= h >> 29
+    return h
+
+
 def count_grams(words: Counter) -> np.ndarray:
     """The table's counts: grams of each order in its first half, contexts in its second."""
     table, half = np.zeros(TABLE, np.int64), TABLE // 2
@@ -127,7 +141,7 @@ class CharacterModel:
     """Log-probabilities of characters after up to four others."""
 
     def __init__(self, table: np.ndarray):
-        self.table, self.memo = table, {}
+        self.table, self.memo = table.tolist(), {}
 
     def log_chance(self, context: str, c: str) -> float:
         key = (context, c)
@@ -135,12 +149,11 @@ class CharacterModel:
             if len(self.memo) > MEMO_WORDS:
                 self.memo.clear()
             half, p = TABLE // 2, 1e-4
-            codes = np.array([ord(x) for x in context + c], np.uint32)
+            text = context + c
             for n in range(1, ORDER + 1):
-                own = codes[len(codes) - n :]
-                seen = int(self.table[int(grams(own, n)[0] % np.uint64(half))])
-                before = grams(own[:-1], n - 1)[0] if n > 1 else np.uint64(0)
-                total = int(self.table[int(before % np.uint64(half)) + half])
+                own = text[len(text) - n :]
+                seen = self.table[gram(own) % half]
+                total = self.table[(gram(own[:-1]) if n > 1 else 0) % half + half]
                 p = (min(seen, total) + 4 * p) / (total + 4)
             self.memo[key] = math.log(p)
         return self.memo[key]
