@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import contamination, language, packing, sharding, simhash, substrings, toxicity, wavelet
+from tidemart.llm import contamination, fingerprints, language, licenses, packing, sharding, simhash, substrings, toxicity, wavelet
 from tidemart.llm.common import table
 from tidemart.session import pin_utc
 
@@ -30,6 +30,35 @@ def query(sql: str | None = None):
     return register
 
 
+LICENSE_SQL = r"""
+WITH notice(template_id, license, text) AS (VALUES NOTICES),
+low AS (
+  SELECT template_id, license, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM notice
+), t AS (
+  SELECT DISTINCT template_id, license, array_to_string(w[i : i + 4], ' ') AS shingle
+  FROM (SELECT *, unnest(range(1, len(w) - 3)) AS i FROM low)
+), size AS (
+  SELECT template_id, COUNT(*) AS n FROM t GROUP BY template_id
+), doc AS (
+  SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS shingle FROM (SELECT *, unnest(range(1, len(w) - 3)) AS i FROM doc)
+), found AS (
+  SELECT doc_id, template_id, license, COUNT(*) / n AS containment
+  FROM s JOIN t USING (shingle) JOIN size USING (template_id) GROUP BY doc_id, template_id, license, n
+)
+SELECT doc_id, license, MAX(containment) AS containment, COUNT(*) AS n_notices
+FROM found WHERE containment >= 0.8 GROUP BY doc_id, license
+""".replace("NOTICES", ", ".join(f"({n}, '{name}', '{text}')" for n, (name, text) in enumerate(licenses.TEMPLATES)))
+
+
+@query(LICENSE_SQL)
+def op1_license_scan(spark, sf_dir):
+    """License notices in all documents."""
+    return licenses.licenses(table(spark, sf_dir, "documents"), licenses.templates(spark))
+
+
 @query()
 def op2_shared_passages(spark, sf_dir):
     """Passages of all documents that an earlier document holds as well."""
@@ -74,6 +103,12 @@ def op5_simhash_components(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+@query()
+def op6_order_minhash(spark, sf_dir):
+    """Order MinHash fingerprints of all documents and of their edited texts."""
+    return fingerprints.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op7_language_identification(spark, sf_dir):
     """The language of every document, learned from four fifths of the labelled ones."""
