@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemart.session import scratch_dir
 
@@ -40,11 +40,14 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def slices(n: int, size: int) -> Iterator[tuple[int, int]]:
-    for a in range(0, n, size):
-        yield a, min(n, a + size)
+def map_rows(df: DataFrame, fn: Callable, keep: int) -> DataFrame:
+    """``mapInArrow`` whose function returns the first ``keep`` columns of its batches. Columns
+    go by position there, so that no name in ``df`` matters."""
+    fields = [T.StructField(f"c{i}", f.dataType) for i, f in enumerate(df.schema.fields[:keep])]
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return plain.mapInArrow(fn, T.StructType(fields)).toDF(*df.columns[:keep])
 
 
-def array_of(column) -> np.ndarray:
-    """The values of an Arrow list column without their row borders."""
-    return column.values.to_numpy(zero_copy_only=False)
+def named(df: DataFrame, alias: str) -> list[Column]:
+    """All columns of ``df`` where it is known as ``alias``."""
+    return [F.col(f"{alias}.`{c}`") for c in df.columns]

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import ascii_lower, stored
+from tidemart.llm.common import ascii_lower, named, stored
 
 WINDOW = 10
 #: Posting lists that are intersected before places are compared word by word.
@@ -66,7 +66,7 @@ def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
 def rarest_terms(found: DataFrame, index: DataFrame, lists: int = LISTS) -> DataFrame:
     """For each phrase its rarest terms by their number of postings: phrase, words, term, offset,
     rank. Phrases with a term that the corpus lacks are dropped."""
-    frequency = index.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    frequency = _small(stored(index.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "frequencies"))
     phrases = found.select("phrase", "words").distinct()
     terms = phrases.select("phrase", "words", F.posexplode("words").alias("offset", "term"))
     counted = terms.join(frequency, "term", "left").withColumn("n", F.coalesce("n", F.lit(0)))
@@ -107,19 +107,18 @@ def exact_hits(docs: DataFrame, index: DataFrame, found: DataFrame) -> DataFrame
 
 
 def proximity_hits(docs: DataFrame, index: DataFrame, found: DataFrame, slop: int = SLOP, share: float = NEAR_SHARE) -> DataFrame:
-    """Places near which a window's words stand together: doc_id, start, phrase, n_found. Searched
-    from the window's rarest term; ``share`` of its distinct words have to be within ``slop`` words
-    of the window's own span there."""
+    """Places where a window's words stand together in any order: doc_id, position of the window's
+    rarest term, phrase, n_found. ``share`` of the window's distinct words have to be within its
+    length and ``slop`` words of that term, before or behind."""
     rare = rarest_terms(found, index, lists=1)
-    places = index.join(_small(stored(rare, "rarest-term")), "term").select(
-        "phrase", "doc_id", "text_key", F.greatest(F.col("position") - F.col("offset"), F.lit(0)).alias("start"))
+    places = index.join(_small(stored(rare, "rarest-term")), "term").select("phrase", "doc_id", "text_key", F.col("position").alias("start"))
     near = (
-        "transform(places, p -> named_struct('start', p.start, 'phrase', p.phrase, "
+        "transform(places, p -> named_struct('position', p.start, 'phrase', p.phrase, "
         "'n_terms', size(array_distinct(split(p.phrase, ' '))), 'n_found', size(array_intersect(split(p.phrase, ' '), "
-        f"slice(w, greatest(p.start - {slop}, 0) + 1, size(split(p.phrase, ' ')) + {2 * slop})))))"
+        f"slice(w, greatest(p.start - size(split(p.phrase, ' ')) - {slop}, 0) + 1, 2 * (size(split(p.phrase, ' ')) + {slop}) + 1)))))"
     )
     checked = _with_texts(docs, places).select("doc_id", F.explode(F.expr(near)).alias("p")).select("doc_id", "p.*")
-    return checked.where(F.col("n_found") >= F.ceil(F.col("n_terms") * share)).select("doc_id", "start", "phrase", "n_found")
+    return checked.where(F.col("n_found") >= F.ceil(F.col("n_terms") * share)).select("doc_id", "position", "phrase", "n_found")
 
 
 def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -159,6 +158,5 @@ def clean(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     found = stored(windows(items, size), "windows")
     index = build_index(docs, found.select(F.explode("words").alias("term")))
     hits = exact_hits(docs, index, found).select("doc_id", "text_key")
-    left = docs.withColumn("__text_key", F.xxhash64(F.coalesce("text", F.lit("")))).alias("d")
-    same = F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("d.__text_key") == F.col("h.text_key"))
-    return left.join(hits.alias("h"), same, "left_anti").select([F.col(f"d.`{c}`") for c in docs.columns])
+    same = F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.xxhash64(F.coalesce("d.text", F.lit(""))) == F.col("h.text_key"))
+    return docs.alias("d").join(hits.alias("h"), same, "left_anti").select(named(docs, "d"))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import held_out
+from tidemart.llm.common import held_out, map_rows
 
 #: Most labelled documents per language that the model is fitted on.
 SAMPLE_PER_LANGUAGE = 600
@@ -207,12 +207,11 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose language is not rejected, all columns as they are."""
-    model = fit(docs)
+    model, at = fit(docs), docs.columns.index("text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text"))
-            yield batch.filter(pa.array([not scorer.score(t.as_py())[2] for t in texts], pa.bool_()))
+            yield batch.filter(pa.array([not scorer.score(t.as_py())[2] for t in batch.column(at)], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return map_rows(docs, keep, len(docs.columns))

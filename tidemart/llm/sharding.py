@@ -66,7 +66,7 @@ def assign(docs: DataFrame, limit: int = SHARD_BYTES, pass_bits: int = PASS_BITS
     """Every row of ``docs`` as the struct ``doc`` with ``shard`` (the bucket's bits, 'root' if
     nothing had to split), ``depth``, ``n_bytes``, ``shard_bytes`` and ``oversized``."""
     rows = docs.select(
-        F.struct(*docs.columns).alias("doc"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
         F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
         hash_bits(F.col("doc_id")).alias("bits"),
     )
