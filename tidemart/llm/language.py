@@ -1,6 +1,6 @@
 """Language identification: averaged hashed subword embeddings and a linear softmax.
 
-A text is the average of its words' vectors, a word the sum of its hashed subwords' (the word
+A text is the average of its words' vectors, a word that of its hashed subwords' (the word
 itself and its character n-grams between borders). The classifier is linear in that average. Both
 are trained by stochastic gradient descent in numpy on a bounded sample of labelled documents,
 equally many per language. A part of the sample that training does not see sets the temperature
@@ -17,6 +17,7 @@ every prediction is ``und``. Empty table: no rows. Further columns are ignored.
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,6 +39,8 @@ BUCKETS = 1 << 15
 WIDTH = 16
 NGRAMS = (1, 2, 3, 4)
 EPOCHS = 6
+#: Least number of training steps: few labelled documents are gone through more often.
+STEPS = 12_000
 RATE = 0.5
 #: Share of good held-back documents that the rejection threshold may cost, at most.
 REJECT_SHARE = 0.001
@@ -54,6 +57,7 @@ class Model:
     bias: np.ndarray
     temperature: float
     threshold: float
+    key: str
 
 
 def subwords(word: str, buckets: int = BUCKETS) -> list[int]:
@@ -99,8 +103,9 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> Model | None:
     embed = rng.normal(0, 1 / WIDTH, (BUCKETS, WIDTH))
     weights, bias = np.zeros((WIDTH, len(languages))), np.zeros(len(languages))
     learn = [int(i) for i in order if int(i) not in held]
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
+    epochs = max(EPOCHS, -(-STEPS // len(learn)))
+    for epoch in range(epochs):
+        rate = RATE * (1 - epoch / epochs)
         for i in rng.permutation(learn).tolist():
             index, weight, y = rows[i]
             mean = weight @ embed[index]
@@ -119,7 +124,7 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> Model | None:
     right = chances.max(1)[chances.argmax(1) == truth]
     floor = float(np.quantile(right, REJECT_SHARE)) if len(right) else 0.0
     # Half of the least sure right answer: what is rejected is unlike anything that was learned.
-    return Model(languages, scores.astype(np.float32), bias.astype(np.float32), float(best), floor / 2)
+    return Model(languages, scores.astype(np.float32), bias.astype(np.float32), float(best), floor / 2, uuid.uuid4().hex)
 
 
 def sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, languages: int = LANGUAGES) -> list:
@@ -182,11 +187,23 @@ class Scorer:
         return self.model.languages[i], float(chances[i]), bool(chances[i] < self.model.threshold)
 
 
+_last: dict[str, Scorer] = {}
+
+
+def scorer_of(model: Model | None) -> Scorer:
+    """The worker's scorer of a model, kept from task to task with the words it has met."""
+    key = model.key if model else ""
+    if key not in _last:
+        _last.clear()
+        _last[key] = Scorer(model)
+    return _last[key]
+
+
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, lang_pred, score and rejected for every document."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model)
+        scorer = scorer_of(model)
         for batch in batches:
             found = [scorer.score(t.as_py()) for t in batch.column(1)]
             lang, score, rejected = zip(*found, strict=True) if found else ((), (), ())
@@ -210,7 +227,7 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     model, at = fit(docs), docs.columns.index("text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model)
+        scorer = scorer_of(model)
         for batch in batches:
             yield batch.filter(pa.array([not scorer.score(t.as_py())[2] for t in batch.column(at)], pa.bool_()))
 

@@ -34,6 +34,8 @@ END_ID = 0
 ROUNDS = 200
 #: Share of what a length still lacks that one round may cover.
 STEP = 0.5
+#: Shares of the program's solution that are tried.
+SCALES = (1, 0.75, 0.5, 0.25, 0.125)
 #: How fast a covered length loses weight.
 LEARNING_RATE = 2.0
 
@@ -129,15 +131,20 @@ def best_fit(counts: dict[int, int], capacity: int, begun: dict[Pattern, int] |
 
 
 def plan_sequences(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> dict[Pattern, int]:
-    """Whole numbers of sequences per configuration that hold every piece exactly once."""
-    rest, plan = dict(counts), Counter()
-    for pattern, n in configuration_program(counts, capacity, rounds).items():
-        k = int(n + 1e-9)
-        if k:
-            plan[pattern] += k
-            for length, copies in pattern:
-                rest[length] -= k * copies
-    return best_fit({x: n for x, n in rest.items() if n > 0}, capacity, plan)
+    """Whole numbers of sequences per configuration that hold every piece exactly once. The
+    program's solution is rounded down at several scales; the one that ends with the fewest
+    sequences is kept."""
+    solution = configuration_program(counts, capacity, rounds)
+    plans = []
+    for scale in SCALES:
+        rest, plan = Counter(counts), {}
+        for pattern, n in solution.items():
+            k = int(n * scale + 1e-9)
+            if k:
+                plan[pattern] = k
+                rest.subtract({length: k * copies for length, copies in pattern})
+        plans.append(best_fit({x: n for x, n in rest.items() if n > 0}, capacity, plan))
+    return min(plans, key=lambda p: sum(p.values()))
 
 
 def slots(plan: dict[Pattern, int]) -> pd.DataFrame:

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -260,6 +261,7 @@ class Extractor:
 class Classifier:
     weights: np.ndarray
     bias: float
+    key: str
 
 
 def train(rows: list[np.ndarray], labels: list[int], seed: int = 3) -> Classifier | None:
@@ -281,7 +283,7 @@ def train(rows: list[np.ndarray], labels: list[int], seed: int = 3) -> Classifie
             moved = weights[x] - step * error
             weights[x] = np.sign(moved) * np.maximum(np.abs(moved) - step * PENALTY, 0)
             bias -= 0.02 * error
-    return Classifier(weights.astype(np.float32), float(bias))
+    return Classifier(weights.astype(np.float32), float(bias), uuid.uuid4().hex)
 
 
 def _chance(x: float) -> float:
@@ -319,12 +321,23 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, Classifier | No
     return table, train(rows, marks)
 
 
+_last: dict[str, Extractor] = {}
+
+
+def extractor_of(table: np.ndarray, classifier: Classifier) -> Extractor:
+    """The worker's extractor for a classifier, kept from task to task with the tokens it has met."""
+    if classifier.key not in _last:
+        _last.clear()
+        _last[classifier.key] = Extractor(table, classifier.weights != 0)
+    return _last[classifier.key]
+
+
 def score(docs: DataFrame, table: np.ndarray, classifier: Classifier | None) -> DataFrame:
     """doc_id and the probability that the document is toxic."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if classifier is not None:
-            extractor = Extractor(table, classifier.weights != 0)
+            extractor = extractor_of(table, classifier)
             weights = classifier.weights.tolist()
         for batch in batches:
             out = [
