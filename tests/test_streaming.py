@@ -34,8 +34,8 @@ class Feed:
         schema = self.spark.createDataFrame([], SCHEMA).schema
         return sources.with_event_time(sources.json_stream(self.spark, str(self.folder), schema, 1))
 
-    def drain(self, stream):
-        return self.spark.read.parquet(sinks.drain(stream, self.out))
+    def drain(self, stream, may_drop=False):
+        return self.spark.read.parquet(sinks.drain(stream, self.out, may_drop=may_drop))
 
 
 def event(i, second, user=1, country="US"):
@@ -53,7 +53,7 @@ def test_late_row_is_dropped_and_window_waits_for_the_watermark(inbox):
     inbox.put(event(5, 310))
     inbox.put(event(6, 20))
     inbox.put(event(7, 900))
-    out = inbox.drain(windows.pv(inbox.stream(), "ts", "1 minute", ["country"], "30 seconds"))
+    out = inbox.drain(windows.pv(inbox.stream(), "ts", "1 minute", ["country"], "30 seconds"), may_drop=True)
     got = {r.window_start: r.pv for r in out.collect()}
     assert got == {at(0): 3, at(300): 2}
 
@@ -79,6 +79,36 @@ def test_sliding_windows_count_an_event_twice(inbox):
     assert got == {at(-300): (2, 1), at(0): (3, 2), at(300): (1, 1)}
 
 
+@pytest.mark.parametrize("size, slide", [("10 minutes", "4 minutes"), ("10 minutes", "5 minutes"), ("7 minutes", "3 minutes")])
+def test_sliding_windows_are_those_of_the_batch(inbox, size, slide):
+    inbox.put(*[event(i, i * 47, user=i % 4) for i in range(60)])
+    inbox.put(event(1000, 100_000))
+    out = inbox.drain(windows.pv_uv(inbox.stream(), "ts", size, ["country"], "user_id", "5 seconds", slide))
+    rows = inbox.spark.read.json(str(inbox.folder)).where("event_id < 1000")
+    want = rows.groupBy(F.window(F.timestamp_millis("event_ts"), size, slide).alias("w"), "country").agg(
+        F.count("*").alias("pv"), F.countDistinct("user_id").alias("uv")
+    ).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "country", "pv", "uv")
+    assert checks.row_differences(out, want).isEmpty() and out.count() == want.count() > 5
+
+
+def test_unordered_files_give_what_one_file_gives(spark, sf_dir, tmp_path):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    tables = []
+    for name, files in (("one", events.coalesce(1)), ("many", events.repartition(12))):
+        files.write.parquet(str(tmp_path / name / "events.parquet"))
+        stream = sources.event_stream(stream_session(spark), str(tmp_path / name))
+        counted = windows.pv_uv(stream, "ts", "1 minute", ["country"], "user_id", "5 seconds")
+        tables.append(spark.read.parquet(sinks.drain(counted, str(tmp_path / name / "out"))))
+    assert checks.row_differences(*tables).isEmpty() and tables[0].count() > 0
+
+
+def test_a_replay_that_loses_rows_fails(inbox):
+    for i in range(4):
+        inbox.put(event(i, 4000 - i * 1000))
+    with pytest.raises(RuntimeError, match="dropped"):
+        inbox.drain(windows.pv(inbox.stream(), "ts", "1 minute", ["country"], "1 second"))
+
+
 def test_sessions_end_after_the_gap(inbox):
     inbox.put(event(1, 0), event(2, 29 * 60), event(3, 60 * 60))
     inbox.put(event(9, 100_000, user=2))

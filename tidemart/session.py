@@ -52,18 +52,14 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def stream_session(spark: SparkSession) -> SparkSession:
     """A sibling session with streaming settings, so that the caller's stay as they are.
 
-    The number of state partitions is fixed for the life of a checkpoint. It follows
-    ``spark.sql.shuffle.partitions`` but never exceeds the cores at hand, because each
-    of them commits a state file in every micro-batch.
+    The number of state partitions is ``spark.sql.shuffle.partitions`` as it is set, and fixed
+    for the life of a checkpoint: it must not depend on the executors that happen to be there
+    when a stream starts.
     """
     session = spark.newSession()
     for key, value in STREAM_CONF.items():
         session.conf.set(key, value)
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    session.conf.set(
-        "spark.sql.shuffle.partitions",
-        str(max(1, min(wanted, spark.sparkContext.defaultParallelism))),
-    )
+    session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     return session
 
 

@@ -34,8 +34,19 @@ def to_table(
     return writer.start()
 
 
-def drain(stream: DataFrame, folder: str, by: Sequence[str] = ()) -> str:
-    """Run over everything available, wait, and return the folder of the written table."""
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that came after the watermark, over the micro-batches whose progress is kept."""
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+
+
+def drain(stream: DataFrame, folder: str, by: Sequence[str] = (), may_drop: bool = False) -> str:
+    """Run over everything available, wait, and return the folder of the written table.
+
+    A replay that drops late rows is an error unless ``may_drop`` says that it is expected.
+    """
     query = to_table(stream, f"{folder}/table", f"{folder}/checkpoint", by)
     query.awaitTermination()
+    lost = dropped_rows(query)
+    if lost and not may_drop:
+        raise RuntimeError(f"the stream dropped {lost} late rows")
     return f"{folder}/table"

@@ -6,22 +6,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from tidemart.sources.views import as_feed
 
 
-def event_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1000) -> DataFrame:
+def event_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int | None = None) -> DataFrame:
     """The event table as a stream with the columns of the feed and the event time ``ts``.
 
-    ``files_per_trigger`` bounds the size of a micro-batch when a backlog is read.
+    Without ``files_per_trigger`` a replay takes all files in one micro-batch, whatever their
+    order. With it, a watermark moves after each micro-batch, and rows of later files that
+    are older than it are lost: files have to arrive in the order of event time, give or take
+    the watermark's delay.
     """
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    stream = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "*.parquet").option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(_event_folder(spark, sf_dir))
-    )
-    return with_event_time(as_feed(stream))
+    reader = _paced(spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet"), files_per_trigger)
+    return with_event_time(as_feed(reader.parquet(_event_folder(spark, sf_dir))))
+
+
+def _paced(reader: DataStreamReader, files_per_trigger: int | None) -> DataStreamReader:
+    return reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader
 
 
 def _event_folder(spark: SparkSession, sf_dir: str) -> str:
@@ -57,7 +61,7 @@ def with_event_time(feed: DataFrame) -> DataFrame:
     return feed.withColumn("ts", F.timestamp_millis("event_ts"))
 
 
-def json_stream(spark: SparkSession, folder: str, schema: T.StructType, files_per_trigger: int = 1000) -> DataFrame:
+def json_stream(spark: SparkSession, folder: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
     """JSON Lines as a stream; lines that do not parse are skipped.
 
     A broken line is one whose object could not be read, not one that lacks a field.
@@ -66,10 +70,11 @@ def json_stream(spark: SparkSession, folder: str, schema: T.StructType, files_pe
     return parse_events(lines, schema).where("parsed").select("event.*")
 
 
-def raw_stream(spark: SparkSession, folder: str, files_per_trigger: int = 1000) -> DataFrame:
-    """Every line as it came, with the file it came from and that file's time."""
+def raw_stream(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Every line as it came, with the file it came from and that file's time. For
+    ``files_per_trigger`` see ``event_stream``."""
     return (
-        spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(folder)
+        _paced(spark.readStream, files_per_trigger).text(folder)
         .select(
             F.col("value").alias("raw"),
             F.col("_metadata.file_path").alias("source_file"),

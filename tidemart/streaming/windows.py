@@ -28,7 +28,9 @@ def pv_uv(
     The first aggregation keeps one row per window, group and user, so its state is spread
     over users and no state row grows. When its window closes, the second one counts those
     rows. Windows have different ends that lie a slide apart, so a tumbling window of one
-    slide around a row's ``window_time`` stands for exactly one window of the first step.
+    slide around a row's ``window_time``, ending where that window ends, stands for exactly
+    one window of the first step. Ends are not multiples of the slide where it does not divide
+    the size, hence the offset.
     """
     users = (
         stream.withWatermark(ts, delay)
@@ -36,7 +38,9 @@ def pv_uv(
         .agg(F.count(F.lit(1)).alias("_rows"))
         .withColumn("_time", F.window_time("window"))
     )
-    counted = users.groupBy(F.window("_time", slide or size).alias("w"), *by).agg(
+    step = slide or size
+    offset = f"{_seconds(users, size) % _seconds(users, step)} seconds"
+    counted = users.groupBy(F.window("_time", step, startTime=offset).alias("w"), *by).agg(
         F.sum("_rows").alias("pv"), F.count(user).alias("uv")
     )
     return counted.select(
@@ -45,6 +49,12 @@ def pv_uv(
     )
 
 
+def _seconds(df: DataFrame, length: str) -> int:
+    """A window length in seconds, as Spark reads it."""
+    interval = df.sparkSession.sql(f"SELECT unix_seconds(TIMESTAMP '1970-01-01 00:00:00 UTC' + INTERVAL {length}) AS s")
+    return interval.first().s
+
+
 def sessions(stream: DataFrame, ts: str, user: str, gap: str, delay: str) -> DataFrame:
     """One row per user and session; a session ends when the user was silent for ``gap``,
     and its window end is the last event plus the gap."""
