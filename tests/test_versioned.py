@@ -1,4 +1,4 @@
-"""Versioned tables (M11): branches after a rollback, NULLs and late columns in conditions."""
+"""Versioned rows (M11): branches after a rollback, NULLs and late columns in conditions."""
 
 import pytest
 
@@ -8,78 +8,95 @@ SCHEMA = "event_id long, country string"
 ROWS = [(i, "SG" if i % 3 == 0 else "US") for i in range(9)] + [(9, None)]
 
 
-@pytest.fixture(params=["merge_on_read", "copy_on_write"])
-def table(spark, tmp_path, request):
-    path = str(tmp_path / "events")
-    v.append(path, spark.createDataFrame(ROWS, SCHEMA))
-    v.add_column(spark, path, "platform", "string")
-    again = spark.createDataFrame([(i, c, "app") for i, c in ROWS[:3]], SCHEMA + ", platform string")
-    v.append(path, again)
-    v.delete_where(spark, path, "country = 'SG'", request.param)
-    return path
+@pytest.fixture(params=[v.delete_where, v.delete_by_rewrite])
+def history(spark, tmp_path, request):
+    h = v.begin(spark.createDataFrame(ROWS, SCHEMA), str(tmp_path))
+    h = v.add_column(h, "platform", "string")
+    h = v.append(h, spark.createDataFrame([(i, c, "app") for i, c in ROWS[:3]], SCHEMA + ", platform string"))
+    return request.param(h, "country = 'SG'")
 
 
 def ids(df):
     return sorted(r.event_id for r in df.collect())
 
 
-def test_old_version_has_its_own_rows_and_columns(spark, table):
-    one = v.read_as_of(spark, table, 1)
+def test_old_version_has_its_own_rows_and_columns(history):
+    one = v.read_as_of(history, 1)
     assert one.columns == ["event_id", "country"]
     assert ids(one) == list(range(10))
-    two = v.read_as_of(spark, table, 2)
+    two = v.read_as_of(history, 2)
     assert two.columns[-1] == "platform" and two.where("platform IS NULL").count() == 10
-    assert v.read_as_of(spark, table, 3).count() == 13
+    assert v.read_as_of(history, 3).count() == 13
 
 
-def test_delete_spares_null(spark, table):
-    now = v.read_as_of(spark, table)
+def test_delete_spares_null(history):
+    now = v.read_as_of(history)
     assert ids(now) == [1, 1, 2, 2, 4, 5, 7, 8, 9]
     assert now.where("country IS NULL").count() == 1
 
 
-def test_rollback_starts_a_branch(spark, table):
-    v.rollback_to(spark, table, 3)
-    assert v.read_as_of(spark, table).count() == 13
-    new = v.append(table, spark.createDataFrame([(50, "SG", "web")], SCHEMA + ", platform string"))
-    assert new == 5
-    assert v.read_as_of(spark, table).count() == 14
-    assert v.read_as_of(spark, table, 4).count() == 9
-    log = {r.version: (r.parent, r.op, r.added, r.deleted, r.is_current) for r in v.snapshot_log(spark, table).collect()}
-    assert log[5] == (3, "append", 1, 0, True)
-    assert log[4][0] == 3 and log[4][3] == 4 and not log[4][4]
-    assert len(log) == 5
+def test_row_ids_are_unique_over_appended_copies(history):
+    rows = history.rows
+    assert rows.count() == rows.select("_row_id").distinct().count() >= 13
+    again = v.append(v.append(history, v.read_as_of(history)), v.read_as_of(history))
+    assert again.rows.count() == again.rows.select("_row_id").distinct().count()
 
 
-def test_condition_on_a_column_added_later(spark, table):
-    v.delete_where(spark, table, "platform = 'app'")
-    assert ids(v.read_as_of(spark, table)) == [1, 2, 4, 5, 7, 8, 9]
-    v.append(table, spark.createDataFrame([(60, "SG", "app")], SCHEMA + ", platform string"))
-    assert 60 in ids(v.read_as_of(spark, table))
+def test_rollback_starts_a_branch(spark, history):
+    h = v.rollback_to(history, 3)
+    assert v.read_as_of(h).count() == 13
+    h = v.append(h, spark.createDataFrame([(50, "SG", "web")], SCHEMA + ", platform string"))
+    assert h.head == 5 and v.read_as_of(h).count() == 14
+    assert v.read_as_of(h, 4).count() == 9
+    log = {r.version: (r.parent, r.op, r.added, r.is_current) for r in v.log(h).collect()}
+    assert log[5] == (3, "append", 1, True)
+    assert log[4][0] == 3 and not log[4][3] and len(log) == 5
 
 
-def test_repeated_deletes_count_only_rows_still_there(spark, table):
-    v.delete_where(spark, table, "country = 'SG' OR event_id = 1")
-    log = {r.version: r.deleted for r in v.snapshot_log(spark, table).collect()}
-    assert log[5] == 2
-    assert v.version_diff(spark, table, 3, 5).first()["diff"] == -6
+def test_condition_on_a_column_added_later(spark, history):
+    h = v.delete_where(history, "platform = 'app'")
+    assert ids(v.read_as_of(h)) == [1, 2, 4, 5, 7, 8, 9]
+    h = v.append(h, spark.createDataFrame([(60, "SG", "app")], SCHEMA + ", platform string"))
+    assert 60 in ids(v.read_as_of(h))
 
 
-def test_copy_on_write_leaves_other_batches_alone(spark, tmp_path):
-    path = str(tmp_path / "t")
-    v.append(path, spark.createDataFrame([(1, "US")], SCHEMA))
-    v.append(path, spark.createDataFrame([(2, "SG"), (3, "US")], SCHEMA))
-    v.delete_where(spark, path, "country = 'SG'", "copy_on_write")
-    v.delete_where(spark, path, "country = 'XX'", "copy_on_write")
-    assert ids(v.read_as_of(spark, path)) == [1, 3]
-    assert sorted(p.name for p in (tmp_path / "t" / "rows").glob("_added_v=*")) == [
-        "_added_v=1", "_added_v=2", "_added_v=3"]
+def test_repeated_deletes_count_only_rows_still_there(history):
+    h = v.delete_where(history, "country = 'SG' OR event_id = 1")
+    assert {r.version: r.deleted for r in v.log(h).collect()}[5] == 2
+    assert v.version_diff(h, 3, 5).first()["diff"] == -6
 
 
-def test_mistakes_are_refused(spark, table):
+def test_a_random_delete_reads_the_same_every_time(spark, tmp_path):
+    h = v.begin(spark.range(1000).toDF("event_id"), str(tmp_path))
+    h = v.delete_where(h, "rand() < 0.5")
+    deleted = {r.version: r.deleted for r in v.log(h).collect()}[2]
+    reads = [ids(v.read_as_of(h)) for _ in range(3)]
+    assert reads[0] == reads[1] == reads[2] and len(reads[0]) == 1000 - deleted
+
+
+def test_a_delete_by_local_day_does_not_move_with_the_zone(spark, tmp_path):
+    hours = spark.range(48).selectExpr("id AS event_id", "timestamp_seconds(1704067200 + id * 3600) AS ts")
+    h = v.delete_where(v.begin(hours, str(tmp_path)), "to_date(ts) = DATE '2024-01-01'")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        assert ids(v.read_as_of(h)) == list(range(24, 48))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_a_rewrite_leaves_other_batches_alone(spark, tmp_path):
+    h = v.begin(spark.createDataFrame([(1, "US")], SCHEMA), str(tmp_path))
+    h = v.append(h, spark.createDataFrame([(2, "SG"), (3, "US")], SCHEMA))
+    h = v.delete_by_rewrite(h, "country = 'SG'")
+    h = v.delete_by_rewrite(h, "country = 'XX'")
+    assert ids(v.read_as_of(h)) == [1, 3]
+    assert {r.version: (r.added, r.deleted) for r in v.log(h).collect()} == {1: (1, 0), 2: (2, 0), 3: (1, 2), 4: (0, 0)}
+
+
+def test_mistakes_are_refused(spark, history):
     with pytest.raises(ValueError, match="no version"):
-        v.read_as_of(spark, table, 77)
+        v.read_as_of(history, 77)
     with pytest.raises(ValueError, match="not in the table"):
-        v.append(table, spark.createDataFrame([(1, "x")], "event_id long, colour string"))
+        v.append(history, spark.createDataFrame([(1, "x")], "event_id long, colour string"))
     with pytest.raises(ValueError, match="exists"):
-        v.add_column(spark, table, "platform", "string")
+        v.add_column(history, "platform", "string")

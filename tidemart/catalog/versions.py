@@ -1,4 +1,4 @@
-"""Versioned tables (T rows): each query keeps a new table of the events in scratch storage.
+"""Versioned tables (T rows): each query makes a new history of the events.
 
 History used throughout: version 1 holds all events; 2 adds the column ``platform``; 3
 appends the paid events again with a platform; 4 deletes one country's rows.
@@ -23,54 +23,51 @@ _V4 = f"{_V3},\nv4 AS (SELECT * FROM v3 WHERE country <> 'NATION_3' OR country I
 CONDITION = "country = 'NATION_3'"
 
 
-def _history(spark, sf_dir, upto: int, mode: str = "merge_on_read") -> str:
-    path = scratch_dir(spark, "versions")
+def _history(spark, sf_dir, upto: int, rewrite: bool = False) -> versioned.History:
     events = views.ods_events(spark, sf_dir).select(*_COLUMNS.split(", "))
-    versioned.append(path, events)
+    h = versioned.begin(events, scratch_dir(spark, "versions"))
     if upto >= 2:
-        versioned.add_column(spark, path, "platform", "string")
+        h = versioned.add_column(h, "platform", "string")
     if upto >= 3:
-        paid = versioned.read_as_of(spark, path).where("action_type = 'pay'")
-        versioned.append(path, paid.withColumn("platform", F.lit("mobile_app")))
+        paid = versioned.read_as_of(h).where("action_type = 'pay'")
+        h = versioned.append(h, paid.withColumn("platform", F.lit("mobile_app")))
     if upto >= 4:
-        versioned.delete_where(spark, path, CONDITION, mode)
-    return path
+        h = (versioned.delete_by_rewrite if rewrite else versioned.delete_where)(h, CONDITION)
+    return h
 
 
 @query(with_(f"{ODS},\n{_V3}", "SELECT * FROM v3"))
 def version_append(spark, sf_dir):
-    return versioned.read_as_of(spark, _history(spark, sf_dir, 3))
+    return versioned.read_as_of(_history(spark, sf_dir, 3))
 
 
 @query(with_(f"{ODS},\n{_V1}", "SELECT * FROM v1"))
 def read_as_of(spark, sf_dir):
     """Version 1 after three more changes: its rows and its columns."""
-    return versioned.read_as_of(spark, _history(spark, sf_dir, 4), 1)
+    return versioned.read_as_of(_history(spark, sf_dir, 4), 1)
 
 
 @query(with_(f"{ODS},\n{_V1}", "SELECT *, CAST(NULL AS VARCHAR) AS platform FROM v1"))
 def add_column(spark, sf_dir):
-    return versioned.read_as_of(spark, _history(spark, sf_dir, 2))
+    return versioned.read_as_of(_history(spark, sf_dir, 2))
 
 
 @query(with_(f"{ODS},\n{_V4}", "SELECT * FROM v4"))
 def delete_where(spark, sf_dir):
-    return versioned.read_as_of(spark, _history(spark, sf_dir, 4))
+    return versioned.read_as_of(_history(spark, sf_dir, 4))
 
 
 @query(with_(f"{ODS},\n{_V4}", "SELECT * FROM v4"))
 def delete_copy_on_write(spark, sf_dir):
-    return versioned.read_as_of(spark, _history(spark, sf_dir, 4, "copy_on_write"))
+    return versioned.read_as_of(_history(spark, sf_dir, 4, rewrite=True))
 
 
 @query(with_(f"{ODS},\n{_V3}", "SELECT * FROM v3 UNION ALL SELECT *, 'web' FROM v1 WHERE action_type = 'click'"))
 def rollback_to(spark, sf_dir):
     """Back to version 3 and on from there: the delete does not apply to the new branch."""
-    path = _history(spark, sf_dir, 4)
-    versioned.rollback_to(spark, path, 3)
-    clicks = versioned.read_as_of(spark, path, 1).where("action_type = 'click'")
-    versioned.append(path, clicks.withColumn("platform", F.lit("web")))
-    return versioned.read_as_of(spark, path)
+    h = versioned.rollback_to(_history(spark, sf_dir, 4), 3)
+    clicks = versioned.read_as_of(h, 1).where("action_type = 'click'")
+    return versioned.read_as_of(versioned.append(h, clicks.withColumn("platform", F.lit("web"))))
 
 
 @query(with_(f"{ODS},\n{_V3}", """
@@ -80,13 +77,12 @@ UNION ALL SELECT 2, 1, 'add_column', 0, 0, FALSE
 UNION ALL SELECT 3, 2, 'append', (SELECT COUNT(*) FROM v1 WHERE action_type = 'pay'), 0, FALSE
 UNION ALL SELECT 4, 3, 'delete', 0, (SELECT COUNT(*) FROM v3 WHERE country = 'NATION_3'), TRUE"""))
 def snapshot_log(spark, sf_dir):
-    log = versioned.snapshot_log(spark, _history(spark, sf_dir, 4))
-    return log.drop("made_at")
+    return versioned.log(_history(spark, sf_dir, 4))
 
 
 @query(with_(f"{ODS},\n{_V3}", "SELECT * FROM v3 WHERE country = 'NATION_3' AND platform IS NULL"))
 def scan_filter_limit(spark, sf_dir):
-    rows = versioned.read_as_of(spark, _history(spark, sf_dir, 3))
+    rows = versioned.read_as_of(_history(spark, sf_dir, 3))
     return rows.where("country = 'NATION_3' AND platform IS NULL")
 
 
@@ -94,4 +90,4 @@ def scan_filter_limit(spark, sf_dir):
 SELECT (SELECT COUNT(*) FROM v1) AS old_rows, (SELECT COUNT(*) FROM v3) AS new_rows,
   (SELECT COUNT(*) FROM v3) - (SELECT COUNT(*) FROM v1) AS diff"""))
 def version_diff(spark, sf_dir):
-    return versioned.version_diff(spark, _history(spark, sf_dir, 3), 1, 3)
+    return versioned.version_diff(_history(spark, sf_dir, 3), 1, 3)

@@ -1,187 +1,160 @@
-"""Tables with versions, as plain DataFrame work on a folder of Parquet files.
+"""Tables with versions, as relations.
 
-``<path>/rows`` holds every row ever added, partitioned by the version that added it
-(``_added_v``). ``<path>/log`` has one small row per change: version, parent, operation,
-counts, the columns of that version and, for a delete, its condition. Reading a version
-walks from it to its ancestors, which gives the batches to scan and the conditions to
-leave out. Writers take turns; there is no commit protocol.
+Three DataFrames make up a history: ``rows`` (all rows ever added, each with a stored ``_row_id``
+and the version ``_added_v`` that added it), ``deletes`` (``_row_id`` and the version ``_deleted_v``
+that deleted it) and ``versions`` (a small table: version, parent, operation, columns). A version
+holds the rows that it or an ancestor added, less those that it or an ancestor deleted; a rollback
+only moves the head, and what is done next has that version as its parent.
 
-A ``merge_on_read`` delete stores its condition and touches no row: readers skip matching
-rows of the batches that existed then, in the scan itself, without a join. A
-``copy_on_write`` delete rewrites the batches that hold matching rows.
+Every operation returns a new history and changes nothing that was there. What it adds is written
+to a new folder below ``folder`` and read back, so that row ids and deleted rows are facts, not
+conditions: a delete by ``rand()`` or by a day in the session's zone reads the same ever after.
 """
 
 from __future__ import annotations
 
-import json
-import time
-from dataclasses import dataclass, field
+import uuid
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-LOG_SCHEMA = (
-    "seq long, version long, parent long, op string, added long, deleted long, "
-    "condition string, replaced array<long>, columns string, made_ms long"
-)
-
-
-def snapshot_log(spark: SparkSession, path: str) -> DataFrame:
-    """All versions, oldest first by ``version``, with operation and row counts."""
-    log = spark.read.schema(LOG_SCHEMA).parquet(f"{path}/log")
-    current = log.groupBy().agg(F.max_by("version", "seq").alias("v"))
-    return log.where("op <> 'rollback'").select(
-        "version", "parent", "op", "added", "deleted",
-        (F.col("version") == current.scalar()).alias("is_current"),
-        F.timestamp_millis("made_ms").alias("made_at"),
-    )
 
+VERSIONS = "version long, parent long, op string, columns array<string>"
+DELETES = "_row_id string, _deleted_v long"
+
+
+@dataclass(frozen=True)
+class History:
+    rows: DataFrame
+    deletes: DataFrame
+    versions: DataFrame
+    head: int
+    folder: str
+
+    @property
+    def spark(self) -> SparkSession:
+        return self.rows.sparkSession
 
-def append(path: str, df: DataFrame) -> int:
-    """Add rows as a new version; a column the table lacks must be added first."""
+
+def begin(df: DataFrame, folder: str) -> History:
+    """A history whose version 1 holds ``df``."""
     spark = df.sparkSession
-    state = _load(spark, path)
-    columns = state.columns if state else df.schema
-    unknown = [c for c in df.columns if c not in columns.fieldNames()]
+    none = spark.createDataFrame([], DELETES)
+    first = spark.createDataFrame([(1, None, "append", df.columns)], VERSIONS)
+    return History(_numbered(df, folder, 1), none, first, 1, folder)
+
+
+def append(h: History, df: DataFrame) -> History:
+    """Add rows. A column that the history lacks must be added first."""
+    columns = dict(h.rows.dtypes)
+    unknown = [c for c in df.columns if c not in _columns(h, h.head)]
     if unknown:
         raise ValueError(f"columns not in the table: {unknown}")
-    version = state.next_version if state else 1
-    typed = df.select(*[F.col(f.name).cast(f.dataType) for f in columns.fields if f.name in df.columns])
-    _write_batch(typed, path, version)
-    added = _batch(spark, path, version).count()
-    return _commit(spark, path, state, "append", version, columns, added=added)
+    typed = df.select(*[F.col(c).cast(columns[c]) for c in df.columns])
+    h, version = _next(h, "append")
+    return replace(h, rows=h.rows.unionByName(_numbered(typed, h.folder, version), allowMissingColumns=True))
 
 
-def add_column(spark: SparkSession, path: str, name: str, type_name: str) -> int:
-    """Add a nullable column. No row is rewritten; old rows read NULL."""
-    state = _load(spark, path)
-    if name in state.columns.fieldNames():
+def add_column(h: History, name: str, type_name: str) -> History:
+    """A new nullable column. Rows there are read NULL."""
+    if name in _columns(h, h.head):
         raise ValueError(f"column {name} exists")
-    columns = T.StructType(state.columns.fields + [T.StructField(name, T._parse_datatype_string(type_name))])
-    return _commit(spark, path, state, "add_column", state.next_version, columns)
+    h, _ = _next(h, "add_column", [*_columns(h, h.head), name])
+    return h if name in h.rows.columns else replace(h, rows=h.rows.withColumn(name, F.lit(None).cast(type_name)))
 
 
-def delete_where(spark: SparkSession, path: str, condition: str, mode: str = "merge_on_read") -> int:
+def delete_where(h: History, condition: str) -> History:
     """Delete the rows for which the SQL condition is true; NULL is not true."""
-    state = _load(spark, path)
-    matches = _rows(spark, path, state).where(_holds(condition))
-    version = state.next_version
-    if mode == "merge_on_read":
-        return _commit(spark, path, state, "delete", version, state.columns,
-                       deleted=matches.count(), condition=condition)
-    if mode != "copy_on_write":
-        raise ValueError(f"unknown mode {mode!r}")
-    hit = {r["_added_v"]: r["count"] for r in matches.groupBy("_added_v").count().collect()}
-    if hit:
-        kept = _rows(spark, path, state).where(F.col("_added_v").isin(*hit) & ~_holds(condition))
-        _write_batch(kept.drop("_added_v"), path, version)
-    return _commit(spark, path, state, "overwrite", version, state.columns,
-                   deleted=sum(hit.values()), replaced=sorted(hit))
-
-
-def rollback_to(spark: SparkSession, path: str, version: int) -> None:
-    """Make an earlier version current. Later versions stay readable by number, and the
-    next change takes ``version`` as its parent."""
-    state = _load(spark, path)
-    target = state.entries[version]
-    _append_log(spark, path, [(state.next_seq, version, target.parent, "rollback", 0, 0, None, [],
-                               target.columns, _now_ms())])
-
-
-def read_as_of(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    """Rows and columns of a version; of the current one by default."""
-    return _rows(spark, path, _load(spark, path, version)).drop("_added_v")
-
-
-def version_diff(spark: SparkSession, path: str, old: int, new: int) -> DataFrame:
+    gone = _live(h, h.head).where(F.expr(condition)).select("_row_id")
+    h, version = _next(h, "delete")
+    return replace(h, deletes=h.deletes.unionByName(_gone(gone, h.folder, version)))
+
+
+def delete_by_rewrite(h: History, condition: str) -> History:
+    """The same rows go, but every batch that holds one is added again without them: readers
+    of later versions find whole batches deleted."""
+    live = _live(h, h.head)
+    hit = live.where(F.expr(condition)).select("_added_v").distinct()
+    batches = live.join(hit, "_added_v", "left_semi")
+    kept = batches.where(~F.coalesce(F.expr(condition), F.lit(False))).select(*_columns(h, h.head))
+    h2, version = _next(h, "overwrite")
+    return replace(
+        h2, rows=h.rows.unionByName(_numbered(kept, h.folder, version), allowMissingColumns=True),
+        deletes=h.deletes.unionByName(_gone(batches.select("_row_id"), h.folder, version)),
+    )
+
+
+def rollback_to(h: History, version: int) -> History:
+    """Make an earlier version the head. Later versions stay readable by number."""
+    _columns(h, version)
+    return replace(h, head=version)
+
+
+def read_as_of(h: History, version: int | None = None) -> DataFrame:
+    """Rows and columns of a version; of the head by default."""
+    at = h.head if version is None else version
+    return _live(h, at).select(*_columns(h, at))
+
+
+def log(h: History) -> DataFrame:
+    """All versions with their numbers of added and deleted rows."""
+    added = h.rows.groupBy(F.col("_added_v").alias("version")).agg(F.count(F.lit(1)).alias("added"))
+    deleted = h.deletes.groupBy(F.col("_deleted_v").alias("version")).agg(F.count(F.lit(1)).alias("deleted"))
+    zero = F.lit(0).cast("long")
+    return h.versions.join(added, "version", "left").join(deleted, "version", "left").select(
+        "version", "parent", "op", F.coalesce("added", zero).alias("added"), F.coalesce("deleted", zero).alias("deleted"),
+        (F.col("version") == h.head).alias("is_current"))
+
+
+def version_diff(h: History, old: int, new: int) -> DataFrame:
     """Row counts of two versions and their difference."""
-    sizes = read_as_of(spark, path, old).select(F.lit(1).alias("o"), F.lit(0).alias("n")).union(
-        read_as_of(spark, path, new).select(F.lit(0).alias("o"), F.lit(1).alias("n"))
+    sizes = read_as_of(h, old).select(F.lit(1).alias("o"), F.lit(0).alias("n")).union(
+        read_as_of(h, new).select(F.lit(0).alias("o"), F.lit(1).alias("n"))
     ).agg(F.coalesce(F.sum("o"), F.lit(0)).alias("old_rows"), F.coalesce(F.sum("n"), F.lit(0)).alias("new_rows"))
     return sizes.withColumn("diff", F.col("new_rows") - F.col("old_rows"))
 
 
-@dataclass
-class _State:
-    """What the log says about one version."""
-
-    entries: dict
-    version: int
-    next_version: int
-    next_seq: int
-    columns: T.StructType
-    # batch number -> conditions of the deletes that came after it
-    batches: dict[int, list[str]] = field(default_factory=dict)
-
-
-def _load(spark: SparkSession, path: str, version: int | None = None) -> _State | None:
-    """Read the log: one row per change ever made, so a driver-side list is bounded by them."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/log")
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        return None
-    log = sorted(spark.read.schema(LOG_SCHEMA).parquet(f"{path}/log").collect(), key=lambda r: r.seq)
-    entries = {r.version: r for r in log if r.op != "rollback"}
-    at = log[-1].version if version is None else version
-    if at not in entries:
-        raise ValueError(f"no version {at}")
-    chain = []
-    step = at
-    while step is not None:
-        chain.append(entries[step])
-        step = entries[step].parent
-    state = _State(entries, at, max(entries) + 1, log[-1].seq + 1,
-                   T.StructType.fromJson(json.loads(entries[at].columns)))
-    for entry in reversed(chain):
-        if entry.op == "append":
-            state.batches[entry.version] = []
-        elif entry.op == "delete":
-            for conditions in state.batches.values():
-                conditions.append(entry.condition)
-        elif entry.op == "overwrite" and entry.replaced:
-            for batch in entry.replaced:
-                del state.batches[batch]
-            state.batches[entry.version] = []
-    return state
-
-
-def _rows(spark: SparkSession, path: str, state: _State) -> DataFrame:
-    """One scan of the version's batches (other folders are pruned) minus deleted rows."""
-    schema = T.StructType(state.columns.fields + [T.StructField("_added_v", T.LongType())])
-    rows = spark.read.schema(schema).parquet(f"{path}/rows")
-    rows = rows.where(F.col("_added_v").isin(*state.batches))
-    hidden: dict[str, list[int]] = {}
-    for batch, conditions in state.batches.items():
-        for condition in dict.fromkeys(conditions):
-            hidden.setdefault(condition, []).append(batch)
-    for condition, batches in hidden.items():
-        rows = rows.where(~(F.col("_added_v").isin(*batches) & _holds(condition)))
-    return rows
-
-
-def _batch(spark: SparkSession, path: str, version: int) -> DataFrame:
-    return spark.read.parquet(f"{path}/rows/_added_v={version}")
-
-
-def _write_batch(df: DataFrame, path: str, version: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/rows/_added_v={version}")
-
-
-def _holds(condition: str) -> Column:
-    return F.coalesce(F.expr(condition), F.lit(False))
-
-
-def _commit(spark, path, state, op, version, columns, added=0, deleted=0, condition=None, replaced=()) -> int:
-    parent = state.version if state else None
-    seq = state.next_seq if state else 1
-    _append_log(spark, path, [(seq, version, parent, op, added, deleted, condition, list(replaced),
-                               columns if isinstance(columns, str) else columns.json(), _now_ms())])
-    return version
-
-
-def _append_log(spark: SparkSession, path: str, rows: list[tuple]) -> None:
-    spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{path}/log")
-
-
-def _now_ms() -> int:
-    return time.time_ns() // 1_000_000
+def _lines(h: History) -> dict[int, object]:
+    """The versions table: a row per change ever made, of a few numbers and names."""
+    return {r.version: r for r in h.versions.collect()}
+
+
+def _columns(h: History, version: int) -> list[str]:
+    lines = _lines(h)
+    if version not in lines:
+        raise ValueError(f"no version {version}")
+    return lines[version]["columns"]
+
+
+def _live(h: History, version: int) -> DataFrame:
+    """The version's rows with their ids: its batches, less the ids deleted on its line."""
+    lines, line, at = _lines(h), [], version
+    if version not in lines:
+        raise ValueError(f"no version {version}")
+    while at is not None:
+        line.append(at)
+        at = lines[at].parent
+    gone = h.deletes.where(F.col("_deleted_v").isin(line))
+    return h.rows.where(F.col("_added_v").isin(line)).join(gone, "_row_id", "left_anti")
+
+
+def _next(h: History, op: str, columns: list[str] | None = None) -> tuple[History, int]:
+    lines = _lines(h)
+    version = max(lines) + 1
+    line = h.spark.createDataFrame([(version, h.head, op, columns or lines[h.head]["columns"])], VERSIONS)
+    return replace(h, versions=h.versions.unionByName(line), head=version), version
+
+
+def _numbered(df: DataFrame, folder: str, version: int) -> DataFrame:
+    """Store a batch; a row's id is the version, its file and its place there."""
+    path = f"{folder}/rows-{version}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    place = F.concat_ws("/", F.lit(version), F.col("_metadata.file_name"), F.col("_metadata.row_index"))
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored.select("*", place.alias("_row_id"), F.lit(version).cast("long").alias("_added_v"))
+
+
+def _gone(ids: DataFrame, folder: str, version: int) -> DataFrame:
+    path = f"{folder}/deletes-{version}-{uuid.uuid4().hex}"
+    ids.select("_row_id", F.lit(version).cast("long").alias("_deleted_v")).write.parquet(path)
+    return ids.sparkSession.read.schema(DELETES).parquet(path)
