@@ -112,11 +112,25 @@ def test_recent_days_prune_partitions(spark, sf_dir, tmp_path):
     assert sorted(p.name for p in (tmp_path / "ods").glob("dt=*"))[0] == "dt=2024-01-01"
 
 
-def test_old_version_scans_its_own_batches_without_a_join(spark, tmp_path):
-    path = str(tmp_path / "t")
-    for i in range(3):
-        versioned.append(path, spark.createDataFrame([(i, "SG")], "id long, country string"))
-    versioned.delete_where(spark, path, "country = 'SG' AND id = 0")
-    plan = plan_of(versioned.read_as_of(spark, path, 2))
-    assert re.search(r"PartitionFilters: \[[^\n]*_added_v[^\n]* IN \(1,2\)", plan)
-    assert "Join" not in plan_of(versioned.read_as_of(spark, path))
+def test_as_of_is_an_anti_join_without_a_hint(spark, tmp_path):
+    h = versioned.begin(spark.createDataFrame([(i, "SG") for i in range(3)], "id long, country string"), str(tmp_path))
+    plan = plan_of(versioned.read_as_of(versioned.delete_where(h, "id = 0")))
+    assert "LeftAnti" in plan and "CartesianProduct" not in plan
+
+
+DATED = (
+    "total_gmv_7d top1_country pay_uv_country_day category_gmv_share scalar_subquery_total share_of_total_window overall_conversion "
+    "lag_wow_drop arpu_by_age_group channel_gmv_share today_gmv pay_uv_by_country sort_by_ordinal having_vs_total"
+).split()
+
+
+@pytest.mark.parametrize("name", DATED)
+def test_dated_questions_prune_days(spark, sf_dir, name):
+    plan = plan_of(QUERIES[name](spark, sf_dir))
+    filters = re.findall(r"PartitionFilters: \[([^\n]*)\]", plan)
+    assert filters and all("dt" in f for f in filters) and "events.parquet" not in plan
+
+
+@pytest.mark.parametrize("name", ["build_dws", "conditional_count", "group_sum_small"])
+def test_user_days_join_no_dimension(spark, sf_dir, name):
+    assert "Join" not in plan_of(QUERIES[name](spark, sf_dir))

@@ -13,6 +13,7 @@ from tidemart.functions import (
 from tidemart.operators.aggregates import funnel_uv, step_counts
 from tidemart.operators.joins import compare_by_key, enrich
 from tidemart.operators.rows import dedup, first_seen
+from tidemart.plans.warehouse import DWD_COLUMNS
 from tidemart.sources import views
 from tidemart.sources.views import AS_OF, STEPS
 
@@ -37,10 +38,7 @@ def project_rename(spark, sf_dir):
         "item_id", F.col("category").alias("item_category"), F.col("brand").alias("item_brand")
     )
     joined = enrich(views.ods_events(spark, sf_dir), [(dim_user, "user_id"), (dim_item, "item_id")])
-    return joined.select(
-        "event_id", "user_id", "item_id", "action_type", "event_ts", "session_id", "amount", "country",
-        "device", "item_category", "item_brand", "user_channel", "age_group", "dt",
-    )
+    return joined.select(*DWD_COLUMNS)
 
 
 @query(with_(REPLAYED, "SELECT * FROM replayed WHERE user_id IS NOT NULL"))
@@ -177,12 +175,19 @@ def group_sum_small(spark, sf_dir):
     )
 
 
-@query()
+# Relative standard error of the estimate, and the deviation that is still taken as within it.
+UV_ERROR, UV_BOUND = 0.02, 0.1
+
+
+@query(with_(ODS, "SELECT dt, country, COUNT(DISTINCT user_id) AS exact_uv, TRUE AS within_bound FROM ods GROUP BY dt, country"))
 def approx_uv(spark, sf_dir):
-    """Estimated users per day and country (2 % standard error); a sketch per group instead
-    of one row per user. The exact figures are those of ``funnel_uv``."""
+    """Estimated users per day and country, beside the exact figure: a sketch per group instead
+    of one row per user, and whether it is within five standard errors (or one user)."""
     ods = views.ods_events(spark, sf_dir)
-    return ods.groupBy("dt", "country").agg(F.approx_count_distinct("user_id", 0.02).alias("uv"))
+    counted = ods.groupBy("dt", "country").agg(
+        F.approx_count_distinct("user_id", UV_ERROR).alias("uv"), F.count_distinct("user_id").alias("exact_uv"))
+    off = F.abs(F.col("uv") - F.col("exact_uv"))
+    return counted.select("dt", "country", "exact_uv", (off <= F.greatest(F.lit(1.0), F.col("exact_uv") * UV_BOUND)).alias("within_bound"))
 
 
 @query(with_(ADS, "SELECT dt, country, category, ROUND(gmv, 2) AS gmv FROM ads ORDER BY dt DESC, ROUND(gmv, 2) DESC, country, category LIMIT 15"))
@@ -216,12 +221,13 @@ def full_outer_compare(spark, sf_dir):
 
 @query(with_(_BY_TIME, """
 SELECT 'proctime' AS by_what, window_start, country, pv FROM by_arrival
-WHERE window_start >= TIMESTAMP '2024-01-30 23:50:00'
+WHERE window_start >= (SELECT date_trunc('minute', MAX(ts)) FROM arrived) - INTERVAL 9 MINUTE
 UNION ALL SELECT 'eventtime', window_start, country, pv FROM by_event
-WHERE window_start >= TIMESTAMP '2024-01-30 23:50:00'"""))
+WHERE window_start >= (SELECT date_trunc('minute', MAX(ts)) FROM arrived) - INTERVAL 9 MINUTE"""))
 def union_all_tagged(spark, sf_dir):
     """Both clocks side by side for the ten minutes up to the end of the data."""
-    since = F.lit("2024-01-30 23:50:00").cast("timestamp_ntz")
+    last = views.raw_events(spark, sf_dir).agg(F.date_trunc("minute", F.timestamp_millis(F.max("event_ts"))).alias("last"))
+    since = last.select((F.col("last") - F.expr("INTERVAL 9 MINUTES")).cast("timestamp_ntz")).scalar()
     tagged = [
         minute_pv(spark, sf_dir, clock).where(F.col("window_start") >= since)
         .select(F.lit(name).alias("by_what"), "window_start", "country", "pv")

@@ -53,11 +53,13 @@ def partitioned_append(spark, sf_dir):
 
 @query(with_(DIMS, "SELECT * FROM dim_item"))
 def create_table_as(spark, sf_dir):
-    """Created twice: the second run replaces the first."""
+    """Created twice: the second run replaces the first. The name is the run's own, so that two
+    runs do not meet."""
     items = views.dim_item(spark, sf_dir)
     path = scratch_dir(spark, "ctas")
-    formats.rebuild_table(items, "tidemart_dim_item", path)
-    return formats.rebuild_table(items, "tidemart_dim_item", path)
+    name = "tidemart_" + path.rsplit("/", 1)[1].replace("-", "_")
+    formats.rebuild_table(items, name, path)
+    return formats.rebuild_table(items, name, path)
 
 
 @query(with_(DWD, """

@@ -18,10 +18,6 @@ from tidemart.sources.views import AS_OF
 _WEEK = f"dt >= {TODAY} - 7"
 _MONTH = f"dt >= {TODAY} - 30"
 
-# The item categories of the test tables, for the columns of the heat map.
-CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
-
-
 @query(with_(ADS, f"SELECT ROUND(SUM(gmv), 2) AS total_gmv FROM ads WHERE {_WEEK}"))
 def total_gmv_7d(spark, sf_dir):
     return ask.total_gmv(ads(spark, sf_dir), AS_OF, 7)
@@ -79,12 +75,13 @@ def undated_conversion(spark, sf_dir):
     return ask.conversion(ads(spark, sf_dir))
 
 
+# A week's sum against that of the latest earlier week in which the country has any.
 @query(with_(ADS + f""",
-weekly AS (SELECT country, CAST(date_trunc('week', dt) AS DATE) AS wk, SUM(gmv) AS gmv FROM ads WHERE {_MONTH} GROUP BY 1, 2),
-lagged AS (SELECT *, LAG(gmv) OVER (PARTITION BY country ORDER BY wk) AS prev_gmv FROM weekly)""", """
-SELECT country, wk, ROUND(gmv, 2) AS gmv, ROUND(prev_gmv, 2) AS prev_gmv,
-  ROUND((gmv - prev_gmv) / NULLIF(prev_gmv, 0), 4) AS pct_change
-FROM lagged WHERE prev_gmv IS NOT NULL AND (gmv - prev_gmv) / NULLIF(prev_gmv, 0) < -0.1"""))
+week_sums AS (SELECT country, dt - CAST(isodow(dt) - 1 AS INTEGER) AS wk, SUM(gmv) AS total FROM ads WHERE {_MONTH} GROUP BY ALL)""", """
+SELECT now.country, now.wk, ROUND(now.total, 2) AS gmv, ROUND(old.total, 2) AS prev_gmv, ROUND(now.total / old.total - 1, 4) AS pct_change
+FROM week_sums now JOIN week_sums old ON old.country = now.country
+  AND old.wk = (SELECT MAX(w.wk) FROM week_sums w WHERE w.country = now.country AND w.wk < now.wk)
+WHERE old.total <> 0 AND now.total / old.total - 1 < -0.1"""))
 def lag_wow_drop(spark, sf_dir):
     return ask.weekly_drops(ads(spark, sf_dir), AS_OF)
 
@@ -184,11 +181,10 @@ def board_gmv_trend(spark, sf_dir):
     return ask.gmv_by(ads(spark, sf_dir), ["dt"]).orderBy("dt")
 
 
-@query(with_(ADS, "SELECT country, " + ", ".join(
-    f"ROUND(COALESCE(SUM(gmv) FILTER (category = '{c}'), 0), 2) AS {c.lower()}" for c in CATEGORIES
-) + " FROM ads GROUP BY country"))
+@query(with_(ADS, "SELECT country, category, ROUND(SUM(gmv), 2) AS gmv FROM ads GROUP BY country, category"))
 def board_heatmap(spark, sf_dir):
-    return ask.heatmap(ads(spark, sf_dir), CATEGORIES)
+    """One row per cell: whatever categories there are, the cells add up to the total."""
+    return ask.gmv_by(ads(spark, sf_dir), ["country", "category"])
 
 
 @query(with_(DWD, """

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.catalog.registry import query
-from tidemart.catalog.sql import ARRIVALS, ODS, with_
+from tidemart.catalog.sql import ARRIVALS, ODS, SLOW_ARRIVALS, with_
 from tidemart.operators.joins import compare_by_key
 from tidemart.operators.sessions import classify_late
 from tidemart.session import scratch_dir, stream_session
@@ -87,7 +87,7 @@ def watermark_diff(spark, sf_dir):
     )
 
 
-_LATE = ARRIVALS + """,
+_LATE = SLOW_ARRIVALS + """,
 placed AS (
   SELECT event_id, country, device, ts, arrival_ts, date_trunc('minute', ts) AS window_start,
     MAX(ts) OVER (PARTITION BY device ORDER BY arrival_ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
@@ -97,7 +97,7 @@ judged AS (SELECT *, COALESCE(window_start + INTERVAL 1 MINUTE <= seen, FALSE) A
 
 
 def _judged(spark, sf_dir):
-    arrived = views.arrivals(views.raw_events(spark, sf_dir)).select("event_id", "country", "device", "ts", "arrival_ts")
+    arrived = views.arrivals(views.raw_events(spark, sf_dir), slow=True).select("event_id", "country", "device", "ts", "arrival_ts")
     return classify_late(arrived, "device", ["arrival_ts", "event_id"], "ts", 60, 0)
 
 
@@ -178,28 +178,50 @@ def checkpoint_restart(spark, sf_dir):
     return spark.read.schema(ods.schema).parquet(f"{folder}/out/table")
 
 
-@query(with_(ODS, "SELECT event_id, user_id, action_type, event_ts, dt, TRUE AS parsed, TRUE AS has_source FROM ods"))
+# A broken line, one whose time is no number, and an empty line.
+_ODD_LINES = ('{"event_id": 1, "user', '{"event_id": 2, "event_ts": "abc"}', "")
+
+
+@query(with_(ODS, """
+SELECT event_id, user_id, action_type, event_ts, dt, TRUE AS parsed, TRUE AS has_source,
+  CAST(event_id AS VARCHAR) AS raw FROM ods
+UNION ALL SELECT * FROM (VALUES
+  (NULL, NULL, NULL, NULL, CAST(NULL AS DATE), FALSE, TRUE, '{"event_id": 1, "user'),
+  (NULL, NULL, NULL, NULL, CAST(NULL AS DATE), FALSE, TRUE, '{"event_id": 2, "event_ts": "abc"}'),
+  (NULL, NULL, NULL, NULL, CAST(NULL AS DATE), FALSE, TRUE, '')) odd"""))
 def stream_to_ods(spark, sf_dir):
     """Keep-everything landing: the raw line, where it came from and when, with the day for
-    partitioning. Nothing that arrives is lost, whatever its schema."""
+    partitioning. Nothing that arrives is lost: broken lines, lines with values of a wrong type
+    and empty lines land as they came, without a day. ``raw`` is shown as its event id where
+    the line is the very text that was sent."""
     raw = views.raw_events(spark, sf_dir)
     folder = scratch_dir(spark, "ods_in")
     formats.write_jsonl(raw, folder)
+    odd = spark.range(1).select(F.explode(F.array(*map(F.lit, _ODD_LINES))).alias("value"))
+    odd.coalesce(1).write.mode("append").text(folder)
     lines = sources.raw_stream(stream_session(spark), folder)
-    event_ms = F.get_json_object("raw", "$.event_ts").cast("long")
+    event_ms = F.get_json_object("raw", "$.event_ts").try_cast("long")
     landed = _run(spark, lines.withColumn("dt", F.to_date(F.timestamp_millis(event_ms))), "ods_out", ["dt"])
     event = sources.parse_events(landed, raw.schema)
+    fields = {c: F.when(F.col("parsed"), F.col(f"event.{c}")) for c in raw.columns}
+    sent = F.to_json(F.struct(*[fields[c].alias(c) for c in raw.columns]))
     return event.select(
-        "event.event_id", "event.user_id", "event.action_type", "event.event_ts", "dt", "parsed",
+        *[fields[c].alias(c) for c in ("event_id", "user_id", "action_type", "event_ts")], "dt", "parsed",
         (F.col("source_file").isNotNull() & F.col("landed_at").isNotNull()).alias("has_source"),
+        F.when(F.col("parsed") & (sent == F.col("raw")), F.col("event.event_id").cast("string")).otherwise(F.col("raw")).alias("raw"),
     )
 
 
+# How much later than an event its copies may come. State holds the keys of that span.
+REPLAY_HORIZON = "60 days"
+
+
 @query(with_(ODS, "SELECT * EXCLUDE (dt) FROM ods"))
 def stream_dedup(spark, sf_dir):
-    """Every event delivered twice; the stream keeps one of each."""
+    """Every event delivered twice; the stream keeps one of each. One micro-batch takes all that
+    is there, so that the horizon only matters to what comes later."""
     raw = views.raw_events(spark, sf_dir)
     folder = scratch_dir(spark, "replay_in")
     formats.write_jsonl(raw.unionByName(raw), folder)
     stream = sources.with_event_time(sources.json_stream(stream_session(spark), folder, raw.schema))
-    return _run(spark, windows.drop_replays(stream, "ts", "event_id", "31 days").drop("ts"), "replay_out")
+    return _run(spark, windows.drop_replays(stream, "ts", "event_id", REPLAY_HORIZON).drop("ts"), "replay_out")

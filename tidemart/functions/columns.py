@@ -71,8 +71,8 @@ def value_when(column: str, equals: str, value: ColumnLike, otherwise=None) -> C
 
 
 def json_field(document: ColumnLike, path: str, type_name: str = "string") -> Column:
-    """One field of a JSON string column; NULL where it is absent."""
-    return F.get_json_object(_col(document), path).cast(type_name)
+    """One field of a JSON string column; NULL where it is absent or not of the type."""
+    return F.get_json_object(_col(document), path).try_cast(type_name)
 
 
 def bucket_of(ts: ColumnLike, seconds: int) -> Column:

@@ -30,9 +30,10 @@ def require_rows(df: DataFrame, name: str) -> DataFrame:
 def row_differences(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows whose number of occurrences differs; ``surplus`` is positive where ``a`` has more.
 
-    One grouping of both sides together, so copies of a row combine before the shuffle.
+    Columns are matched by name. One grouping of both sides together, so copies of a row combine
+    before the shuffle.
     """
-    signed = a.withColumn("_n", F.lit(1)).union(b.withColumn("_n", F.lit(-1)))
+    signed = a.withColumn("_n", F.lit(1)).unionByName(b.withColumn("_n", F.lit(-1)))
     return signed.groupBy(*a.columns).agg(F.sum("_n").alias("surplus")).where("surplus <> 0")
 
 
@@ -41,7 +42,7 @@ def same_rows(a: DataFrame, b: DataFrame) -> DataFrame:
 
     Equal counts say nothing about the rows; ``rows_match`` compares them as a multiset.
     """
-    signed = a.select("*", F.lit(1).alias("_a"), F.lit(0).alias("_b")).union(
+    signed = a.select("*", F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(
         b.select("*", F.lit(0).alias("_a"), F.lit(1).alias("_b"))
     )
     per_row = signed.groupBy(*a.columns).agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))

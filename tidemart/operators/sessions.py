@@ -20,10 +20,10 @@ def session_slices(df: DataFrame, user: str, ts: str, gap_seconds: int) -> DataF
     """One row per user and slice of ``gap_seconds``, numbered by session.
 
     Two events in one slice are less than the gap apart, so a slice lies in one session,
-    and a session can only start at a slice's first event.
+    and a session can only start at a slice's first event. Events without a user have no session.
     """
     slices = (
-        df.withColumn("_slice", bucket_of(ts, gap_seconds))
+        df.where(F.col(user).isNotNull()).withColumn("_slice", bucket_of(ts, gap_seconds))
         .groupBy(user, "_slice")
         .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.count(F.lit(1)).alias("_events"))
     )
@@ -39,7 +39,7 @@ def session_slices(df: DataFrame, user: str, ts: str, gap_seconds: int) -> DataF
 
 def sessionize(df: DataFrame, user: str, ts: str, gap_seconds: int = 1800, limit: int | None = None) -> DataFrame:
     """Adds ``session_no``: 1, 2, ... per user. A new session starts when the user was
-    silent for ``gap_seconds`` or longer."""
+    silent for ``gap_seconds`` or longer. NULL where there is no user."""
     slices = session_slices(df, user, ts, gap_seconds)
     return attach(
         df.withColumn("_slice", bucket_of(ts, gap_seconds)),

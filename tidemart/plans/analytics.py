@@ -122,13 +122,6 @@ def funnel_rows(ads: DataFrame) -> DataFrame:
     return sums.unpivot([], list(STEPS), "step", "uv")
 
 
-def heatmap(ads: DataFrame, categories: Sequence[str]) -> DataFrame:
-    """Countries down, the given categories across, GMV in the cells. The categories are
-    given, so no extra job has to look for them."""
-    wide = ads.groupBy("country").pivot("category", list(categories)).agg(F.round(F.sum("gmv"), 2))
-    return wide.select("country", *[F.coalesce(c, F.lit(0.0)).alias(c.lower()) for c in categories])
-
-
 def calendar(days: DataFrame, day: str = "dt") -> DataFrame:
     """Every date from the first to the last of ``days`` with ISO week, month and weekday."""
     span = days.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))

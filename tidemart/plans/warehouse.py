@@ -16,6 +16,13 @@ from tidemart.sources import formats
 from tidemart.sources.views import EVENT_COLUMNS, STEPS
 
 
+# The columns of the clean detail, in order.
+DWD_COLUMNS = (
+    "event_id", "user_id", "item_id", "action_type", "event_ts", "session_id", "amount",
+    "country", "device", "item_category", "item_brand", "user_channel", "age_group", "dt",
+)
+
+
 def build_ods(raw: DataFrame, exact_money: bool = False) -> DataFrame:
     """Events as delivered plus the partition day.
 
@@ -35,14 +42,13 @@ def build_dwd(ods: DataFrame, dim_user: DataFrame, dim_item: DataFrame, limit: i
     """
     users = dim_user.select("user_id", F.col("channel").alias("user_channel"), "age_group")
     items = dim_item.select("item_id", F.col("category").alias("item_category"), F.col("brand").alias("item_brand"))
-    clean = dedup(
-        ods.where(F.col("user_id").isNotNull()).drop("category", "channel"), ["event_id"], ["event_ts", "user_id"]
-    )
-    enriched = attach(attach(clean, users, "user_id", "left", limit), items, "item_id", "left", limit)
-    return enriched.select(
-        "event_id", "user_id", "item_id", "action_type", "event_ts", "session_id", "amount",
-        "country", "device", "item_category", "item_brand", "user_channel", "age_group", "dt",
-    )
+    enriched = attach(attach(clean_events(ods), users, "user_id", "left", limit), items, "item_id", "left", limit)
+    return enriched.select(*DWD_COLUMNS)
+
+
+def clean_events(ods: DataFrame) -> DataFrame:
+    """One row per event, those without a user removed, before any dimension."""
+    return dedup(ods.where(F.col("user_id").isNotNull()).drop("category", "channel"), ["event_id"], ["event_ts", "user_id"])
 
 
 def build_dws(dwd: DataFrame) -> DataFrame:
@@ -116,17 +122,43 @@ def run_layers(
 def backfill(
     spark: SparkSession, dim_user: DataFrame, dim_item: DataFrame, out: str, first: dt.date, last: dt.date
 ) -> None:
-    """Compute the days from ``first`` to ``last`` again from the stored ODS.
+    """Compute the days from ``first`` to ``last`` again from the stored ODS."""
+    refresh_days(spark, dim_user, dim_item, out, [first + dt.timedelta(n) for n in range((last - first).days + 1)])
+
+
+def increment(spark: SparkSession, raw: DataFrame, dim_user: DataFrame, dim_item: DataFrame, out: str) -> list[dt.date]:
+    """Add a delivery to the stored ODS and refresh the days it touches, which are returned. A
+    delivery that comes twice adds copies to ODS and nothing to the layers behind it."""
+    ods = build_ods(raw)
+    days = sorted(r.dt for r in ods.select("dt").distinct().collect() if r.dt)
+    formats.append_partitioned(ods, f"{out}/ods_events", sort_by=SORTED_BY["ods_events"])
+    refresh_days(spark, dim_user, dim_item, out, days)
+    return days
+
+
+def refresh_days(spark: SparkSession, dim_user: DataFrame, dim_item: DataFrame, out: str, days: list[dt.date]) -> None:
+    """Compute the given days again in DWD, DWS and ADS.
 
-    Other days' partitions are neither read in DWS and ADS nor touched. A copy of an event
-    can lie on another day, so DWD looks at all copies of the events of these days.
+    A copy of an event can lie on another day, and which copy counts can change: the days that
+    hold copies of events of these days, in ODS or in the stored DWD, are computed again too.
+    They are found on event ids and days alone; whole rows are read of the days at hand only.
+    A day that is left without rows is emptied.
     """
-    days = F.col("dt").between(F.lit(first), F.lit(last))
     ods = spark.read.parquet(f"{out}/ods_events")
-    affected = ods.where(days).select("event_id").distinct()
-    copies = ods.join(affected, "event_id", "left_semi")
-    dwd = build_dwd(copies, dim_user, dim_item).where(days)
-    formats.overwrite_partitions(dwd, f"{out}/dwd_user_action")
-    stored = spark.read.schema(dwd.schema).parquet(f"{out}/dwd_user_action").where(days)
-    formats.overwrite_partitions(build_dws(stored), f"{out}/dws_user_daily")
-    formats.overwrite_partitions(build_ads(stored), f"{out}/ads_funnel_daily")
+    dwd = spark.read.parquet(f"{out}/dwd_user_action")
+    ids = ods.select("event_id", "dt").unionByName(dwd.select("event_id", "dt"))
+
+    def on(some: list[dt.date]) -> Column:
+        return F.col("dt").isin(some)
+
+    def days_with(events: DataFrame) -> list[dt.date]:  # at most all days there are
+        return [r.dt for r in ids.join(events, "event_id", "left_semi").select("dt").distinct().collect()]
+
+    again = sorted({*days, *days_with(ids.where(on(days)).select("event_id").distinct())})
+    events = ids.where(on(again)).select("event_id").distinct()
+    copies = ods.where(on(days_with(events))).join(events, "event_id", "left_semi")
+    detail = build_dwd(copies, dim_user, dim_item).where(on(again))
+    formats.replace_days(detail, f"{out}/dwd_user_action", again)
+    stored = spark.read.schema(detail.schema).parquet(f"{out}/dwd_user_action").where(on(again))
+    formats.replace_days(build_dws(stored), f"{out}/dws_user_daily", again)
+    formats.replace_days(build_ads(stored), f"{out}/ads_funnel_daily", again)

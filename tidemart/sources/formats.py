@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidemart.session import scratch_dir
+
 # The formats the same rows are kept in; name -> (Spark format, writer options). A gzip
 # file cannot be split, so a reader has one task per file: write many files of it.
 FORMATS = {
@@ -47,7 +52,10 @@ def append_partitioned(
     laid_out = df.hint("rebalance", by)
     if sort_by:
         laid_out = laid_out.sortWithinPartitions(by, sort_by)
-    laid_out.write.mode(mode).partitionBy(by).parquet(path)
+    writer = laid_out.write.mode(mode).partitionBy(by)
+    if sort_by:  # every file spans the whole range of ids: the filter tells which can hold one
+        writer = writer.option(f"parquet.bloom.filter.enabled#{sort_by}", "true")
+    writer.parquet(path)
 
 
 def overwrite_partitions(df: DataFrame, path: str, by: str = "dt") -> None:
@@ -58,10 +66,33 @@ def overwrite_partitions(df: DataFrame, path: str, by: str = "dt") -> None:
     )
 
 
+def replace_days(df: DataFrame, path: str, days: list[dt.date]) -> None:
+    """Replace the given days of a table partitioned by ``dt``: a day for which ``df`` has no
+    rows is emptied. The rows are written beside the table first, since ``df`` may read it."""
+    spark = df.sparkSession
+    beside = scratch_dir(spark, "days")
+    df.write.parquet(beside)
+    rows = spark.read.schema(df.schema).parquet(beside)
+    there = {r.dt for r in rows.select("dt").distinct().collect()}  # at most the given days
+    overwrite_partitions(rows, path)
+    for day in set(days) - there:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/dt={day.isoformat()}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    spark.catalog.refreshByPath(path)
+
+
 def rebuild_table(df: DataFrame, name: str, path: str, by: str | None = None) -> DataFrame:
-    """Drop and create a catalog table from a DataFrame; running it again gives the same table."""
+    """Create a catalog table from a DataFrame, or replace the one of that name.
+
+    The rows go to a new folder below ``path`` first; the name moves to it once they are all
+    there, so a write that fails leaves the old table as it was.
+    """
     spark = df.sparkSession
+    folder = f"{path}/{uuid.uuid4().hex}"
+    writer = df.write.format("parquet")
+    (writer.partitionBy(by) if by else writer).save(folder)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    writer = df.write.mode("overwrite").format("parquet").option("path", path)
-    (writer.partitionBy(by) if by else writer).saveAsTable(name)
+    spark.catalog.createTable(name, folder, "parquet")
+    if by:
+        spark.catalog.recoverPartitions(name)
     return spark.table(name)

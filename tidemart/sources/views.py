@@ -11,7 +11,6 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemart.functions import event_day
 from tidemart.operators.joins import attach
@@ -22,21 +21,23 @@ AS_OF = dt.date(2024, 1, 30)
 # The five steps of the funnel, in order.
 STEPS = ("impression", "click", "add_cart", "order", "pay")
 
+# The columns of the event feed, in order.
 EVENT_COLUMNS = (
     "event_id", "user_id", "item_id", "action_type", "event_ts", "session_id",
     "amount", "country", "device", "category", "channel",
 )
 
 
-# Schemas by path: a given schema saves the job that reads file footers at every load.
-_schemas: dict[str, T.StructType] = {}
+def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    path = f"{sf_dir}/{table}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+def source_state(spark: SparkSession, sf_dir: str, table: str) -> tuple:
+    """Bytes, files and latest change of a table's files."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{table}.parquet")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    summary, newest = fs.getContentSummary(path), fs.getFileStatus(path).getModificationTime()
+    return summary.getLength(), summary.getFileCount(), newest
 
 
 def as_feed(events: DataFrame) -> DataFrame:
@@ -50,8 +51,7 @@ def as_feed(events: DataFrame) -> DataFrame:
     return events.select(
         "event_id",
         "user_id",
-        # The one-field documents of the test table need no JSON parser (four times the cost).
-        F.regexp_extract("props", r'"k": *(\d+)', 1).try_cast("long").alias("item_id"),
+        F.from_json("props", "k long")["k"].alias("item_id"),
         step.alias("action_type"),
         F.unix_millis(ts).alias("event_ts"),
         F.concat_ws("-", "user_id", F.to_date(ts).cast("string"), F.hour(ts)).alias("session_id"),
@@ -75,10 +75,11 @@ def replayed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.unionByName(again).withColumn("user_id", F.nullif("user_id", F.lit(7)))
 
 
-def arrivals(feed: DataFrame) -> DataFrame:
+def arrivals(feed: DataFrame, slow: bool = False) -> DataFrame:
     """Adds the event time and a simulated arrival time: every tenth event comes 10 to 30
-    seconds late."""
-    delay = F.when(F.col("event_id") % 10 == 0, 10 + F.col("event_id") % 21).otherwise(0)
+    seconds late, or up to two hours if ``slow``."""
+    late = F.col("event_id") * 37 % 7200 if slow else 10 + F.col("event_id") % 21
+    delay = F.when(F.col("event_id") % 10 == 0, late).otherwise(0)
     ts = F.timestamp_millis("event_ts")
     return feed.withColumn("ts", ts).withColumn(
         "arrival_ts", F.timestamp_millis(F.col("event_ts") + delay * 1000)
