@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +40,18 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
+_kept: dict[tuple, object] = {}
+
+
+def kept(key: tuple, make: Callable):
+    """What a worker remembers from task to task (words it has met, a loaded tokenizer). Only the
+    latest is held: the next operator's takes its place, so that memory does not add up."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 def map_rows(df: DataFrame, fn: Callable, keep: int) -> DataFrame:
     """``mapInArrow`` whose function returns the first ``keep`` columns of its batches. Columns
     go by position there, so that no name in ``df`` matters."""
@@ -51,3 +63,8 @@ def map_rows(df: DataFrame, fn: Callable, keep: int) -> DataFrame:
 def named(df: DataFrame, alias: str) -> list[Column]:
     """All columns of ``df`` where it is known as ``alias``."""
     return [F.col(f"{alias}.`{c}`") for c in df.columns]
+
+
+def slices(n: int, size: int) -> Iterator[tuple[int, int]]:
+    for a in range(0, n, size):
+        yield a, min(n, a + size)

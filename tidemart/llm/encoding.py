@@ -14,8 +14,10 @@ from array import array
 
 import numpy as np
 
-#: Chunks a worker keeps; beyond that it starts afresh, so memory has a bound (about 300 MB).
-MEMO_CHUNKS = 1_500_000
+from tidemart.llm.common import kept
+
+#: Chunks a worker keeps; beyond that it starts afresh, so memory has a bound (about 250 MB).
+MEMO_CHUNKS = 1_200_000
 #: Characters of new chunks per call of the tokenizer.
 CALL_CHARS = 20_000
 #: A space between two characters that are no white space: a split is always safe there.
@@ -160,11 +162,6 @@ class Encoder:
         return b"".join(map(self.memo.__getitem__, parts))
 
 
-_encoders: dict[tuple[str, bool], Encoder] = {}
-
-
 def encoder(path: str, joined: bool) -> Encoder:
     """The worker's encoder for a file, kept from task to task."""
-    if (path, joined) not in _encoders:
-        _encoders[path, joined] = Encoder(path, joined)
-    return _encoders[path, joined]
+    return kept(("encoder", path, joined), lambda: Encoder(path, joined))

@@ -16,10 +16,10 @@ every prediction is ``und``. Empty table: no rows. Further columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import re
 import uuid
-import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import held_out, map_rows
+from tidemart.llm.common import held_out, kept, map_rows, slices
 
 #: Most labelled documents per language that the model is fitted on.
 SAMPLE_PER_LANGUAGE = 600
@@ -59,13 +59,42 @@ class Model:
     threshold: float
     key: str
 
-
-def subwords(word: str, buckets: int = BUCKETS) -> list[int]:
-    framed = f"<{word}>"
-    grams = {framed}
-    for n in NGRAMS:
-        grams.update(framed[i : i + n] for i in range(len(framed) - n + 1))
-    return [zlib.crc32(g.encode("utf-8", "surrogatepass")) % buckets for g in grams]
+    def judge(self, raw: np.ndarray) -> tuple[str, float, bool]:
+        chances = _softmax(raw / self.temperature)
+        i = int(chances.argmax())
+        return self.languages[i], float(chances[i]), bool(chances[i] < self.threshold)
+
+
+def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashed subwords of many words at once, a block per length of n-gram and one for the words
+    themselves: buckets (a row per block), whether each is one, and where the words begin."""
+    framed = [f"<{w}>" for w in words]
+    codes = np.frombuffer("".join(framed).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    lengths = np.array([len(w) for w in framed])
+    begins = np.cumsum(lengths) - lengths
+    owner = np.repeat(np.arange(len(framed)), lengths)
+    buckets = np.zeros((len(NGRAMS) + 1, len(codes)), np.int64)
+    real = np.zeros((len(NGRAMS) + 1, len(codes)), bool)
+    with np.errstate(over="ignore"):
+        for row, n in enumerate(NGRAMS):
+            size = len(codes) - n + 1
+            if size < 1:
+                continue
+            h = np.full(size, n, np.uint64)
+            for j in range(n):
+                h = _mix(h + codes[j : j + size])
+            buckets[row, :size] = (h % np.uint64(BUCKETS)).astype(np.int64)
+            real[row, :size] = owner[:size] == owner[n - 1 :]
+        place = (np.arange(len(codes)) - begins[owner]).astype(np.uint64)
+        whole = np.add.reduceat(_mix(codes + (place << np.uint64(32))), begins)
+        buckets[-1, begins] = (_mix(whole) % np.uint64(BUCKETS)).astype(np.int64)
+        real[-1, begins] = True
+    return buckets, real, begins
+
+
+def _mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ (h >> np.uint64(29))
 
 
 def _features(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -73,14 +102,11 @@ def _features(text: str) -> tuple[np.ndarray, np.ndarray]:
     counts: dict[str, int] = {}
     for word in WORD.findall(text.lower()):
         counts[word] = counts.get(word, 0) + 1
-    total = sum(counts.values())
-    index, weight = [], []
-    for word, n in counts.items():
-        own = subwords(word)
-        index += own
-        weight += [n / total / len(own)] * len(own)
-    index, at = np.unique(np.array(index, np.int64), return_inverse=True)
-    return index, np.bincount(at, weights=np.array(weight), minlength=len(index))
+    buckets, real, begins = subwords(list(counts))
+    each = np.array(list(counts.values())) / sum(counts.values()) / np.add.reduceat(real.sum(0), begins)
+    weights = np.broadcast_to(np.repeat(each, np.diff(np.append(begins, real.shape[1]))), real.shape)
+    index, at = np.unique(buckets[real], return_inverse=True)
+    return index, np.bincount(at, weights=weights[real], minlength=len(index))
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -91,13 +117,13 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 def train(texts: list[str], labels: list[str], seed: int = 7) -> Model | None:
     """Fit embeddings and softmax by stochastic gradient descent; every fifth text is held back
     to set the temperature and the threshold."""
-    kept = [(t, y) for t, y in zip(texts, labels, strict=True) if WORD.search(t or "")]
-    if not kept:
+    kept_rows = [(t, y) for t, y in zip(texts, labels, strict=True) if WORD.search(t or "")]
+    if not kept_rows:
         return None
-    languages = sorted({y for _, y in kept})
+    languages = sorted({y for _, y in kept_rows})
     known = {y: i for i, y in enumerate(languages)}
     rng = np.random.default_rng(seed)
-    rows = [(*_features(t), known[y]) for t, y in kept]
+    rows = [(*_features(t), known[y]) for t, y in kept_rows]
     order = rng.permutation(len(rows))
     held = {int(i) for i in order[::5]} if len(rows) >= 10 else set()
     embed = rng.normal(0, 1 / WIDTH, (BUCKETS, WIDTH))
@@ -116,10 +142,13 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> Model | None:
             bias -= rate * 0.1 * error
             embed[index] -= rate * len(index) ** 0.5 * np.outer(weight, back)
     scores = embed @ weights
-    check = sorted(held) or list(range(len(rows)))
-    raw = np.array([rows[i][1] @ scores[rows[i][0]] + bias for i in check])
-    truth = np.array([rows[i][2] for i in check])
-    best = min(np.geomspace(0.1, 10, 41), key=lambda t: -np.log(_softmax(raw / t)[np.arange(len(truth)), truth] + 1e-12).sum())
+    # Calibration on whole texts and on their first words, since short texts are the uncertain ones.
+    check = [(t, y) for i in sorted(held) or range(len(kept_rows)) for t, y in [kept_rows[i]]]
+    check += [(" ".join(WORD.findall(t)[: 1 + n % 12]), y) for n, (t, y) in enumerate(check)]
+    found = [(_features(t), known[y]) for t, y in check]
+    raw = np.array([w @ scores[i] + bias for (i, w), _ in found])
+    truth = np.array([y for _, y in found])
+    best = min(np.geomspace(0.1, 20, 53), key=lambda t: -np.log(_softmax(raw / t)[np.arange(len(truth)), truth] + 1e-12).sum())
     chances = _softmax(raw / best)
     right = chances.max(1)[chances.argmax(1) == truth]
     floor = float(np.quantile(right, REJECT_SHARE)) if len(right) else 0.0
@@ -160,43 +189,45 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | Non
 class Scorer:
     """Applies a model; remembers what each word adds."""
 
-    def __init__(self, model: Model):
-        self.model, self.memo = model, {}
-
-    def _word(self, word: str) -> np.ndarray:
-        return self.model.scores[subwords(word)].mean(0)
-
-    def score(self, text: str | None) -> tuple[str, float, bool]:
-        """Language, probability, rejected."""
-        words = WORD.findall((text or "").lower())
-        if not words or self.model is None:
-            return UNKNOWN, 0.0, True
-        memo = self.memo
-        try:
-            rows = [memo[w] for w in words]
-        except KeyError:
-            if len(memo) > MEMO_WORDS:
-                memo.clear()
-            for w in words:
-                if w not in memo:
-                    memo[w] = self._word(w)
-            rows = [memo[w] for w in words]
-        mean = np.array(rows, np.float64).mean(0) + self.model.bias
-        chances = _softmax(mean / self.model.temperature)
-        i = int(chances.argmax())
-        return self.model.languages[i], float(chances[i]), bool(chances[i] < self.model.threshold)
-
-
-_last: dict[str, Scorer] = {}
+    def __init__(self, model: Model | None):
+        self.model = model
+        self._forget()
+
+    def _forget(self) -> None:
+        self.memo: dict[str, int] = {}
+        self.rows = np.zeros((1024, len(self.model.languages) if self.model else 0), np.float32)
+
+    def _learn(self, words: Iterable[str]) -> None:
+        """Scores of words not met before: the mean over their subwords."""
+        words = dict.fromkeys(words)
+        if len(self.memo) > MEMO_WORDS:
+            self._forget()
+        new = [w for w in words if w not in self.memo]
+        buckets, real, begins = subwords(new)
+        total = sum(np.add.reduceat(self.model.scores[b] * r[:, None], begins) for b, r in zip(buckets, real, strict=True))
+        end = len(self.memo) + len(new)
+        if end > len(self.rows):
+            self.rows = np.resize(self.rows, (2 * end, self.rows.shape[1]))
+        self.rows[len(self.memo) : end] = total / np.add.reduceat(real.sum(0), begins)[:, None]
+        self.memo.update(zip(new, range(len(self.memo), end), strict=True))
+
+    def scores(self, texts: list[str | None]) -> Iterator[tuple[str, float, bool]]:
+        """Language, probability and whether it is rejected, of each text."""
+        for a, b in slices(len(texts), 128):
+            words = [WORD.findall((t or "").lower()) for t in texts[a:b]] if self.model else [[]] * (b - a)
+            if any(w not in self.memo for own in words for w in own):
+                self._learn(itertools.chain.from_iterable(words))
+            for own in words:
+                if not own:
+                    yield UNKNOWN, 0.0, True
+                    continue
+                at = np.fromiter(map(self.memo.__getitem__, own), np.int64, len(own))
+                yield self.model.judge(self.rows[at].mean(0, dtype=np.float64) + self.model.bias)
 
 
 def scorer_of(model: Model | None) -> Scorer:
-    """The worker's scorer of a model, kept from task to task with the words it has met."""
-    key = model.key if model else ""
-    if key not in _last:
-        _last.clear()
-        _last[key] = Scorer(model)
-    return _last[key]
+    """The worker's scorer of a model, with the words it has met in earlier tasks."""
+    return kept(("language", model.key if model else ""), lambda: Scorer(model))
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -205,7 +236,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = scorer_of(model)
         for batch in batches:
-            found = [scorer.score(t.as_py()) for t in batch.column(1)]
+            found = list(scorer.scores(batch.column(1).to_pylist()))
             lang, score, rejected = zip(*found, strict=True) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
@@ -229,6 +260,6 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = scorer_of(model)
         for batch in batches:
-            yield batch.filter(pa.array([not scorer.score(t.as_py())[2] for t in batch.column(at)], pa.bool_()))
+            yield batch.filter(pa.array([not s[2] for s in scorer.scores(batch.column(at).to_pylist())], pa.bool_()))
 
     return map_rows(docs, keep, len(docs.columns))

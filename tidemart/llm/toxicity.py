@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import held_out
+from tidemart.llm.common import held_out, kept
 
 ORDER = 5
 #: Entries of the language model's count table: its size does not depend on the corpus.
@@ -321,15 +321,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, Classifier | No
     return table, train(rows, marks)
 
 
-_last: dict[str, Extractor] = {}
-
-
 def extractor_of(table: np.ndarray, classifier: Classifier) -> Extractor:
     """The worker's extractor for a classifier, kept from task to task with the tokens it has met."""
-    if classifier.key not in _last:
-        _last.clear()
-        _last[classifier.key] = Extractor(table, classifier.weights != 0)
-    return _last[classifier.key]
+    return kept(("toxicity", classifier.key), lambda: Extractor(table, classifier.weights != 0))
 
 
 def score(docs: DataFrame, table: np.ndarray, classifier: Classifier | None) -> DataFrame:
