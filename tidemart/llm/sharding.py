@@ -91,7 +91,8 @@ def assign(docs: DataFrame, limit: int = SHARD_BYTES, pass_bits: int = PASS_BITS
 
 def _look_up(rows: DataFrame, buckets: DataFrame, bits: int, start: int) -> DataFrame:
     """Each row's bucket, found by its first ``bits`` bits in the directory written out for
-    all prefixes in use (at most 2^pass_bits of them in the first pass)."""
+    all prefixes in use. In the first pass these are at most 2^PASS_BITS rows of some bytes, which
+    are broadcast, so that the texts are not shuffled for it."""
     long = F.substring("bits", 1, bits)
     levels = F.explode(F.sequence(F.lit(start), F.lit(bits))).alias("depth")
     directory = (
@@ -99,6 +100,8 @@ def _look_up(rows: DataFrame, buckets: DataFrame, bits: int, start: int) -> Data
         .withColumn("prefix", F.expr("substring(long, 1, depth)"))
         .join(buckets, ["prefix", "depth"])
     )
+    if bits <= PASS_BITS:
+        directory = F.broadcast(directory)
     return rows.withColumn("long", long).join(directory, "long").select(
         "doc", F.when(F.col("depth") == 0, "root").otherwise(F.col("prefix")).alias("shard"), "depth",
         "n_bytes", F.col("bucket_bytes").alias("shard_bytes"), (~F.col("fits")).alias("oversized"),
