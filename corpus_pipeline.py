@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.llm import contamination, language, packing, simhash, substrings
-from tidemart.llm.common import stored, table
+from tidemart.llm.common import named, stored, table
 from tidemart.session import pin_utc
 
 #: SQL can express neither the language model nor the tokenizer; tests hold run() against brute force.
@@ -25,14 +25,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component the document with the smallest doc_id stays; of rows that share
-    it one stays. A component without any doc_id stays whole."""
+    """Of each SimHash component the document with the smallest doc_id stays. Rows that share a
+    doc_id are one document and stay or go together; rows without one stay."""
     groups = simhash.near_duplicates(docs, shingle=3, max_bits=3)
-    gone = groups.where("component_id <> doc_id OR (doc_id IS NULL AND component_id IS NOT NULL)")
-    kept = docs.alias("d").join(
-        gone.select(F.col("doc_id").alias("gone_id")).distinct().alias("g"),
-        F.col("d.doc_id").eqNullSafe(F.col("g.gone_id")), "left_anti")
-    return kept.select([F.col(f"d.`{c}`") for c in docs.columns])
+    gone = groups.where("component_id <> doc_id").select("doc_id").distinct()
+    kept = docs.alias("d").join(gone.alias("g"), F.col("d.doc_id") == F.col("g.doc_id"), "left_anti")
+    return kept.select(named(docs, "d"))
 
 
 def cut_shared_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

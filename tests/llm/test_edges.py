@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from tidemart.llm import (
     contamination, fingerprints, language, licenses, packing, sharding, simhash, substrings, toxicity, wavelet,
 )
@@ -216,3 +217,13 @@ def test_packing(docs):
 def test_toxicity(docs, labels):
     got = toxicity.toxicity(docs, labels).collect()
     assert len(got) == len(ROWS) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
+
+
+def test_pipeline_stages_take_odd_rows(spark, sf_dir, docs, nothing):
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, sf_dir).columns == docs.columns
+        assert stage(spark, nothing, sf_dir).count() == 0
+    assert corpus_pipeline.pack_sequences(spark, nothing, sf_dir).count() == 0
+    left = ids(corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir))
+    # 3, 4 and 6 are copies of 2 and 5; rows without an id stay, both of them.
+    assert left == sorted([1, 2, 5, 7, 8, 9, 10, 11, -5, 12, None, None], key=repr)
