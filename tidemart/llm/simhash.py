@@ -7,8 +7,9 @@ the bytes at 3 positions of one half (8 keys per fingerprint). Within a list the
 bytes of each pair are tallied, pairs below the minimum are dropped and the rest verified bit by
 bit. Postings hold distinct fingerprints, not documents: copies cost one entry.
 
-A list emits no pairs. It is settled inside its task as links to one neighbour per fingerprint,
-enough to keep the connected components. A list too long for that is dealt again by all
+A list is settled inside its task. One of up to 32 fingerprints gives its verified links; a
+longer one only a spanning forest of them, which keeps the connected components without all the
+pairs of a dense group. A list of more than 4,096 is dealt again by all
 combinations of 5 positions, where only 3 bytes are left to differ: at most 2^24 fingerprints, found
 by flipping every admissible set of bits and looking the result up, so a list of n costs n, not n².
 
