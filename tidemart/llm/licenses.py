@@ -66,9 +66,10 @@ def templates(spark: SparkSession) -> DataFrame:
 
 def shingles(w: str, size: int = SHINGLE) -> Column:
     """Shingles of the array column ``w``, as space-joined text; fewer words: the whole sequence."""
+    parts = ", ".join(f"get({w}, i + {j})" for j in range(size))
     return F.expr(
         f"CASE WHEN size({w}) = 0 THEN CAST(array() AS ARRAY<STRING>) ELSE "
-        f"transform(sequence(1, greatest(size({w}) - {size - 1}, 1)), i -> array_join(slice({w}, i, {size}), ' ')) END")
+        f"transform(sequence(0, greatest(size({w}) - {size}, 0)), i -> concat_ws(' ', {parts})) END")
 
 
 def hashes(w: str, size: int = SHINGLE) -> Column:
@@ -81,10 +82,10 @@ def hashes(w: str, size: int = SHINGLE) -> Column:
 
 def band_keys(h: str, stride: int, bands: int = BANDS, window: int = WINDOW) -> Column:
     """One key per window and band: the window's smallest hash under the band's permutation,
-    marked with the band."""
+    marked with the band. (``slice`` would copy the whole array for every window.)"""
     per_band = [
-        f"transform(array(transform({h}, x -> xxhash64(x, {band}))), p -> transform(sequence(1, size(p), {stride}), "
-        f"s -> (array_min(slice(p, s, {window})) & -32L) | {band}L))[0]"
+        f"transform(array(transform({h}, x -> xxhash64(x, {band}))), p -> transform(sequence(0, size(p) - 1, {stride}), "
+        f"s -> (least({', '.join(f'get(p, s + {j})' for j in range(window))}) & -32L) | {band}L))[0]"
         for band in range(bands)
     ]
     return F.expr(f"CASE WHEN size({h}) = 0 THEN CAST(array() AS ARRAY<BIGINT>) ELSE array_distinct(concat({', '.join(per_band)})) END")
