@@ -222,7 +222,7 @@ def _order_minhash(text):
         seen[_hash(*g) & mask] += 1
     out = []
     for n in range(fingerprints.ENTRIES):
-        least = sorted((_hash(Long(h), n) & mask, at) for h, at in numbered)[: fingerprints.TUPLE]
+        least = sorted((h ^ fingerprints.permutation(n), at) for h, at in numbered)[: fingerprints.TUPLE]
         h = 42
         for v, _ in sorted(least, key=lambda x: x[1]):
             h = xxhash.xxh64_intdigest(v.to_bytes(8, "little"), h)

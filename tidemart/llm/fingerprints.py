@@ -34,6 +34,12 @@ POSITION_MASK = (1 << POSITION_BITS) - 1
 BLOCK_ROWS = 2048
 
 
+def permutation(n: int) -> int:
+    """Bits of the hash that permutation ``n`` turns round. The hashes are random, so what is then
+    smallest is a random k-mer, another one for every pattern of bits."""
+    return ((n + 1) * 0x9E3779B97F4A7C15 >> 16) & HASH_MASK
+
+
 def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, size: int = TUPLE, entries: int = ENTRIES) -> DataFrame:
     """``df`` with the fingerprint of column ``text``: an array of ``entries`` hashes."""
     at = POSITION_BITS
@@ -47,24 +53,36 @@ def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, size: int =
     ))
     df = df.withColumn("__r0", F.expr(
         f"transform(__k, (x, j) -> CASE WHEN j > 0 AND shiftright(get(__k, j - 1), {at}) = shiftright(x, {at}) THEN 1 ELSE 0 END)"))
-    steps = at  # occurrences up to 2^24, as many as positions
-    for p in range(steps):
-        df = df.withColumn(f"__r{p + 1}", F.expr(
-            f"CASE WHEN coalesce(array_max(__r{p}), 0) < {1 << p} THEN __r{p} "
-            f"ELSE transform(__r{p}, (x, j) -> CASE WHEN x = {1 << p} THEN x + get(__r{p}, j - {1 << p}) ELSE x END) END"
-        )).drop(f"__r{p}")
     df = df.withColumn("__v", F.expr(
-        f"transform(__k, (x, j) -> shiftleft(xxhash64(shiftright(x, {at}), get(__r{steps}, j)) & {HASH_MASK}L, {at}) | (x & {POSITION_MASK}L))"))
-    tuples = [
-        # The smallest under permutation n, turned to (position, hash) and so into text order.
-        f"xxhash64(transform(sort_array(transform(slice(sort_array(transform(__v, x -> "
-        f"shiftleft(xxhash64(shiftright(x, {at}), {n}) & {HASH_MASK}L, {at}) | (x & {POSITION_MASK}L))), 1, {size}), "
-        f"x -> shiftleft(x & {POSITION_MASK}L, 39) | shiftright(x, {at}))), x -> x & {HASH_MASK}L))"
-        for n in range(entries)
-    ]
+        f"transform(array({_occurrences(0, '__r0')}), r -> transform(__k, (x, j) -> "
+        f"shiftleft(xxhash64(shiftright(x, {at}), get(r, j)) & {HASH_MASK}L, {at}) | (x & {POSITION_MASK}L)))[0]"))
+    # Below this bound eight k-mers are expected; if there are fewer than needed, all are sorted.
+    df = df.withColumn("__bound", F.expr(f"CAST({(1 << 63) - 1}L DIV greatest(size(__v), 1) AS BIGINT)").cast("long"))
+    df = df.withColumn("__bound", F.expr(f"CASE WHEN size(__v) <= {4 * size + 8} THEN {(1 << 63) - 1}L ELSE __bound * {4 * size} END"))
+    for n in range(entries):
+        df = df.withColumn(f"__c{n}", F.expr(f"filter(__v, x -> (x ^ {permutation(n) << at}L) < __bound)"))
+    tuples = []
+    for n in range(entries):
+        some = f"CASE WHEN size(__c{n}) >= {size} THEN __c{n} ELSE __v END"
+        # The smallest, turned to (position, hash) and so into text order.
+        tuples.append(
+            f"xxhash64(transform(sort_array(transform(slice(sort_array(transform({some}, x -> x ^ {permutation(n) << at}L)), 1, {size}), "
+            f"x -> shiftleft(x & {POSITION_MASK}L, 39) | shiftright(x, {at}))), x -> x & {HASH_MASK}L))")
     return df.select(*kept, F.expr(f"array({', '.join(tuples)})").alias(out))
 
 
+def _occurrences(p: int, known: str) -> str:
+    """SQL for the occurrence numbers (from 0) of sorted k-mers, where ``known`` has them up to 2^p;
+    goes on only as far as the text needs."""
+    if p == POSITION_BITS:
+        return known
+    step = f"transform({known}, (x, j) -> CASE WHEN x = {1 << p} THEN x + get({known}, j - {1 << p}) ELSE x END)"
+    return (
+        f"CASE WHEN coalesce(array_max({known}), 0) < {1 << p} THEN {known} "
+        f"ELSE transform(array({step}), r{p + 1} -> {_occurrences(p + 1, f'r{p + 1}')})[0] END"
+    )
+
+
 def likeness(a: str, b: str, entries: int = ENTRIES):
     """Share of equal entries of two fingerprint columns."""
     return F.expr(f"size(filter(sequence(0, {entries - 1}), i -> get({a}, i) = get({b}, i))) / CAST({entries} AS DOUBLE)")
