@@ -347,6 +347,19 @@ def test_edited_passages_are_found(spark):
     assert all(55 <= r.end - r.start <= 95 for r in found)
 
 
+@pytest.mark.parametrize("tasks", [1, 3, 11])
+def test_a_passage_of_frequent_lines_is_found(spark, tasks):
+    """Two lines of 30 words, each with other first and previous holders than the passage of both."""
+    vocabulary, rng = [f"w{i}" for i in range(5000)], random.Random(8)
+    fill = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    one, two = fill(30), fill(30)
+    held = {0: two, 1: one, 2: one + two, 3: one, 4: two, 10: one + two}
+    rows = [(i, " ".join([*fill(60), *held.get(i, []), *fill(60)])) for i in range(11)]
+    found = substrings.passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(tasks, "doc_id")).collect()
+    assert {(r.doc_id, r.source_id) for r in found} == {(10, 2)}
+    assert set(range(60, 120)) <= _covered(found)[10]
+
+
 def test_chain_takes_the_best_order():
     rng = random.Random(6)
     for _ in range(50):
