@@ -347,6 +347,20 @@ def test_edited_passages_are_found(spark):
     assert all(55 <= r.end - r.start <= 95 for r in found)
 
 
+def test_heavily_edited_passages_are_found(spark):
+    """150 pairs of which 15 to 18 of 100 words differ; none may be missed."""
+    rng, rows = random.Random(9), []
+    fill = lambda n: [f"w{rng.randrange(50_000)}" for _ in range(n)]
+    for i in range(150):
+        passage = fill(50 + 5 * (i % 3))
+        edited = list(passage)
+        for at in rng.sample(range(2, len(passage) - 2), len(passage) * (15 + i % 4) // 100):
+            edited[at] = f"new{at}"
+        rows += [(2 * i, " ".join([*fill(40), *passage, *fill(40)])), (2 * i + 1, " ".join([*fill(40), *edited, *fill(40)]))]
+    found = substrings.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.source_id) for r in found} == {(2 * i + 1, 2 * i) for i in range(150)}
+
+
 @pytest.mark.parametrize("tasks", [1, 3, 11])
 def test_a_passage_of_frequent_lines_is_found(spark, tasks):
     """Two lines of 30 words, each with other first and previous holders than the passage of both."""
