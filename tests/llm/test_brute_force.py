@@ -108,6 +108,20 @@ def test_packing_is_valid_and_close_to_the_bound():
         assert sum(plan.values()) <= max(sum(packing.best_fit(dict(counts), 2048).values()), bound) * 1.01 + 1
 
 
+@pytest.mark.parametrize("counts", [{1: 100_000}, {100: 100_000}, {3: 50_000, 7: 40_000}, {1: 70_000, 5: 20_000, 90: 9_000, 1000: 10}])
+def test_short_lengths_are_packed_tight(counts):
+    plan, held = packing.plan_sequences(dict(counts)), Counter()
+    for pattern, n in plan.items():
+        assert n > 0 and sum(x * k for x, k in pattern) <= 2048
+        for x, k in pattern:
+            held[x] += k * n
+    assert held == counts
+    if len(counts) == 1:
+        (x, n), = counts.items()
+        assert sum(plan.values()) == -(-n // (2048 // x))
+    assert sum(plan.values()) <= -(-sum(x * n for x, n in counts.items()) // 2048) * (1.03 if 100 in counts else 1.005) + 1
+
+
 def test_knapsack_matches_brute_force():
     rng = random.Random(3)
     for _ in range(30):

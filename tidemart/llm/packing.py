@@ -35,7 +35,7 @@ ROUNDS = 200
 #: Share of what a length still lacks that one round may cover.
 STEP = 0.5
 #: Shares of the program's solution that are tried.
-SCALES = (1, 0.75, 0.5, 0.25, 0.125)
+SCALES = (1, 0.75, 0.5, 0.25, 0.125, 0)
 #: How fast a covered length loses weight.
 LEARNING_RATE = 2.0
 
@@ -43,8 +43,8 @@ Pattern = tuple[tuple[int, int], ...]  # (length, copies), longest first
 
 
 def best_configuration(lengths: np.ndarray, values: np.ndarray, capacity: int) -> list[int]:
-    """Knapsack by dynamic programming: the set of entries of highest value that fits. An entry
-    stands for one copy; a length that may come up twice has two entries."""
+    """Knapsack by dynamic programming: the set of entries of highest value that fits. A length that
+    may come up more than once has several entries."""
     best = np.zeros(capacity + 1)
     taken = np.zeros((len(lengths), capacity + 1), bool)
     for i, (length, value) in enumerate(zip(lengths.tolist(), values.tolist(), strict=True)):
@@ -60,6 +60,21 @@ def best_configuration(lengths: np.ndarray, values: np.ndarray, capacity: int) -
     return found
 
 
+def multiples(most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries and copies that make every number of copies up to ``most`` of each length: 1, 2, 4 and
+    so on, then what is left."""
+    entries, copies, size = [], [], 1
+    left = most.copy()
+    while left.any():
+        at = np.flatnonzero(left)
+        take = np.minimum(left[at], size)
+        entries.append(at)
+        copies.append(take)
+        left[at] -= take
+        size *= 2
+    return (np.concatenate(entries), np.concatenate(copies)) if entries else (np.zeros(0, np.int64),) * 2
+
+
 def configuration_program(counts: dict[int, int], capacity: int, rounds: int = ROUNDS) -> dict[Pattern, float]:
     """Approximate solution of the configuration linear program: sequences per configuration,
     never covering a length more than it asks for.
@@ -73,11 +88,13 @@ def configuration_program(counts: dict[int, int], capacity: int, rounds: int = R
     use: dict[Pattern, float] = {}
     for _ in range(rounds):
         left = wanted - covered
-        entries = np.concatenate([np.flatnonzero(left >= 1), np.flatnonzero(left >= 2)])
+        entries, copies = multiples(np.minimum(left, capacity // lengths).astype(np.int64))
         if not len(entries):
             break
         price = start * np.exp(-LEARNING_RATE * covered / wanted)
-        chosen = Counter(int(entries[i]) for i in best_configuration(lengths[entries], price[entries], capacity))
+        chosen: Counter = Counter()
+        for i in best_configuration(lengths[entries] * copies, price[entries] * copies, capacity):
+            chosen[int(entries[i])] += int(copies[i])
         room = min(left[i] / n for i, n in chosen.items())
         step = max(1.0, STEP * room)
         pattern = tuple(sorted(((int(lengths[i]), n) for i, n in chosen.items()), reverse=True))
