@@ -262,6 +262,13 @@ def test_order_minhash(spark, sf_dir, texts):
     assert sum(r.near_edited for r in rows) > 10 * sum(r.near_next for r in rows)
 
 
+def test_every_edited_text_is_nearer_than_a_stranger(spark):
+    rng = random.Random(11)
+    rows = [(i, " ".join(f"w{rng.randrange(50_000)}" for _ in range(300))) for i in range(400)]
+    got = fingerprints.edited_likeness(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 400 and all(r.near_edited > r.near_next for r in got)
+
+
 def test_repeated_kmers_are_numbered(spark):
     rows = [(1, "a b " * 40), (2, "a b " * 41), (3, "b a " * 40)]
     df = fingerprints.with_fingerprint(spark.createDataFrame(rows, "doc_id long, text string"), "text", "print")

@@ -26,7 +26,7 @@ from tidemart.llm.common import stored
 
 K = 2
 TUPLE = 2
-ENTRIES = 16
+ENTRIES = 64
 POSITION_BITS = 24
 HASH_MASK = (1 << 39) - 1
 POSITION_MASK = (1 << POSITION_BITS) - 1
