@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tidemart.llm import (
-    components, encoding, fingerprints, language, packing, sharding, simhash, substrings, toxicity, wavelet,
+    components, encoding, fingerprints, language, licenses, packing, sharding, simhash, substrings, toxicity, wavelet,
 )
 from tidemart.llm.queries import QUERIES, SHARDING_SQL
 
@@ -276,6 +276,17 @@ def test_repeated_kmers_are_numbered(spark):
         assert [_long(x) for x in _order_minhash(r.text)] == r.print
 
 
+# Licenses
+
+
+def test_no_short_notice_is_missed(spark):
+    """A notice whose one shingle is small under no band's permutation: windows alone miss a twentieth."""
+    notice = "n3279 released under my license"
+    rows = [(i, f"a{i} b{i} c{i} d{i} e{i} f{i} {notice} g{i} h{i} i{i} j{i} k{i} l{i}") for i in range(500)]
+    notices = spark.createDataFrame([(0, "own", notice)], "template_id int, license string, text string")
+    assert licenses.licenses(spark.createDataFrame(rows, "doc_id long, text string"), notices).count() == 500
+
+
 # Language and toxicity
 
 

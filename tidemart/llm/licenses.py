@@ -3,8 +3,10 @@
 Templates and texts become sequences of five-word shingles. Overlapping windows of four shingles
 (every second one of a text, every one of a template) get a MinHash signature, whose bands of one
 hash each are joined. Equal windows collide with certainty, two that share one shingle of seven with
-probability 1 - (6/7)^20 = 0.95. A template of one shingle is the hardest case: it lies in two
-windows of four and is missed with probability 0.75^40 = 0.00001. Retrieved templates are
+probability 1 - (6/7)^20 = 0.95. A template of up to eight shingles is retrieved by any one of its
+shingles as well, and so never missed; by windows alone one of a single shingle, which lies in two
+windows that share two of six shingles, would be missed with probability (2/3)^20 = 0.0003.
+Retrieved templates are
 verified exactly: the text must have 0.8 of their shingles.
 
 Defined results. Null, empty or word-free text: no license. Null doc_id: kept. Repeated rows: found
@@ -24,6 +26,8 @@ SHINGLE = 5
 WINDOW = 4
 STRIDE = 2
 BANDS = 20
+#: Templates of up to so many shingles are retrieved by single shingles, too.
+SHORT = 2 * WINDOW
 CONTAINMENT = 0.8
 #: Template bands are broadcast up to this many rows (about 16 MB); beyond, they are shuffled.
 BROADCAST_ROWS = 200_000
@@ -91,15 +95,21 @@ def band_keys(h: str, stride: int, bands: int = BANDS, window: int = WINDOW) ->
     return F.expr(f"CASE WHEN size({h}) = 0 THEN CAST(array() AS ARRAY<BIGINT>) ELSE array_distinct(concat({', '.join(per_band)})) END")
 
 
+def shingle_keys(h: str) -> Column:
+    """One key per shingle, marked with a number that no band has."""
+    return F.expr(f"array_distinct(transform({h}, x -> (xxhash64(x, 31) & -32L) | 31L))")
+
+
 def find_licenses(docs: DataFrame, notices: DataFrame) -> DataFrame:
     """Notices found: doc_id, template_id, license and containment, each once per different text."""
     known = notices.select("template_id", "license", words(F.col("text")).alias("tw")).where(F.size("tw") >= SHINGLE)
     known = known.select("template_id", "license", hashes("tw").alias("th"), F.array_distinct(shingles("tw")).alias("ts"))
-    keys = known.select("template_id", F.explode(band_keys("th", 1)).alias("key")).distinct()
+    keys = known.select("template_id", F.explode(F.concat(
+        band_keys("th", 1), F.when(F.size("th") <= SHORT, shingle_keys("th")).otherwise(F.array().cast("array<bigint>")))).alias("key")).distinct()
     small = keys.count() <= BROADCAST_ROWS
     texts = keyed(docs)
     hashed = texts.select("doc_id", "text_key", words(F.col("text")).alias("w")).select("doc_id", "text_key", hashes("w").alias("h"))
-    listed = hashed.select("doc_id", "text_key", F.explode(band_keys("h", STRIDE)).alias("key"))
+    listed = hashed.select("doc_id", "text_key", F.explode(F.concat(band_keys("h", STRIDE), shingle_keys("h"))).alias("key"))
     retrieved = listed.join(F.broadcast(keys) if small else keys, "key")
     asked = retrieved.groupBy("doc_id", "text_key").agg(F.collect_set("template_id").alias("asked"))  # at most all templates
     same = F.col("t.doc_id").eqNullSafe(F.col("a.doc_id")) & (F.col("t.text_key") == F.col("a.text_key"))
