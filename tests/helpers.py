@@ -1,6 +1,8 @@
 """Small hand-made tables."""
 
 import datetime as dt
+import math
+from collections import Counter
 
 from tidemart.sources.views import EVENT_COLUMNS
 
@@ -43,3 +45,24 @@ def final_plan(df):
 
 def at(seconds, day="2024-01-01"):
     return dt.datetime.fromisoformat(day) + dt.timedelta(seconds=seconds)
+
+
+def canonical(value):
+    if value is None:
+        return None
+    if isinstance(value, bool):
+        return ("b", value)
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else ("f", round(value, 6) + 0.0)
+    if isinstance(value, int):
+        return ("i", value)
+    if isinstance(value, dt.datetime):
+        return ("t", value.isoformat())
+    if isinstance(value, dt.date):
+        return ("d", value.isoformat())
+    return value
+
+
+def bag(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(canonical(r[i]) for i in order) for r in rows)
