@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from tidemart.catalog.registry import query
 from tidemart.catalog.sql import ADS, ARRIVALS, DIMS, DWS, ODS, REPLAYED, TODAY, with_
-from tidemart.catalog.warehouse import ads, dwd, dws
+from tidemart.catalog.warehouse import ads, dwd, dws, uv_sketches
 from tidemart.functions import (
     event_day, event_time, json_field, pct, value_when, week_of, within_days, zero_if_null,
 )
 from tidemart.operators.aggregates import funnel_uv, step_counts
 from tidemart.operators.joins import compare_by_key, enrich
 from tidemart.operators.rows import dedup, first_seen
+from tidemart.operators.sketches import count_users, rolling_users, users_between
 from tidemart.plans.warehouse import DWD_COLUMNS
 from tidemart.sources import views
 from tidemart.sources.views import AS_OF, STEPS
@@ -175,19 +178,31 @@ def group_sum_small(spark, sf_dir):
     )
 
 
-# Relative standard error of the estimate, and the deviation that is still taken as within it.
-UV_ERROR, UV_BOUND = 0.02, 0.1
+@query(with_(ODS, "SELECT dt, country, COUNT(DISTINCT user_id) AS uv, COUNT(*) AS events FROM ods GROUP BY dt, country"))
+def approx_uv(spark, sf_dir):
+    """Users per day and country over all steps, merged from the stored sketches."""
+    return count_users(uv_sketches(spark, sf_dir), ["dt", "country"])
 
 
-@query(with_(ODS, "SELECT dt, country, COUNT(DISTINCT user_id) AS exact_uv, TRUE AS within_bound FROM ods GROUP BY dt, country"))
-def approx_uv(spark, sf_dir):
-    """Estimated users per day and country, beside the exact figure: a sketch per group instead
-    of one row per user, and whether it is within five standard errors (or one user)."""
-    ods = views.ods_events(spark, sf_dir)
-    counted = ods.groupBy("dt", "country").agg(
-        F.approx_count_distinct("user_id", UV_ERROR).alias("uv"), F.count_distinct("user_id").alias("exact_uv"))
-    off = F.abs(F.col("uv") - F.col("exact_uv"))
-    return counted.select("dt", "country", "exact_uv", (off <= F.greatest(F.lit(1.0), F.col("exact_uv") * UV_BOUND)).alias("within_bound"))
+@query(with_(ODS, f"""
+SELECT CAST(n AS INTEGER) AS days, country, action_type, COUNT(DISTINCT user_id) AS uv, COUNT(*) AS events
+FROM ods, (VALUES (7), (30)) d(n) WHERE dt > {TODAY} - n AND dt <= {TODAY} GROUP BY n, country, action_type"""))
+def users_last_days(spark, sf_dir):
+    """Users of the last 7 and 30 days per country and step, from the stored sketches."""
+    sketches = uv_sketches(spark, sf_dir)
+    spans = [
+        users_between(sketches, AS_OF - timedelta(n - 1), AS_OF, ["country", "action_type"]).select(F.lit(n).alias("days"), "*")
+        for n in (7, 30)
+    ]
+    return spans[0].unionByName(spans[1])
+
+
+@query(with_(ODS, """
+SELECT d.dt, country, COUNT(DISTINCT user_id) AS uv, COUNT(*) AS events
+FROM (SELECT DISTINCT dt FROM ods) d JOIN ods o ON o.dt > d.dt - 7 AND o.dt <= d.dt GROUP BY d.dt, country"""))
+def rolling_users_7_days(spark, sf_dir):
+    """For every day the users of the seven days that end with it, from the stored sketches."""
+    return rolling_users(uv_sketches(spark, sf_dir), 7, ["country"])
 
 
 @query(with_(ADS, "SELECT dt, country, category, ROUND(gmv, 2) AS gmv FROM ads ORDER BY dt DESC, ROUND(gmv, 2) DESC, country, category LIMIT 15"))

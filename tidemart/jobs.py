@@ -1,7 +1,8 @@
 """Jobs for spark-submit: ``spark-submit tidemart/jobs.py <job> <warehouse> [options]``.
 
-``ods``, ``dwd``, ``dws`` and ``ads`` store one layer each from the one before, so a
-scheduler can run them as separate tasks; ``layers`` runs all four.
+``ods``, ``dwd``, ``dws``, ``ads`` and ``sketches`` store one layer each from the one before, so a
+scheduler can run them as separate tasks; ``layers`` runs the first four. ``uv`` counts the users of
+the days from ``--from`` to ``--to`` from the sketches.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql.streaming import StreamingQuery  # noqa: E402
 
-from tidemart.operators import checks  # noqa: E402
+from tidemart.operators import checks, sketches  # noqa: E402
 from tidemart.plans import warehouse as plan  # noqa: E402
 from tidemart.session import build_session, stream_session  # noqa: E402
 from tidemart.streaming import sinks, sources, windows  # noqa: E402
@@ -26,7 +27,7 @@ from tidemart.streaming import sinks, sources, windows  # noqa: E402
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     parser.add_argument(
-        "job", choices=["ods", "dwd", "dws", "ads", "layers", "increment", "backfill", "report", "verify", "sql", "pv-uv",
+        "job", choices=["ods", "dwd", "dws", "ads", "sketches", "layers", "increment", "backfill", "report", "verify", "sql", "uv", "pv-uv",
                         "pv-event-time", "pv-arrival"]
     )
     parser.add_argument("warehouse", help="folder of the layer tables, dim_user and dim_item")
@@ -61,6 +62,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
             plan.store(spark, plan.build_dws(table("dwd_user_action")), out, "dws_user_daily")
         case "ads":
             plan.store(spark, plan.build_ads(table("dwd_user_action")), out, "ads_funnel_daily")
+        case "sketches":
+            plan.store(spark, plan.build_uv_sketches(table("dwd_user_action")), out, "dws_uv_sketches")
+        case "uv":
+            return sketches.users_between(table("dws_uv_sketches"), args.first, args.last, ["country", "action_type"])
         case "layers":
             return checks.row_counts(plan.run_layers(spark, spark.read.parquet(args.events), *dims(), out))
         case "increment":

@@ -12,6 +12,7 @@ from tidemart.functions import event_day, pct, value_when, zero_if_null
 from tidemart.operators.aggregates import funnel_uv
 from tidemart.operators.joins import attach
 from tidemart.operators.rows import dedup
+from tidemart.operators.sketches import sketch_users
 from tidemart.sources import formats
 from tidemart.sources.views import EVENT_COLUMNS, STEPS
 
@@ -76,6 +77,11 @@ def build_ads(dwd: DataFrame, two_step: bool = True) -> DataFrame:
     return funnel_uv(category, ["dt", "country", "category"], STEPS, two_step=two_step)
 
 
+def build_uv_sketches(dwd: DataFrame) -> DataFrame:
+    """Sketches of the users per day, country and step, to be merged over any span of days."""
+    return sketch_users(dwd, ["dt", "country", "action_type"])
+
+
 def funnel_report(ads: DataFrame, n: int | None = 15) -> DataFrame:
     """The newest days by country. Users are summed over categories, so somebody active in
     two categories counts twice; ``n=None`` gives all rows, unordered."""
@@ -162,3 +168,5 @@ def refresh_days(spark: SparkSession, dim_user: DataFrame, dim_item: DataFrame,
     stored = spark.read.schema(detail.schema).parquet(f"{out}/dwd_user_action").where(on(again))
     formats.replace_days(build_dws(stored), f"{out}/dws_user_daily", again)
     formats.replace_days(build_ads(stored), f"{out}/ads_funnel_daily", again)
+    if formats.exists(spark, f"{out}/dws_uv_sketches"):  # a layer of its own, kept where somebody wants it
+        formats.replace_days(build_uv_sketches(stored), f"{out}/dws_uv_sketches", again)

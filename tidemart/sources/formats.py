@@ -81,6 +81,11 @@ def replace_days(df: DataFrame, path: str, days: list[dt.date]) -> None:
     spark.catalog.refreshByPath(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def rebuild_table(df: DataFrame, name: str, path: str, by: str | None = None) -> DataFrame:
     """Create a catalog table from a DataFrame, or replace the one of that name.
 
