@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from tidemart.catalog.registry import query
 from tidemart.catalog.sql import ADS, DWD, DWS, ODS, TODAY, with_
+from tidemart.catalog.stored import stored_folder
 from tidemart.catalog.warehouse import ads, dwd, dws
 from tidemart.operators import checks
 from tidemart.operators.joins import attach, spread_join
-from tidemart.operators.retrieval import split_sections, topk_by_overlap
+from tidemart.operators.retrieval import SectionIndex, build_index, open_index, split_sections, topk
 from tidemart.plans import analytics as ask
 from tidemart.plans import warehouse as plan
 from tidemart.sources import views
@@ -249,6 +250,12 @@ def result_set_match(spark, sf_dir):
     )
 
 
+def section_index(spark, sf_dir) -> SectionIndex:
+    """The stored index of all sections of all documents."""
+    return open_index(spark, stored_folder(spark, sf_dir, "section_index", ("documents",), lambda out: build_index(
+        split_sections(views.load(spark, sf_dir, "documents")), out)))
+
+
 @query(r"""
 WITH sections AS (
   SELECT doc_id, unnest(range(len(parts))) AS section_no, unnest(parts) AS section
@@ -269,7 +276,8 @@ SELECT question_id, CAST(rnk AS INTEGER) AS rnk, doc_id, CAST(section_no AS INTE
   CAST(overlap AS INTEGER) AS overlap, section
 FROM ranked WHERE rnk <= 3""")
 def keyword_topk_retrieval(spark, sf_dir):
+    """All questions against the stored index of all sections."""
     questions = views.load(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("question_id"), F.col("text").alias("question")
     )
-    return topk_by_overlap(questions, split_sections(views.load(spark, sf_dir, "documents")))
+    return topk(questions, section_index(spark, sf_dir))

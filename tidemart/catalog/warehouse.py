@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemart.catalog.registry import query
 from tidemart.catalog.sql import ADS, DIMS, DWD, DWS, ODS, REPLAYED, dwd_from, with_
+from tidemart.catalog.stored import stored_folder
 from tidemart.operators import checks
 from tidemart.operators.aggregates import retention
 from tidemart.operators.joins import attach
@@ -39,22 +38,11 @@ def stored_layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: spark.read.schema(schema).parquet(f"{folder}/{name}").select(*schema.names) for name, schema in schemas.items()}
 
 
-_MADE: dict[tuple, tuple[str, T.StructType]] = {}
-
-
-def stored_once(spark: SparkSession, sf_dir: str, name: str, tables: Sequence[str], make: Callable[[], DataFrame]) -> DataFrame:
-    """A table partitioned by day that is stored once per application and state of its sources."""
-    state = (spark.sparkContext.applicationId, sf_dir, name, *(views.source_state(spark, sf_dir, t) for t in tables))
-    if state not in _MADE:
-        folder = scratch_dir(spark, name)
-        _MADE[state] = folder, plan.store(spark, make(), folder, name).schema
-    folder, schema = _MADE[state]
-    return spark.read.schema(schema).parquet(f"{folder}/{name}").select(*schema.names)
-
-
 def uv_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored sketches of users per day, country and step."""
-    return stored_once(spark, sf_dir, "dws_uv_sketches", ("events",), lambda: plan.build_uv_sketches(views.ods_events(spark, sf_dir)))
+    folder = stored_folder(spark, sf_dir, "sketches", ("events",), lambda out: plan.store(
+        spark, plan.build_uv_sketches(views.ods_events(spark, sf_dir)), out, "dws_uv_sketches"))
+    return spark.read.parquet(f"{folder}/dws_uv_sketches")
 
 
 def dwd(spark: SparkSession, sf_dir: str) -> DataFrame:

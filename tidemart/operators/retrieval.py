@@ -1,28 +1,49 @@
-"""Keyword retrieval: for each question the text sections that share most of its words."""
+"""Keyword retrieval: for each question the text sections that share most of its words.
+
+Sections are indexed once. Their ids follow their size (number of distinct words), largest first, so
+that posting lists, kept in order of ids, are in order of impact: a section cannot share more words
+than it has. A list is stored in blocks of consecutive ids with the size of the block's
+largest section, which bounds what any section in it can share.
+
+A question is answered in three steps, all of them joins and aggregations over all questions:
+
+1. *Threshold.* Each word's first few sections (the largest that hold it) are tallied. The k-th best
+   tally is a number of shared words that k sections are known to reach.
+2. *Candidates.* A section that reaches the threshold t holds at least one of any n - t + 1 of the
+   question's n words, so only the lists of its n - t + 1 rarest words are read, and of them only
+   blocks whose largest section has t words or more. Frequent words only add to what others found.
+3. *Scores.* The candidates in a block are intersected with the same block of each of the question's
+   lists, which counts the shared words without a look at any text; best k kept, equals by text.
+
+Nothing is estimated: sections that are not read cannot be among the best k.
+"""
 
 from __future__ import annotations
 
-import heapq
-import math
-import re
-from collections.abc import Iterator
+from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Questions are sent to every task; more than this many bytes of them (measured, with 64
-# for each question's place in the index) go in several passes.
-QUESTION_BYTES = 16 * 1024 * 1024
+from tidemart.operators.joins import attach, is_small
+from tidemart.session import scratch_dir
+
+#: Consecutive section ids whose low bits differ are a block: 4,096 of them at most.
+BLOCK_BITS = 12
 
-# Sections scored together in a task; bounds the score matrix.
-SCORE_ROWS = 256
+#: Largest sections per word that are tallied for the threshold.
+CHAMPIONS = 32
 
-# First ranking of the candidates is per question and this many parts.
-PARTS = 64
+#: Sections kept in the order of equals, for questions that share no word with k sections.
+DEEPEST = 100
 
-WORD = re.compile(r"\w+")
+
+@dataclass(frozen=True)
+class SectionIndex:
+    sections: DataFrame  # sid, doc_id, section_no, section, n_words
+    postings: DataFrame  # word, block, largest, sids
+    words: DataFrame  # word, df, champions
+    last: DataFrame  # place, sid: the first sections among equals
 
 
 def split_sections(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -30,78 +51,100 @@ def split_sections(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return docs.select(F.col(doc_id).alias("doc_id"), F.posexplode(F.split(text, "\n## ")).alias("section_no", "section"))
 
 
-def topk_by_overlap(
-    questions: DataFrame, sections: DataFrame, k: int = 3, question_bytes: int = QUESTION_BYTES
-) -> DataFrame:
-    """The ``k`` best sections per question by number of distinct shared words.
+def distinct_words(text: str) -> Column:
+    """Runs of letters, digits and underscores in lower case, each once; none in a null text."""
+    words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
+    return F.array_distinct(words)
+
+
+def build_index(sections: DataFrame, folder: str) -> SectionIndex:
+    """Store the index of ``sections`` (as from ``split_sections``) below ``folder``."""
+    spark = sections.sparkSession
+    sized = sections.select("doc_id", "section_no", "section", distinct_words("section").alias("words")).withColumn("n_words", F.size("words"))
+    # Stored before it is sorted: a sort looks at its input twice, and texts are to be taken apart once.
+    unsorted = scratch_dir(spark, "tokenised")
+    sized.write.parquet(unsorted)
+    ordered = spark.read.schema(sized.schema).parquet(unsorted).orderBy(F.desc("n_words"), "doc_id", "section_no")
+    # Numbers grow with the partition and within it, hence along the order; once stored they are facts.
+    ordered.withColumn("sid", F.monotonically_increasing_id()).write.parquet(f"{folder}/sections")
+    stored = spark.read.parquet(f"{folder}/sections")
+    holds = stored.select(F.explode("words").alias("word"), F.shiftright("sid", BLOCK_BITS).alias("block"), "sid", "n_words")
+    blocks = holds.groupBy("word", "block").agg(
+        F.max("n_words").alias("largest"), F.sort_array(F.collect_list("sid")).alias("sids"))
+    blocks.sortWithinPartitions("word", "block").write.parquet(f"{folder}/postings")
+    lists = spark.read.parquet(f"{folder}/postings").groupBy("word").agg(
+        F.sum(F.size("sids")).alias("df"), F.min(F.struct("block", F.slice("sids", 1, CHAMPIONS).alias("sids"))).alias("first"))
+    lists.select("word", "df", F.col("first.sids").alias("champions")).write.parquet(f"{folder}/words")
+    last = stored.orderBy(*_equals()).limit(DEEPEST).select("sid", "section", "doc_id", "section_no")
+    place = F.row_number().over(Window.orderBy(*_equals()))  # of DEEPEST rows
+    last.select(place.alias("place"), "sid").write.parquet(f"{folder}/last")
+    return open_index(spark, folder)
 
-    Words are runs of letters, digits and underscores in lower case. Ties go to the
-    section whose text sorts last, then to the lowest document and section. Every section
-    is a candidate, those without a common word included.
 
-    Sections are never paired with questions in a shuffle: each task scores its own
-    sections against the questions' word index and keeps ``k`` per question, which is
-    exact because a section outside a part's best ``k`` is outside the overall best ``k``.
-    ``questions`` has (question_id, question); ``sections`` as from ``split_sections``.
+def open_index(spark: SparkSession, folder: str) -> SectionIndex:
+    return SectionIndex(*(spark.read.parquet(f"{folder}/{t}") for t in ("sections", "postings", "words", "last")))
+
+
+def _equals() -> list[Column]:
+    """Order among sections that share equally many words."""
+    return [F.desc("section"), F.asc("doc_id"), F.asc("section_no")]
+
+
+def topk_by_overlap(questions: DataFrame, sections: DataFrame, k: int = 3) -> DataFrame:
+    """``topk`` over sections that have no index yet."""
+    return topk(questions, build_index(sections, scratch_dir(sections.sparkSession, "sections")), k)
+
+
+def topk(questions: DataFrame, index: SectionIndex, k: int = 3) -> DataFrame:
+    """The ``k`` best sections per question by number of distinct shared words.
+
+    Ties go to the section whose text sorts last, then to the lowest document and section. Every
+    section is a candidate, those without a common word included. ``questions`` has (question_id,
+    question); a null question has no words.
     """
-    size = questions.agg(F.sum(F.octet_length("question") + F.lit(64))).first()[0] or 0
-    passes = max(1, math.ceil(size / question_bytes))
-    schema = "question_id long, doc_id long, section_no int, section string, overlap int"
-    found = None
-    for i in range(passes):
-        part = questions.where(F.pmod(F.xxhash64("question_id"), F.lit(passes)) == i)
-        asked = [(r.question_id, set(WORD.findall(r.question.lower()))) for r in part.collect()]
-        best = sections.mapInPandas(_scorer(questions.sparkSession.sparkContext.broadcast(asked), k), schema)
-        found = best if found is None else found.unionByName(best)
-    order = [F.desc("overlap"), F.desc("section"), F.asc("doc_id"), F.asc("section_no")]
-    part = F.pmod(F.xxhash64("doc_id", "section_no"), F.lit(PARTS))
-    per_part = Window.partitionBy("question_id", "_part").orderBy(*order)
-    per_question = Window.partitionBy("question_id").orderBy(*order)
-    return (
-        found.withColumn("_part", part)
-        .withColumn("_rn", F.row_number().over(per_part)).where(F.col("_rn") <= k)
-        .withColumn("rnk", F.row_number().over(per_question)).where(F.col("rnk") <= k)
-        .select("question_id", "rnk", "doc_id", "section_no", "overlap", "section")
-    )
-
-
-def _scorer(asked_bc, k: int):
-    """A mapInPandas function that keeps the best ``k`` of its sections per question."""
-
-    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        asked = asked_bc.value
-        index: dict[str, list[int]] = {}
-        for q, (_, words) in enumerate(asked):
-            for word in words:
-                index.setdefault(word, []).append(q)
-        postings = {word: np.array(qs) for word, qs in index.items()}
-        best: list[list[tuple]] = [[] for _ in asked]
-        for frame in frames:
-            for at in range(0, len(frame), SCORE_ROWS):
-                _keep_best(frame.iloc[at:at + SCORE_ROWS], postings, best, k)
-        rows = [
-            (asked[q][0], -doc, -no, section, overlap)
-            for q, kept in enumerate(best) for overlap, section, doc, no in kept
-        ]
-        if rows:
-            yield pd.DataFrame(rows, columns=["question_id", "doc_id", "section_no", "section", "overlap"])
-
-    return score
-
-
-def _keep_best(block: pd.DataFrame, postings: dict, best: list, k: int) -> None:
-    scores = np.zeros((len(block), len(best)), dtype=np.int32)
-    for i, section in enumerate(block["section"]):
-        hits = [postings[w] for w in set(WORD.findall(section.lower())) if w in postings]
-        if hits:
-            scores[i] = np.bincount(np.concatenate(hits), minlength=len(best))
-    floor = np.array([kept[0][0] if len(kept) == k else 0 for kept in best], dtype=np.int32)
-    if len(block) > k:
-        floor = np.maximum(floor, np.partition(scores, len(block) - k, axis=0)[len(block) - k])
-    docs, nos, texts = block["doc_id"].to_numpy(), block["section_no"].to_numpy(), block["section"].to_numpy()
-    for i, q in np.argwhere(scores >= floor):
-        entry = (int(scores[i, q]), texts[i], -int(docs[i]), -int(nos[i]))
-        if len(best[q]) < k:
-            heapq.heappush(best[q], entry)
-        else:
-            heapq.heappushpop(best[q], entry)
+    if k > DEEPEST:
+        raise ValueError(f"at most {DEEPEST} sections per question")
+    asked = questions.select("question_id", distinct_words("question").alias("words"))
+    fill = [r.sid for r in index.last.orderBy("place").limit(k).collect()]
+    always = asked.select("question_id", F.explode(F.array(*map(F.lit, fill)).cast("array<bigint>")).alias("sid"))
+    pairs = candidates(asked, index, k).unionByName(always)
+    counted = shared_words(asked, pairs, index).unionByName(always.withColumn("n", F.lit(0)))
+    scored = counted.groupBy("question_id", "sid").agg(F.sum("n").cast("int").alias("overlap"))
+    per_question = Window.partitionBy("question_id")
+    ahead = scored.withColumn("_rank", F.rank().over(per_question.orderBy(F.desc("overlap")))).where(F.col("_rank") <= k)
+    # Stored, so that its size is known: a few answers are sent to the texts and not the texts to them.
+    best = scratch_dir(ahead.sparkSession, "answers")
+    ahead.write.parquet(best)
+    answers = ahead.sparkSession.read.schema(ahead.schema).parquet(best)
+    texts = attach(index.sections.select("sid", "doc_id", "section_no", "section"), answers, "sid", "inner")
+    place = F.row_number().over(per_question.orderBy(F.desc("overlap"), *_equals()))
+    return texts.withColumn("rnk", place).where(F.col("rnk") <= k).select(
+        "question_id", "rnk", "doc_id", "section_no", "overlap", "section")
+
+
+def shared_words(asked: DataFrame, pairs: DataFrame, index: SectionIndex) -> DataFrame:
+    """(question_id, sid, n) with n = 1 for every word that a pair shares."""
+    blocks = pairs.groupBy("question_id", F.shiftright("sid", BLOCK_BITS).alias("block")).agg(F.collect_set("sid").alias("wanted"))
+    b, q = blocks.alias("b"), asked.alias("q")
+    words = b.join(q, F.col("b.question_id").eqNullSafe(F.col("q.question_id"))).select(
+        "b.question_id", "block", "wanted", F.explode("words").alias("word"))
+    held = words.join(index.postings, ["word", "block"])
+    return held.select("question_id", F.explode(F.array_intersect("wanted", "sids")).alias("sid"), F.lit(1).alias("n"))
+
+
+def candidates(asked: DataFrame, index: SectionIndex, k: int) -> DataFrame:
+    """(question_id, sid) of every section that shares a word and can be among a question's best
+    ``k``; a pair may come several times. ``asked`` has (question_id, words)."""
+    # A few questions (by the size of their source) go to the index, which then stays where it is.
+    send = F.broadcast if is_small(asked) else lambda df: df
+    known = index.words.join(send(asked.select("question_id", F.explode("words").alias("word"))), "word")
+    tally = known.select("question_id", F.explode("champions").alias("sid")).groupBy("question_id", "sid").agg(F.count(F.lit(1)).alias("n"))
+    best = Window.partitionBy("question_id").orderBy(F.desc("n"))
+    reached = tally.withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= k)
+    threshold = reached.groupBy("question_id").agg(F.when(F.count(F.lit(1)) == k, F.min("n")).otherwise(1).cast("int").alias("t"))
+    lists = known.groupBy("question_id").agg(F.sort_array(F.collect_list(F.struct("df", "word"))).alias("lists"))
+    l, t = lists.alias("l"), threshold.alias("t")
+    rare = l.join(t, F.col("l.question_id").eqNullSafe(F.col("t.question_id"))).select(
+        "l.question_id", "t.t", F.explode(F.slice("lists", F.lit(1), F.size("lists") - F.col("t") + 1)).alias("list"))
+    read = index.postings.join(send(rare.select("question_id", "t", F.col("list.word").alias("word"))), "word").where("largest >= t")
+    return read.select("question_id", F.explode("sids").alias("sid"))
