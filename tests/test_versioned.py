@@ -1,6 +1,7 @@
 """Versioned rows (M11): branches after a rollback, NULLs and late columns in conditions."""
 
 import pytest
+from helpers import plan_of
 
 from tidemart.operators import versioned as v
 
@@ -37,9 +38,9 @@ def test_delete_spares_null(history):
 
 def test_row_ids_are_unique_over_appended_copies(history):
     rows = history.rows
-    assert rows.count() == rows.select("_row_id").distinct().count() >= 13
+    assert rows.count() == rows.select("_added_v", "_row_n").distinct().count() >= 13
     again = v.append(v.append(history, v.read_as_of(history)), v.read_as_of(history))
-    assert again.rows.count() == again.rows.select("_row_id").distinct().count()
+    assert again.rows.count() == again.rows.select("_added_v", "_row_n").distinct().count()
 
 
 def test_rollback_starts_a_branch(spark, history):
@@ -100,3 +101,79 @@ def test_mistakes_are_refused(spark, history):
         v.append(history, spark.createDataFrame([(1, "x")], "event_id long, colour string"))
     with pytest.raises(ValueError, match="exists"):
         v.add_column(history, "platform", "string")
+
+
+def test_another_session_opens_the_history(spark, history):
+    h = v.open_history(spark.newSession(), history.folder)
+    assert h.head == history.head and ids(v.read_as_of(h)) == ids(v.read_as_of(history))
+    assert ids(v.read_as_of(h, 1)) == list(range(10))
+    v.rollback_to(h, 3)
+    h = v.open_history(spark, history.folder)
+    assert h.head == 3 and v.read_as_of(h).count() == 13
+    h = v.append(h, spark.createDataFrame([(70, "JP", "web")], SCHEMA + ", platform string"))
+    again = v.open_history(spark, history.folder)
+    assert again.head == h.head == 5 and 70 in ids(v.read_as_of(again)) and len(v.log(again).collect()) == 5
+
+
+def test_a_change_without_its_line_does_not_exist(spark, history, monkeypatch):
+    before = ids(v.read_as_of(history))
+    with monkeypatch.context() as m:
+        m.setattr(v, "_commit", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("stopped")))
+        with pytest.raises(RuntimeError, match="stopped"):
+            v.append(history, spark.createDataFrame([(80, "JP", "web")] * 3, SCHEMA + ", platform string"))
+        with pytest.raises(RuntimeError, match="stopped"):
+            v.delete_where(history, "event_id > 0")
+    h = v.open_history(spark, history.folder)
+    assert ids(v.read_as_of(h)) == before and h.rows.where("event_id = 80").count() == 0
+    h = v.delete_where(h, "event_id = 1")
+    assert ids(v.read_as_of(h)) == [i for i in before if i != 1]
+
+
+def test_a_version_reads_only_its_own_files_and_joins_only_for_deletes(spark, tmp_path):
+    h = v.begin(spark.createDataFrame(ROWS, SCHEMA), str(tmp_path))
+    for _ in range(3):
+        h = v.append(h, spark.createDataFrame(ROWS, SCHEMA))
+    plan = plan_of(v.read_as_of(h, 2))
+    assert "Join" not in plan and plan.count("Scan parquet") <= 2 and "_added_v" in plan.split("PartitionFilters")[1]
+    assert len(v.read_as_of(h, 2).inputFiles()) >= 2
+    deleted = plan_of(v.read_as_of(v.delete_where(h, "event_id = 3")))
+    assert "LeftAnti" in deleted and "Union" not in deleted
+
+
+@pytest.mark.parametrize("stop", ["before the line", "after the line"])
+def test_a_stream_into_versions_survives_a_stop(spark, tmp_path, monkeypatch, stop):
+    """Three deliveries; the second is stopped between its rows and its line, or between its line
+    and the stream's own commit."""
+    folder, source = str(tmp_path / "history"), str(tmp_path / "in")
+    v.begin(spark.createDataFrame([], SCHEMA), folder)
+
+    def deliver(n):
+        spark.createDataFrame([(n * 10 + i, "US") for i in range(5)], SCHEMA).write.mode("append").json(source)
+
+    def drain():
+        stream = spark.readStream.schema(SCHEMA).json(source)
+        stream.writeStream.foreachBatch(v.append_batch(folder, "feed")).option(
+            "checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start().awaitTermination()
+
+    deliver(1)
+    drain()
+    deliver(2)
+    commit = v._commit
+
+    def broken(*a, **k):
+        if stop == "after the line":
+            commit(*a, **k)
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(v, "_commit", broken)
+        with pytest.raises(Exception, match="stopped"):
+            drain()
+    drain()
+    deliver(3)
+    drain()
+    drain()
+    h = v.open_history(spark, folder)
+    assert ids(v.read_as_of(h)) == [n * 10 + i for n in (1, 2, 3) for i in range(5)]
+    assert ids(v.read_as_of(h, 3)) == [n * 10 + i for n in (1, 2) for i in range(5)]
+    assert [(r.version, r.added) for r in v.log(h).orderBy("version").collect()] == [(1, 0), (2, 5), (3, 5), (4, 5)]

@@ -13,11 +13,13 @@ from pyspark.sql import types as T
 
 from tidemart.catalog.registry import query
 from tidemart.catalog.sql import ARRIVALS, ODS, SLOW_ARRIVALS, with_
+from tidemart.catalog.stored import stored_folder
+from tidemart.operators import versioned
 from tidemart.operators.joins import compare_by_key
 from tidemart.operators.sessions import classify_late
 from tidemart.session import scratch_dir, stream_session
 from tidemart.sources import formats, views
-from tidemart.streaming import sinks, sources, windows
+from tidemart.streaming import late, sinks, sources, windows
 
 _MINUTE = f"""{ARRIVALS},
 ended AS (SELECT *, date_trunc('minute', ts) AS ws, date_trunc('minute', ts) + INTERVAL 1 MINUTE AS we FROM arrived)"""
@@ -121,6 +123,82 @@ def late_corrected_pv(spark, sf_dir):
     )
 
 
+# Six deliveries of five days each; every tenth event comes one delivery late.
+_DELIVERY = "least(5, (datediff(dt, DATE '2024-01-01') div 5) + if(event_id % 10 = 0, 1, 0))"
+_DELIVERED = ODS + """,
+delivered AS (
+  SELECT event_id, user_id, country, amount, dt, make_timestamp(event_ts * 1000) AS ts,
+    LEAST(5, date_diff('day', DATE '2024-01-01', dt) // 5 + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END) AS delivery
+  FROM ods),
+latest AS (SELECT delivery, MAX(ts) AS latest FROM delivered GROUP BY delivery),
+marks AS (
+  SELECT d.delivery, MAX(l.latest) - INTERVAL 30 SECOND AS mark
+  FROM (SELECT DISTINCT delivery FROM delivered) d LEFT JOIN latest l ON l.delivery < d.delivery GROUP BY d.delivery),
+split AS (
+  SELECT event_id, country, ts, date_trunc('hour', ts) AS window_start,
+    COALESCE(date_trunc('hour', ts) + INTERVAL 1 HOUR <= mark, FALSE) AS is_late
+  FROM delivered JOIN marks USING (delivery))"""
+_DELIVERED_SCHEMA = "event_id long, user_id long, country string, amount double, dt date, ts timestamp"
+
+
+def _deliveries(spark, sf_dir, folder: str, run) -> None:
+    """Each delivery arrives in a folder, and the stream over it runs once from its checkpoint."""
+    events = views.ods_events(spark, sf_dir).select("event_id", "user_id", "country", "amount", "dt", F.timestamp_millis("event_ts").alias("ts"))
+    for n in range(6):
+        events.where(F.expr(_DELIVERY) == n).write.mode("append").parquet(f"{folder}/in")
+        run(stream_session(spark).readStream.schema(_DELIVERED_SCHEMA).parquet(f"{folder}/in")).awaitTermination()
+
+
+def _late_stream(spark, sf_dir) -> str:
+    """The folder of a stream over all deliveries that keeps late rows and corrects its windows."""
+    return stored_folder(spark, sf_dir, "late_stream", ("events",), lambda out: _deliveries(
+        spark, sf_dir, out, lambda stream: late.count_with_corrections(
+            stream.select("event_id", "country", "ts"), out, "ts", "1 hour", "30 seconds", ["country"])))
+
+
+@query(with_(_DELIVERED, "SELECT event_id, country, window_start FROM split WHERE is_late"))
+def late_rows_live(spark, sf_dir):
+    """The side output of the running stream: rows whose hour had ended before their micro-batch."""
+    schema = T.StructType.fromDDL("event_id long, country string, ts timestamp")
+    rows = late.late_rows(spark, _late_stream(spark, sf_dir), schema)
+    return rows.select("event_id", "country", F.col("window_start").cast("timestamp_ntz").alias("window_start"))
+
+
+@query(with_(_DELIVERED, """
+SELECT window_start, country, COUNT(*) FILTER (NOT is_late) AS first_pv, COUNT(*) FILTER (is_late) AS late_pv, COUNT(*) AS corrected_pv
+FROM split GROUP BY window_start, country"""))
+def late_corrected_live(spark, sf_dir):
+    """The stored windows of the running stream: counted in time, added later, and together."""
+    windows_ = late.windows(spark, _late_stream(spark, sf_dir), T.StructType.fromDDL("country string"))
+    return windows_.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+def _versions_stream(spark, sf_dir) -> versioned.History:
+    """A history that a stream has written, a version per delivery, opened anew."""
+    def make(out):
+        versioned.begin(spark.createDataFrame([], _DELIVERED_SCHEMA), f"{out}/history")
+        _deliveries(spark, sf_dir, out, lambda stream: (
+            stream.writeStream.foreachBatch(versioned.append_batch(f"{out}/history", "events"))
+            .option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start()))
+
+    return versioned.open_history(spark, stored_folder(spark, sf_dir, "versions_stream", ("events",), make) + "/history")
+
+
+@query(with_(_DELIVERED, """
+SELECT CAST(1 AS BIGINT) AS version, CAST(NULL AS BIGINT) AS parent, 'append' AS op, CAST(0 AS BIGINT) AS added, CAST(0 AS BIGINT) AS deleted, FALSE AS is_current
+UNION ALL SELECT delivery + 2, delivery + 1, 'append', COUNT(*), 0, delivery = 5 FROM delivered GROUP BY delivery"""))
+def stream_versions_log(spark, sf_dir):
+    """Snapshots of a table that a stream writes: one version per micro-batch."""
+    return versioned.log(_versions_stream(spark, sf_dir))
+
+
+@query(with_(_DELIVERED, "SELECT event_id, user_id, country, amount, dt, ts FROM delivered WHERE delivery <= 2"))
+def stream_versions_as_of(spark, sf_dir):
+    """That table as it was after its third micro-batch."""
+    rows = versioned.read_as_of(_versions_stream(spark, sf_dir), 4)
+    return rows.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 @query(with_(ARRIVALS + """,
 slid AS (
   SELECT time_bucket(INTERVAL 5 MINUTE, ts, TIMESTAMP '2024-01-01') - INTERVAL 5 MINUTE * k AS window_start, country, user_id, ts

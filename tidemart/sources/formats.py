@@ -86,6 +86,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
+def append_line(spark: SparkSession, rows: list[tuple], schema: str, path: str) -> None:
+    """Append a few rows known to the driver, as one file."""
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+
+
 def rebuild_table(df: DataFrame, name: str, path: str, by: str | None = None) -> DataFrame:
     """Create a catalog table from a DataFrame, or replace the one of that name.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -39,7 +39,7 @@ def pv_uv(
         .withColumn("_time", F.window_time("window"))
     )
     step = slide or size
-    offset = f"{_seconds(users, size) % _seconds(users, step)} seconds"
+    offset = f"{seconds_of(users.sparkSession, size) % seconds_of(users.sparkSession, step)} seconds"
     counted = users.groupBy(F.window("_time", step, startTime=offset).alias("w"), *by).agg(
         F.sum("_rows").alias("pv"), F.count(user).alias("uv")
     )
@@ -49,9 +49,9 @@ def pv_uv(
     )
 
 
-def _seconds(df: DataFrame, length: str) -> int:
+def seconds_of(spark: SparkSession, length: str) -> int:
     """A window length in seconds, as Spark reads it."""
-    interval = df.sparkSession.sql(f"SELECT unix_seconds(TIMESTAMP '1970-01-01 00:00:00 UTC' + INTERVAL {length}) AS s")
+    interval = spark.sql(f"SELECT unix_seconds(TIMESTAMP '1970-01-01 00:00:00 UTC' + INTERVAL {length}) AS s")
     return interval.first().s
 
 
