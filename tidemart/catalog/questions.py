@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemart.catalog.registry import query
 from tidemart.catalog.sql import ADS, DWD, DWS, ODS, TODAY, with_
 from tidemart.catalog.stored import stored_folder
 from tidemart.catalog.warehouse import ads, dwd, dws
-from tidemart.operators import checks
+from tidemart.operators import checks, colocated
 from tidemart.operators.joins import attach, spread_join
 from tidemart.operators.retrieval import SectionIndex, build_index, open_index, split_sections, topk
 from tidemart.plans import analytics as ask
@@ -157,6 +159,27 @@ def smj_star_join(spark, sf_dir):
     return out.withColumn("gmv", F.round("gmv", 2))
 
 
+@query(with_(DWD, _STAR))
+def colocated_star_join(spark, sf_dir):
+    """The star join over tables stored by user: no shuffle of the fact."""
+    out = ask.star_join_colocated(spark, star_tables(spark, sf_dir), views.dim_item(spark, sf_dir))
+    return out.withColumn("gmv", F.round("gmv", 2))
+
+
+def star_tables(spark, sf_dir) -> colocated.Colocated:
+    """Detail and users, stored once in buckets by user."""
+    def make(out):
+        name = "star_" + uuid.uuid4().hex
+        tables = colocated.store(dwd(spark, sf_dir).select("user_id", "item_id", "country", "amount"), views.dim_user(spark, sf_dir), "user_id", name, out)
+        _STAR_TABLES[out] = tables
+
+    return _STAR_TABLES[stored_folder(spark, sf_dir, "star", ("events", "customer", "nation", "region", "part"), make)]
+
+
+# Names of the tables in the application's catalog, by their folder.
+_STAR_TABLES: dict[str, colocated.Colocated] = {}
+
+
 @query(with_(ADS, "SELECT ROUND(SUM(gmv), 2) AS gmv FROM ads"))
 def board_total_gmv(spark, sf_dir):
     return ask.gmv_by(ads(spark, sf_dir), [])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -27,36 +27,71 @@ def require_rows(df: DataFrame, name: str) -> DataFrame:
     )
 
 
+#: Buckets that two tables are compared by.
+BUCKETS = 1024
+
+_PARTS = ("high_1", "low_1", "high_2", "low_2")
+
+
+def digests(df: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """The multiset of rows as at most ``buckets`` rows, whatever the order and layout of ``df``:
+    (bucket, n, and the sum of two 64-bit hashes of every row, in parts of 32 bits that do not
+    overflow). Rows are reduced where they are read; only these sums are shuffled."""
+    one, two = _row_hash(df, 1), _row_hash(df, 2)
+    low = F.lit(0xFFFFFFFF)
+    parts = (F.shiftright("_h1", 32), F.col("_h1").bitwiseAND(low), F.shiftright("_h2", 32), F.col("_h2").bitwiseAND(low))
+    hashed = df.select(one.alias("_h1"), two.alias("_h2"))
+    return hashed.groupBy(F.pmod("_h1", F.lit(buckets)).cast("int").alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(part).alias(name) for part, name in zip(parts, _PARTS, strict=True)])
+
+
+def _row_hash(df: DataFrame, salt: int) -> Column:
+    """A hash of a row; that a value is missing counts, and where."""
+    return F.xxhash64(F.lit(salt), *[x for c in df.columns for x in (F.isnull(F.col(f"`{c}`")), F.col(f"`{c}`"))])
+
+
+def _alike(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both with the columns of ``a``, matched by name, in types that hold the values of both."""
+    fields = a.limit(0).unionByName(b.limit(0)).schema.fields
+    return tuple(df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields]) for df in (a, b))
+
+
+def _compared(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(bucket, left_rows, right_rows, same) of two tables."""
+    x, y = digests(a).alias("x"), digests(b).alias("y")
+    same = F.lit(True)
+    for c in ("n", *_PARTS):
+        same = same & F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}"))
+    return x.join(y, "bucket", "full").select(
+        "bucket", F.coalesce("x.n", F.lit(0)).alias("left_rows"), F.coalesce("y.n", F.lit(0)).alias("right_rows"), same.alias("same"))
+
+
 def row_differences(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows whose number of occurrences differs; ``surplus`` is positive where ``a`` has more.
 
-    Columns are matched by name. One grouping of both sides together, so copies of a row combine
-    before the shuffle.
+    Columns are matched by name. Buckets of rows are compared by their digests first; only rows of
+    buckets that differ are moved. One grouping of both sides together, so that copies of a row
+    combine before the shuffle.
     """
-    signed = a.withColumn("_n", F.lit(1)).unionByName(b.withColumn("_n", F.lit(-1)))
-    return signed.groupBy(*a.columns).agg(F.sum("_n").alias("surplus")).where("surplus <> 0")
+    a, b = _alike(a, b)
+    differ = [r.bucket for r in _compared(a, b).where("NOT same").collect()]  # at most BUCKETS numbers
+    left, right = (df.where(F.pmod(_row_hash(df, 1), F.lit(BUCKETS)).isin(differ)) for df in (a, b))
+    signed = left.withColumn("_n", F.lit(1)).unionByName(right.withColumn("_n", F.lit(-1)))
+    return signed.groupBy(*[f"`{c}`" for c in a.columns]).agg(F.sum("_n").alias("surplus")).where("surplus <> 0")
 
 
 def same_rows(a: DataFrame, b: DataFrame) -> DataFrame:
     """One row: sizes of two results, whether the counts agree and whether the rows do.
 
-    Equal counts say nothing about the rows; ``rows_match`` compares them as a multiset.
+    Equal counts say nothing about the rows; ``rows_match`` compares them as a multiset, by digests of
+    128 bits, so that no row of either side is moved. ``row_differences`` names the rows.
     """
-    signed = a.select("*", F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(
-        b.select("*", F.lit(0).alias("_a"), F.lit(1).alias("_b"))
-    )
-    per_row = signed.groupBy(*a.columns).agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
-    sizes = per_row.agg(
-        F.coalesce(F.sum("_a"), F.lit(0)).alias("left_rows"),
-        F.coalesce(F.sum("_b"), F.lit(0)).alias("right_rows"),
-        F.coalesce(F.sum(F.abs(F.col("_a") - F.col("_b"))), F.lit(0)).alias("differing_rows"),
-    )
-    return sizes.select(
-        "left_rows",
-        "right_rows",
-        (F.col("left_rows") == F.col("right_rows")).alias("count_match"),
-        (F.col("differing_rows") == 0).alias("rows_match"),
+    sizes = _compared(*_alike(a, b)).agg(
+        F.coalesce(F.sum("left_rows"), F.lit(0)).alias("left_rows"),
+        F.coalesce(F.sum("right_rows"), F.lit(0)).alias("right_rows"),
+        F.coalesce(F.bool_and("same"), F.lit(True)).alias("rows_match"),
     )
+    return sizes.select("left_rows", "right_rows", (F.col("left_rows") == F.col("right_rows")).alias("count_match"), "rows_match")
 
 
 def eval_summary(log: DataFrame) -> DataFrame:

@@ -6,11 +6,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions import pct, ratio, week_of, within_days
 from tidemart.operators.aggregates import change_vs_previous, share_of_total, sum_and_users
+from tidemart.operators.colocated import Colocated, parts
 from tidemart.operators.joins import attach
 from tidemart.sources.views import STEPS
 
@@ -112,6 +113,18 @@ def star_join(dwd: DataFrame, dim_user: DataFrame, dim_item: DataFrame, joiner=a
     return sum_and_users(joined, ["country", "age_group", "brand"], "amount", "user_id", ("gmv", "uv"))
 
 
+def star_join_colocated(spark: SparkSession, tables: Colocated, dim_item: DataFrame) -> DataFrame:
+    """``star_join`` over a fact and users that are stored bucketed by user. The fact is not shuffled:
+    users join bucket by bucket, and users are counted per group where they lie, since nobody is in two buckets."""
+    groups = ["country", "age_group", "brand"]
+    items = dim_item.select("item_id", "brand")
+    counted = []
+    for part in parts(spark, tables, ["country", "user_id", "item_id", "amount"], ["age_group"]):
+        users = attach(part, items, "item_id", "inner").groupBy(*groups, "user_id").agg(F.sum("amount").alias("amount"))
+        counted.append(users.groupBy(*groups).agg(F.sum("amount").alias("gmv"), F.count("user_id").alias("uv")))
+    return counted[0].unionByName(counted[1]).groupBy(*groups).agg(F.sum("gmv").alias("gmv"), F.sum("uv").alias("uv"))
+
+
 def gmv_by(ads_or_dwd: DataFrame, by: Sequence[str], value: str = "gmv") -> DataFrame:
     return ads_or_dwd.groupBy(*by).agg(F.round(F.sum(value), 2).alias("gmv"))
 

@@ -25,6 +25,8 @@ STREAM_CONF = {
     # State lives on disk and in the checkpoint, not on the JVM heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Progress entries that are kept; ``dropped_rows`` needs those of a whole run.
+    "spark.sql.streaming.numRecentProgressUpdates": "100000",
     # Merge a hot user's rows before the shuffle of a session-window aggregation.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }

@@ -34,9 +34,14 @@ def to_table(
     return writer.start()
 
 
-def dropped_rows(query: StreamingQuery) -> int:
-    """Rows that came after the watermark, over the micro-batches whose progress is kept."""
-    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+def dropped_rows(query: StreamingQuery, kept: int) -> int:
+    """Rows that came after the watermark, over all micro-batches of the run. Spark keeps the progress of
+    the latest ``kept`` batches only (``stream_session`` asks for many): if older ones are gone, the
+    sum is not known and this fails."""
+    progress = query.recentProgress
+    if len(progress) >= kept:
+        raise RuntimeError("progress of early micro-batches is gone; dropped rows cannot be counted")
+    return sum(op.numRowsDroppedByWatermark for p in progress for op in p.stateOperators)
 
 
 def drain(stream: DataFrame, folder: str, by: Sequence[str] = (), may_drop: bool = False) -> str:
@@ -46,7 +51,7 @@ def drain(stream: DataFrame, folder: str, by: Sequence[str] = (), may_drop: bool
     """
     query = to_table(stream, f"{folder}/table", f"{folder}/checkpoint", by)
     query.awaitTermination()
-    lost = dropped_rows(query)
+    lost = dropped_rows(query, int(stream.sparkSession.conf.get("spark.sql.streaming.numRecentProgressUpdates")))
     if lost and not may_drop:
         raise RuntimeError(f"the stream dropped {lost} late rows")
     return f"{folder}/table"
