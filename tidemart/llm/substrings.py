@@ -4,8 +4,9 @@
    documents, and the long ones to a document that has the lines in this order.
 2. Matches: an occurrence of a seed is joined to the seed's first document and to the last one
    before its own, never to all others, so matches grow with the occurrences. This happens twice:
-   within each task's own rows, and then over all tasks for the first occurrence of each task.
-   A seed that a third of all documents hold thus costs one shuffled row per task.
+   within blocks of each task's own rows, and then over all blocks for the first occurrence of each.
+   A seed that a third of all documents hold is thus shuffled once per block. What is shuffled is
+   packed: sorted runs of seeds or matches in compressed planes of bytes, some 6 bytes a seed.
 3. Chains: matches of two documents on one diagonal become segments, and segments are chained in
    order of both texts with a cost for gaps. The best predecessor is a prefix maximum in a Fenwick
    tree over the other text's positions.
@@ -32,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import kept, map_rows, named, stored
+from tidemart.llm.common import kept, map_rows, named, stored, width
 
 K = 5
 WINDOW = 1
@@ -52,6 +53,8 @@ MARGIN = 80
 LEAST_LOSS = 0.5
 #: Seeds that a task joins among themselves at once.
 BLOCK_SEEDS = 1 << 20
+#: Ranges of seeds, and groups of pairs, for each shuffle partition.
+PARTS = 4
 MEMO_WORDS = 600_000
 WORD = re.compile(r"\S+")
 _STRIP = ".,;:!?\"'()[]{}<>|*#&%$-_"
@@ -137,7 +140,7 @@ def _star(seed: np.ndarray, doc: np.ndarray, pos: np.ndarray):
     j = before != first[i]
     i, other = np.concatenate([i, i[j]]), np.concatenate([first[i], before[j]])
     other = other + np.minimum(i - run[i], size[other] - 1)
-    x, y, further = pos[i], pos[other], np.array(SPANS)[seed[i].view(np.uint64) & np.uint64(3)] - K
+    x, y, further = pos[i], pos[other], np.array(SPANS)[seed[i] & 3] - K
     long = further > 0
     i, other = np.concatenate([i, i[long]]), np.concatenate([other, other[long]])
     x, y = np.concatenate([x, x[long] + further[long]]), np.concatenate([y, y[long] + further[long]])
@@ -155,77 +158,115 @@ def _thin(later: np.ndarray, x: np.ndarray, earlier: np.ndarray, y: np.ndarray):
     return later[keep], x[keep], earlier[keep], y[keep]
 
 
-MATCH = "seed long, later long, x int, earlier long, y int"
+#: Seeds are compared by this many bits. Two that agree by chance make a match of a few words, which
+#: no passage can consist of.
+SEED_BITS = 42
 
+PACKED = "kind int, part int, packed binary"
+_PACKED = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("packed", pa.binary())])
+SEEDS, MATCHES = 0, 1
 
-def _rows(seed, later, x, earlier, y) -> pa.RecordBatch:
-    n = len(later)
-    none = pa.nulls(n, pa.int64())
+
+def pack(ascending: np.ndarray, *columns: np.ndarray) -> bytes:
+    """Equally long integer columns, the first in ascending order, as its steps and the others less
+    their least values, in planes of bytes that compress to little more than what they tell."""
+    lows = [int(c.min()) for c in columns]
+    steps = np.diff(ascending, prepend=ascending[:1])
+    stacked = np.stack([steps, *[c - low for c, low in zip(columns, lows, strict=True)]]).astype(np.uint64)
+    planes = stacked.view(np.uint8).reshape(len(stacked), -1, 8).transpose(0, 2, 1).tobytes()
+    head = np.array([len(ascending), len(stacked), ascending[0], *lows], np.int64).tobytes()
+    return head + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpack(packed: bytes) -> list[np.ndarray]:
+    n, width = np.frombuffer(packed, np.int64, 2).tolist()
+    lows = np.frombuffer(packed, np.int64, width, 16)
+    planes = pa.decompress(packed[16 + 8 * width :], decompressed_size=8 * n * width, codec="zstd", asbytes=True)
+    stacked = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, 8, n).transpose(0, 2, 1)).view(np.uint64)
+    steps, *rest = stacked.reshape(width, n).astype(np.int64)
+    return [lows[0] + np.cumsum(steps), *[c + low for c, low in zip(rest, lows[1:], strict=True)]]
+
+
+def _packed(kind: int, parts: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+    """A packed row for every run of equal ``parts``."""
+    starts = np.flatnonzero(np.append(True, parts[1:] != parts[:-1])[: len(parts)])
+    rows = [pack(*[c[a:b] for c in columns]) for a, b in zip(starts, np.append(starts[1:], len(parts)), strict=True)]
     return pa.RecordBatch.from_arrays(
-        [none if seed is None else pa.array(seed.view(np.int64)), pa.array(later), pa.array(x.astype(np.int32)),
-         none if earlier is None else pa.array(earlier),
-         pa.nulls(n, pa.int32()) if y is None else pa.array(y.astype(np.int32))],
-        ["seed", "later", "x", "earlier", "y"],
-    )
+        [pa.array([kind] * len(rows), pa.int32()), pa.array(parts[starts].astype(np.int32)), pa.array(rows, pa.binary())], schema=_PACKED)
 
 
-def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Matches among the task's own documents, and the first occurrence of each of its seeds."""
-    held, size, words_of = [], 0, hasher().words
+def _packed_matches(later, x, earlier, y, parts: int) -> pa.RecordBatch:
+    """Matches dealt by pairs of documents."""
+    with np.errstate(over="ignore"):
+        mixed = (later.astype(np.uint64) * _BASE ^ earlier.astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
+    part = ((mixed >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+    order = np.lexsort((x, x - y, earlier, later, part))
+    later, x, earlier, y = later[order], x[order], earlier[order], y[order]
+    return _packed(MATCHES, part[order], later, earlier, x - y, x)
 
-    def flush():
-        seed, doc, pos = (np.concatenate(c) for c in zip(*held, strict=True))
-        order = np.lexsort((pos, doc, seed))
-        seed, doc, pos = seed[order], doc[order], pos[order]
-        matches, first = _star(seed, doc, pos)
-        yield _rows(None, *matches)
-        yield _rows(seed[first], doc[first], pos[first], None, None)
 
-    for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            text = text.as_py()
-            if doc_id is None or not text:
-                continue
-            seed, at = minimizers(words_of(text))
-            if len(at):
-                held.append((seed, np.full(len(at), doc_id, np.int64), at))
-                size += len(at)
-            if size >= BLOCK_SEEDS:
-                yield from flush()
-                held, size = [], 0
-    if held:
-        yield from flush()
-
-
-def _columns(batch: pa.RecordBatch) -> np.ndarray:
-    return np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], axis=1)
-
-
-def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[np.ndarray]:
-    """Rows of integer columns from a sorted partition, in arrays that end where a group of equal
-    first ``keys`` columns ends."""
-    carry = None
-    for batch in itertools.chain(batches, [None]):
-        if batch is not None:
-            if not batch.num_rows:
-                continue
-            rows = _columns(batch)
-            carry = rows if carry is None else np.concatenate([carry, rows])
-            differs = np.flatnonzero(np.any(carry[:, :keys] != carry[-1, :keys], axis=1))
-            if not len(differs):
-                continue
-            end = int(differs[-1]) + 1
-            yield carry[:end]
-            carry = carry[end:]
-        elif carry is not None and len(carry):
-            yield carry
-
-
-def _join_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in whole_groups(batches, 1):
-        matches, _ = _star(rows[:, 0], rows[:, 1], rows[:, 2])
-        if len(matches[0]):
-            yield _rows(None, *matches)
+def _seeds(parts: int):
+    """Matches among a block of the task's own documents, and the first occurrence of each of its seeds.
+
+    Nearly all seeds occur in one document only, so what they take decides what is moved: a block's
+    seeds go out sorted, packed by range of seeds."""
+
+    def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, words_of = [], 0, hasher().words
+
+        def flush():
+            seed, doc, pos = (np.concatenate(c) for c in zip(*held, strict=True))
+            order = np.lexsort((pos, doc, seed))
+            seed, doc, pos = seed[order], doc[order], pos[order]
+            matches, first = _star(seed, doc, pos)
+            if len(matches[0]):
+                yield _packed_matches(*matches, parts)
+            yield _packed(SEEDS, seed[first] * parts >> SEED_BITS, seed[first], doc[first], pos[first])
+
+        for batch in batches:
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                text = text.as_py()
+                if doc_id is None or not text:
+                    continue
+                seed, at = minimizers(words_of(text))
+                if len(at):
+                    # The leading bits, and the two that tell the kind.
+                    short = (seed >> np.uint64(66 - SEED_BITS) << np.uint64(2) | seed & np.uint64(3)).astype(np.int64)
+                    held.append((short, np.full(len(at), doc_id, np.int64), at))
+                    size += len(at)
+                if size >= BLOCK_SEEDS:
+                    yield from flush()
+                    held, size = [], 0
+        if held:
+            yield from flush()
+
+    return seeds
+
+
+def _parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[bytes]]]:
+    """The packed rows of every (kind, part) of a sorted partition."""
+    rows = ((k, p, blob) for batch in batches for k, p, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+    for (kind, part), group in itertools.groupby(rows, lambda r: r[:2]):
+        yield kind, part, [blob for _, _, blob in group]
+
+
+def _join_seeds(parts: int):
+    """Seeds that several blocks have become matches; a seed that only one block has goes no further."""
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for kind, part, blobs in _parts_of(batches):
+            if kind == MATCHES:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([kind] * len(blobs), pa.int32()), pa.array([part] * len(blobs), pa.int32()), pa.array(blobs, pa.binary())],
+                    schema=_PACKED)
+            elif len(blobs) > 1:
+                seed, doc, pos = (np.concatenate(c) for c in zip(*map(unpack, blobs), strict=True))
+                order = np.lexsort((pos, doc, seed))
+                matches, _ = _star(seed[order], doc[order], pos[order])
+                if len(matches[0]):
+                    yield _packed_matches(*matches, parts)
+
+    return join
 
 
 class Fenwick:
@@ -288,9 +329,10 @@ CHAIN = "later long, earlier long, x0 int, x1 int, y0 int, y1 int, segments bina
 
 
 def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted matches (later, earlier, x, y) of whole pairs of documents to chains."""
-    for rows in whole_groups(batches, 2):
-        later, earlier, x, y = rows.T
+    """Packed matches of whole pairs of documents to chains."""
+    for _, _, blobs in _parts_of(batches):
+        later, earlier, diagonal, x = (np.concatenate(c) for c in zip(*map(unpack, blobs), strict=True))
+        y = x - diagonal
         order = np.lexsort((x, x - y, earlier, later))
         later, earlier, x, y = later[order], earlier[order], x[order], y[order]
         new_pair = np.append(True, (later[1:] != later[:-1]) | (earlier[1:] != earlier[:-1]))
@@ -434,12 +476,10 @@ def passages(docs: DataFrame) -> DataFrame:
     """Every passage of a document that an earlier one (smaller doc_id) holds as well: its words
     [start, end), the earlier document and place, the agreeing words and their share."""
     texts = docs.select(F.col("doc_id").cast("long"), "text")
-    found = stored(texts.mapInArrow(_seeds, MATCH), "seeds")
-    firsts = found.where("seed IS NOT NULL").select("seed", "later", "x")
-    dealt = firsts.repartition("seed").sortWithinPartitions("seed", "later", "x")
-    matches = found.where("seed IS NULL").unionByName(dealt.mapInArrow(_join_seeds, MATCH))
-    pairs = matches.select("later", "earlier", "x", "y").repartition("later", "earlier")
-    chains = pairs.sortWithinPartitions("later", "earlier").mapInArrow(_chains, CHAIN)
+    parts = PARTS * width(docs.sparkSession)
+    found = texts.mapInArrow(_seeds(parts), PACKED).repartition("kind", "part").sortWithinPartitions("kind", "part")
+    matches = found.mapInArrow(_join_seeds(parts), PACKED).repartition("part").sortWithinPartitions("part")
+    chains = matches.mapInArrow(_chains, CHAIN)
     key = F.xxhash64("later", "earlier", "x0", "x1", "y0", "y1").alias("chain")
     chains = stored(chains.select(key, "*"), "chains")
     asked = chains.select("chain", F.explode(F.array(
