@@ -51,6 +51,9 @@ GAP_COST = 0.25
 MARGIN = 80
 #: Loss per differing word of the second try to align a chain.
 LEAST_LOSS = 0.5
+#: A passage has 45 words in a row of which at least this many occur on the other side. If every 45 had
+#: 29 at most, 45 k + r words (r < 45) had no more than 29 k + min(r, 29), which is below 0.8 (45 k + r).
+LEAST_SHARED = 30
 #: Seeds that a task joins among themselves at once.
 BLOCK_SEEDS = 1 << 20
 #: Ranges of seeds, and groups of pairs, for each shuffle partition.
@@ -451,11 +454,21 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 PASSAGE = "doc_id long, start int, end int, source_id long, source_start int, source_end int, matched int, identity double"
 
 
+def _may_hold_a_passage(a: np.ndarray, b: np.ndarray) -> bool:
+    """Are there ``MIN_WORDS`` words in a row of which enough occur in ``b`` at all?"""
+    if len(a) < MIN_WORDS:
+        return False
+    shared = np.cumsum(np.append(0, np.isin(a, b)))
+    return int((shared[MIN_WORDS:] - shared[:-MIN_WORDS]).max()) >= LEAST_SHARED
+
+
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for r in batch.to_pylist():
             a, b = np.frombuffer(r["a_words"], "<u4"), np.frombuffer(r["b_words"], "<u4")
+            if not _may_hold_a_passage(a, b):
+                continue
             links = [tuple(s) for s in np.frombuffer(r["segments"], "<i4").reshape(-1, 4).tolist()]
             # Changes crowded near an end cut an alignment short; the lower loss reaches beyond them.
             tries = [(links, 1.5), (links, LEAST_LOSS), *[([s], 1.5) for s in links if len(links) > 1]]
