@@ -1,7 +1,9 @@
 """Operators against brute-force versions, round trips and held-out accuracy."""
 
+import glob
 import hashlib
 import itertools
+import os
 import random
 import re
 import zlib
@@ -269,8 +271,48 @@ def test_every_edited_text_is_nearer_than_a_stranger(spark):
     assert len(got) == 400 and all(r.near_edited > r.near_next for r in got)
 
 
+@pytest.mark.parametrize("ids", [
+    [-(2**63), 0, 2**63 - 1], [*range(300), 10**15], random.Random(3).sample(range(-(2**62), 2**62), 400), [7, None, 3]])
+def test_next_documents_whatever_the_ids(spark, ids):
+    rows = [(i, f"text {n} of {len(ids)} " + "more words " * (n % 5)) for n, i in enumerate(ids)]
+    got = {r.doc_id: r for r in fingerprints.edited_likeness(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))
+    assert len(got) == len(rows)
+    for (i, text), (_, after) in zip(order, order[1:] + order[:1], strict=True):
+        third = len(text) // 3
+        assert got[i].edited_sha256 == hashlib.sha256((text[: len(text) - third] + after[:third]).encode()).hexdigest()
+
+
+def test_ids_are_put_in_order_in_even_ranges(spark):
+    """One id far off, and a third of all rows without an id."""
+    ids = [*range(20_000), 10**15] + [None] * 10_000
+    rows = spark.createDataFrame([(n, i, "t") for n, i in enumerate(ids)], "key long, doc_id long, text string").repartition(16)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # which would join small ranges
+    try:
+        links = fingerprints.next_keys(rows).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    following = {r.key: r.next_key for r in links}
+    assert len(following) == len(ids) and set(following.values()) == set(following)
+    at = 20_000  # the id far off comes first, then 19999 down to 0, then those without an id
+    for want in [*range(19_999, -1, -1)]:
+        at = following[at]
+        assert at == want
+    blocks = spark.read.parquet(max(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/fingerprint-order-*"), key=os.path.getmtime))
+    sizes = [r["count"] for r in blocks.groupBy("block").count().collect()]
+    assert len(sizes) > 1 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+
+
+def test_copies_follow_each_other(spark):
+    rows = [(5, "same text here")] * 4 + [(5, "other text here"), (1, "last one")]
+    got = fingerprints.edited_likeness(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    own = hashlib.sha256(b"same text same").hexdigest()
+    assert len(got) == 6 and sum(r.edited_sha256 == own for r in got) == 3
+    assert sum(r.near_next == 1.0 for r in got) == 3
+
+
 def test_repeated_kmers_are_numbered(spark):
-    rows = [(1, "a b " * 40), (2, "a b " * 41), (3, "b a " * 40)]
+    rows = [(1, "a b " * 40), (2, "a b " * 41), (3, "b a " * 40), (4, " ".join(f"w{i * i % 977}" for i in range(3000)))]
     df = fingerprints.with_fingerprint(spark.createDataFrame(rows, "doc_id long, text string"), "text", "print")
     for r in df.collect():
         assert [_long(x) for x in _order_minhash(r.text)] == r.print

@@ -12,7 +12,7 @@ number known up to 2^p, one look 2^p places back gives it up to 2^(p+1).
 
 Defined results. Null or blank text: no k-mers, every entry the hash of the empty tuple. Fewer words
 than k: the whole sequence is one k-mer; fewer k-mers than l: shorter tuples. Null doc_id: after all
-others. Repeated rows: each is a document; ties in doc_id are ordered by text. A single document is
+others. Repeated rows: each is a document; ties in doc_id are ordered by a hash of the text. A single document is
 its own next. Empty table: no rows. Further columns are ignored.
 """
 
@@ -30,8 +30,8 @@ ENTRIES = 64
 POSITION_BITS = 24
 HASH_MASK = (1 << 39) - 1
 POSITION_MASK = (1 << POSITION_BITS) - 1
-#: Documents per block of neighbouring ids, on average.
-BLOCK_ROWS = 2048
+#: Leading bits by which k-mers are parted before the permutations look at them.
+LEADING = 3
 
 
 def permutation(n: int) -> int:
@@ -59,8 +59,14 @@ def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, size: int =
     # Below this bound eight k-mers are expected; if there are fewer than needed, all are sorted.
     df = df.withColumn("__bound", F.expr(f"CAST({(1 << 63) - 1}L DIV greatest(size(__v), 1) AS BIGINT)").cast("long"))
     df = df.withColumn("__bound", F.expr(f"CASE WHEN size(__v) <= {4 * size + 8} THEN {(1 << 63) - 1}L ELSE __bound * {4 * size} END"))
+    # A k-mer below the bound then begins with the permutation's own leading bits, unless the bound is
+    # above all of those: only k-mers that begin so are looked at for it.
+    for g in range(1 << LEADING):
+        df = df.withColumn(f"__g{g}", F.expr(
+            f"CASE WHEN __bound <= {1 << 63 - LEADING}L THEN filter(__v, x -> shiftright(x, {63 - LEADING}) = {g}) ELSE __v END"))
     for n in range(entries):
-        df = df.withColumn(f"__c{n}", F.expr(f"filter(__v, x -> (x ^ {permutation(n) << at}L) < __bound)"))
+        group = permutation(n) >> 39 - LEADING
+        df = df.withColumn(f"__c{n}", F.expr(f"filter(__g{group}, x -> (x ^ {permutation(n) << at}L) < __bound)"))
     tuples = []
     for n in range(entries):
         some = f"CASE WHEN size(__c{n}) >= {size} THEN __c{n} ELSE __v END"
@@ -92,41 +98,54 @@ def as_text(column: str):
     return F.expr(f"array_join(transform({column}, x -> lower(lpad(hex(x), 16, '0'))), '')")
 
 
-def with_next(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``df`` with ``next_<column>``: the values of the next row in descending order of doc_id, after
-    the last row those of the first.
+def next_keys(rows: DataFrame) -> DataFrame:
+    """(key, n, n_chars, next_key) of every distinct (doc_id, text) in ``rows(key, doc_id, text)``: how many
+    rows it has, and the one that follows it in descending order of doc_id, after the last the first.
 
-    Rows are dealt to blocks of neighbouring ids. A block's last row takes the first row of the
-    next block; only the blocks' numbers, one for every ``BLOCK_ROWS`` documents, meet in one task.
+    Only keys and ids are put in order, in ranges that hold about equally many whatever the ids are; a
+    range's last key takes the first of the next range, and only those meet in one task.
     """
-    spread = df.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    lo, hi = spread.lo or 0, spread.hi or 0
-    wide = max(1, -(-(hi - lo + 1) * BLOCK_ROWS // max(spread.n, 1)))
-    without_id = (hi - lo) // wide + 1 + F.pmod(F.xxhash64("text"), F.lit(1024))
-    rows = df.withColumn("__block", F.coalesce(F.floor((F.lit(hi) - F.col("doc_id")) / F.lit(wide)).cast("long"), without_id))
-    inside = W.partitionBy("__block").orderBy(F.desc_nulls_last("doc_id"), "text")
-    led = rows.select("*", *[F.lead(c).over(inside).alias(f"__next_{c}") for c in columns], F.lead(F.lit(True)).over(inside).alias("__has"))
-    firsts = rows.withColumn("__n", F.row_number().over(inside)).where("__n = 1").select(
-        F.col("__block").alias("__of"), *[F.col(c).alias(f"__first_{c}") for c in columns])
-    firsts = stored(firsts, "block-firsts")
-    in_order = W.orderBy("__of")
-    following = firsts.select("__of").select(
-        F.col("__of").alias("__block"),
-        F.coalesce(F.lead("__of").over(in_order), F.first("__of").over(in_order.rowsBetween(W.unboundedPreceding, 0))).alias("__of"))
-    beyond = following.join(firsts, "__of").drop("__of")
-    joined = led.join(beyond, "__block")
-    return joined.select(*df.columns, *[
-        F.when(F.col("__has"), F.col(f"__next_{c}")).otherwise(F.col(f"__first_{c}")).alias(f"next_{c}") for c in columns])
+    keys = rows.groupBy("key").agg(
+        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"), F.min(F.char_length("text")).cast("long").alias("n_chars"))
+    order = [F.desc_nulls_last("doc_id"), F.asc("key")]
+    ranges = keys.repartitionByRange(*order).withColumn("block", F.spark_partition_id())
+    ranges = stored(ranges, "fingerprint-order")  # a range's number is a fact from here on
+    inside = W.partitionBy("block").orderBy(*order)
+    led = ranges.withColumn("next_key", F.lead("key").over(inside))
+    firsts = ranges.groupBy("block").agg(F.min_by("key", F.struct(
+        F.isnull("doc_id"), -F.coalesce(F.col("doc_id"), F.lit(0)).cast("decimal(20,0)"), "key")).alias("first"))
+    by_block = W.orderBy("block")  # one row a range
+    turn = F.coalesce(F.lead("first").over(by_block), F.first("first").over(by_block.rowsBetween(W.unboundedPreceding, 0)))
+    following = firsts.select("block", turn.alias("beyond"))
+    return led.join(F.broadcast(following), "block").select("key", "n", "n_chars", F.coalesce("next_key", "beyond").alias("next_key"))
+
+
+def with_next(rows: DataFrame) -> DataFrame:
+    """``rows(doc_id, text, print)`` with ``next_text`` (as many of the next row's first characters as a third of the
+    text has) and ``next_print``. Texts are moved once, to where both lookups by key read them."""
+    key = F.xxhash64(F.isnull("doc_id"), F.coalesce("doc_id", F.lit(0)), "text")
+    links = next_keys(rows.select(key.alias("key"), "doc_id", "text"))
+    base = rows.select(key.alias("key"), "doc_id", "text", "print").repartition("key")
+    numbered = base.withColumn("copy", F.row_number().over(W.partitionBy("key").orderBy(F.lit(1))))
+    found = numbered.where("copy = 1").select(F.col("key").alias("next_key"), F.col("text").alias("t"), F.col("print").alias("next_print"))
+    answers = links.join(found, "next_key").select(
+        "key", "n", F.expr("substring(t, 1, CAST(n_chars DIV 3 AS INT))").alias("beginning"), "next_print")
+    # Rows that are alike follow each other; only the last of them meets another text.
+    last = F.col("copy") == F.col("n")
+    third = F.expr("substring(text, 1, CAST(char_length(text) DIV 3 AS INT))")
+    return numbered.join(answers, "key").select(
+        "doc_id", "text", "print", F.when(last, F.col("beginning")).otherwise(third).alias("next_text"),
+        F.when(last, F.col("next_print")).otherwise(F.col("print")).alias("next_print"))
 
 
 def edited_likeness(docs: DataFrame) -> DataFrame:
     """Every document's fingerprint and that of its edited text (the last third replaced by the
     next document's first characters), with the likenesses to the edited and to the next text."""
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = with_next(with_fingerprint(rows, "text", "print"), ["text", "print"])
+    rows = with_next(with_fingerprint(rows, "text", "print"))
     rows = rows.withColumn("n_chars", F.char_length("text").cast("long"))
     rows = rows.withColumn("edited", F.expr(
-        "concat(substring(text, 1, CAST(n_chars - n_chars DIV 3 AS INT)), substring(next_text, 1, CAST(n_chars DIV 3 AS INT)))"))
+        "concat(substring(text, 1, CAST(n_chars - n_chars DIV 3 AS INT)), next_text)"))
     rows = with_fingerprint(rows.select("doc_id", "n_chars", "edited", "print", "next_print"), "edited", "edited_print")
     return rows.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_text("print").alias("fingerprint"),
