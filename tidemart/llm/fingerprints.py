@@ -30,8 +30,8 @@ ENTRIES = 64
 POSITION_BITS = 24
 HASH_MASK = (1 << 39) - 1
 POSITION_MASK = (1 << POSITION_BITS) - 1
-#: Leading bits by which k-mers are parted before the permutations look at them.
-LEADING = 3
+#: Leading bits by which k-mers are parted, step by step, before the permutations look at them.
+LEADING = (2, 4)
 
 
 def permutation(n: int) -> int:
@@ -61,19 +61,21 @@ def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, size: int =
     df = df.withColumn("__bound", F.expr(f"CASE WHEN size(__v) <= {4 * size + 8} THEN {(1 << 63) - 1}L ELSE __bound * {4 * size} END"))
     # A k-mer below the bound then begins with the permutation's own leading bits, unless the bound is
     # above all of those: only k-mers that begin so are looked at for it.
-    for g in range(1 << LEADING):
-        df = df.withColumn(f"__g{g}", F.expr(
-            f"CASE WHEN __bound <= {1 << 63 - LEADING}L THEN filter(__v, x -> shiftright(x, {63 - LEADING}) = {g}) ELSE __v END"))
-    for n in range(entries):
-        group = permutation(n) >> 39 - LEADING
-        df = df.withColumn(f"__c{n}", F.expr(f"filter(__g{group}, x -> (x ^ {permutation(n) << at}L) < __bound)"))
+    above, known = "__v", 0
+    for bits in LEADING:
+        for g in range(1 << bits):
+            of = above if not known else f"{above}{g >> bits - known}"
+            df = df.withColumn(f"__g{bits}_{g}", F.expr(
+                f"CASE WHEN __bound <= {1 << 63 - bits}L THEN filter({of}, x -> shiftright(x, {63 - bits}) = {g}) ELSE {of} END"))
+        above, known = f"__g{bits}_", bits
     tuples = []
     for n in range(entries):
-        some = f"CASE WHEN size(__c{n}) >= {size} THEN __c{n} ELSE __v END"
+        near = f"filter({above}{permutation(n) >> 39 - known}, x -> (x ^ {permutation(n) << at}L) < __bound)"
+        least = f"slice(sort_array(transform(CASE WHEN size(c) >= {size} THEN c ELSE __v END, x -> x ^ {permutation(n) << at}L)), 1, {size})"
         # The smallest, turned to (position, hash) and so into text order.
         tuples.append(
-            f"xxhash64(transform(sort_array(transform(slice(sort_array(transform({some}, x -> x ^ {permutation(n) << at}L)), 1, {size}), "
-            f"x -> shiftleft(x & {POSITION_MASK}L, 39) | shiftright(x, {at}))), x -> x & {HASH_MASK}L))")
+            f"transform(array({near}), c -> xxhash64(transform(sort_array(transform({least}, "
+            f"x -> shiftleft(x & {POSITION_MASK}L, 39) | shiftright(x, {at}))), x -> x & {HASH_MASK}L)))[0]")
     return df.select(*kept, F.expr(f"array({', '.join(tuples)})").alias(out))
 
 
@@ -126,7 +128,8 @@ def with_next(rows: DataFrame) -> DataFrame:
     key = F.xxhash64(F.isnull("doc_id"), F.coalesce("doc_id", F.lit(0)), "text")
     links = next_keys(rows.select(key.alias("key"), "doc_id", "text"))
     base = rows.select(key.alias("key"), "doc_id", "text", "print").repartition("key")
-    numbered = base.withColumn("copy", F.row_number().over(W.partitionBy("key").orderBy(F.lit(1))))
+    # Ordered by doc_id, which a key has one of: both readers then need every column, and share one shuffle.
+    numbered = base.withColumn("copy", F.row_number().over(W.partitionBy("key").orderBy("doc_id")))
     found = numbered.where("copy = 1").select(F.col("key").alias("next_key"), F.col("text").alias("t"), F.col("print").alias("next_print"))
     answers = links.join(found, "next_key").select(
         "key", "n", F.expr("substring(t, 1, CAST(n_chars DIV 3 AS INT))").alias("beginning"), "next_print")
