@@ -272,7 +272,7 @@ def test_every_edited_text_is_nearer_than_a_stranger(spark):
 
 
 @pytest.mark.parametrize("ids", [
-    [-(2**63), 0, 2**63 - 1], [*range(300), 10**15], random.Random(3).sample(range(-(2**62), 2**62), 400), [7, None, 3]])
+    [-(2**63), 0, 2**63 - 1], [*range(300), 10**15], [random.Random(n).randrange(-(2**63), 2**63) for n in range(400)], [7, None, 3]])
 def test_next_documents_whatever_the_ids(spark, ids):
     rows = [(i, f"text {n} of {len(ids)} " + "more words " * (n % 5)) for n, i in enumerate(ids)]
     got = {r.doc_id: r for r in fingerprints.edited_likeness(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()}
@@ -311,6 +311,29 @@ def test_copies_follow_each_other(spark):
     assert sum(r.near_next == 1.0 for r in got) == 3
 
 
+@pytest.mark.parametrize("n", [1, 511, 512, 513, 5000])
+def test_select_unpacks_single_blocks(monkeypatch, n):
+    rng = np.random.default_rng(n)
+    ids = rng.choice([3, 3, 3, 7, 100, 65_000], n).astype("<u4")
+    matrix, unpack = wavelet.WaveletMatrix.build(ids, 16), np.unpackbits
+
+    def blocks_only(a, *args, **kw):
+        assert a.ndim == 2 and a.shape[1] == wavelet.BLOCK // 8, "a whole plane was unpacked"
+        return unpack(a, *args, **kw)
+
+    monkeypatch.setattr(np, "unpackbits", blocks_only)
+    for token in (3, 7, 100, 65_000, 8, 70_000):
+        assert matrix.select(token).tolist() == np.flatnonzero(ids == token).tolist()
+        assert matrix.select(token, n // 3, n // 2).tolist() == [i for i in range(n // 3, n // 2) if ids[i] == token]
+
+
+def test_space_runs_are_seen():
+    rng = random.Random(2)
+    for _ in range(5000):
+        text = "".join(rng.choice("ab \n\t\x00\x1c\u2003\x85") for _ in range(rng.randrange(6)))
+        assert encoding._has_space_run(text) == (encoding.SPACE_RUN.search(text) is not None), repr(text)
+
+
 def test_repeated_kmers_are_numbered(spark):
     rows = [(1, "a b " * 40), (2, "a b " * 41), (3, "b a " * 40), (4, " ".join(f"w{i * i % 977}" for i in range(3000)))]
     df = fingerprints.with_fingerprint(spark.createDataFrame(rows, "doc_id long, text string"), "text", "print")

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemart.llm.common import slices
 from tidemart.llm.encoding import encoder
 from tidemart.session import scratch_dir
 
@@ -29,6 +30,8 @@ from tidemart.session import scratch_dir
 SHARD_TOKENS = 1 << 19
 #: Bits per entry of the rank directory.
 BLOCK = 512
+#: Places looked up together by select; each unpacks one block.
+SELECT_ROWS = 4096
 END_ID = 2
 
 SHARD = pa.schema([
@@ -113,8 +116,17 @@ class WaveletMatrix:
 
     def _select(self, level: int, ones: bool, k: np.ndarray) -> np.ndarray:
         """Position of the k-th (from 0) one or zero of a plane."""
-        spots = np.flatnonzero(np.unpackbits(self.planes[level], count=self.n) == ones)
-        return spots[k]
+        ranks = self.ranks[level].astype(np.int64)
+        before = ranks if ones else np.arange(len(ranks)) * BLOCK - ranks
+        block = np.searchsorted(before, k, side="right") - 1  # the last block with at most k before it
+        rest = k - before[block]
+        plane = np.pad(self.planes[level], (0, -len(self.planes[level]) % (BLOCK // 8))).reshape(-1, BLOCK // 8)
+        out = np.empty(len(k), np.int64)
+        for a, b in slices(len(k), SELECT_ROWS):
+            bits = np.unpackbits(plane[block[a:b]], axis=1) == ones
+            place = (np.cumsum(bits, axis=1, dtype=np.int16) > rest[a:b, None]).argmax(axis=1)
+            out[a:b] = block[a:b] * BLOCK + place
+        return out
 
     def select(self, token: int, start: int = 0, end: int | None = None) -> np.ndarray:
         """Positions of all occurrences of a token within [start, end), ascending."""
