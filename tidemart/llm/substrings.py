@@ -11,7 +11,8 @@
    order of both texts with a cost for gaps. The best predecessor is a prefix maximum in a Fenwick
    tree over the other text's positions.
 4. Alignment: each chain is aligned on the words themselves and extended at both ends. A passage
-   has at least 45 words of which 0.8 agree. Two documents are aligned if their seeds cover 8
+   has at least 45 words of which 0.8 agree. Chains of two documents that lie close together share
+   the words that are moved for them; one that lies in a passage already found is passed over. Two documents are aligned if their seeds cover 8
    words. Simulated (random substitutions, 3,000 passages each), no passage of 45 words with 9
    changed, 50 with 9, 60 with 11 or 80 with 16 has fewer; changes of every fifth word leave none.
 
@@ -56,6 +57,10 @@ LEAST_LOSS = 0.5
 LEAST_SHARED = 30
 #: Seeds that a task joins among themselves at once.
 BLOCK_SEEDS = 1 << 20
+#: Spans that are asked of one document's text in one group.
+GROUP_ASKS = 20_000
+#: Documents asked more often than that are broadcast up to this many (16 bytes each).
+BROADCAST_ROWS = 200_000
 #: Ranges of seeds, and groups of pairs, for each shuffle partition.
 PARTS = 4
 MEMO_WORDS = 600_000
@@ -328,11 +333,36 @@ def chain(segments: list[tuple[int, int, int, int]]) -> list[list[tuple[int, int
     return chains
 
 
-CHAIN = "later long, earlier long, x0 int, x1 int, y0 int, y1 int, segments binary"
+CLUSTER = "later long, earlier long, x0 int, x1 int, y0 int, y1 int, segments binary"
+
+
+def clusters(chains: list[tuple[int, int, int, int, list]]) -> Iterator[tuple[int, int, int, int, np.ndarray]]:
+    """Chains (x0, x1, y0, y1, segments) of one pair of documents, put together where the words of
+    their common range are no more than those of their own ones. Segments get their chain's rank."""
+
+    def words(x0, x1, y0, y1):
+        return x1 - x0 + y1 - y0 + 4 * MARGIN
+
+    def together(hull, ranks):
+        return *hull, np.array([(rank, *s) for rank in sorted(ranks) for s in chains[rank][4]], "<i4")
+
+    hull, ranks = None, []
+    for rank in sorted(range(len(chains)), key=lambda r: chains[r][:4]):
+        x0, x1, y0, y1, _ = chains[rank]
+        if hull:
+            both = min(hull[0], x0), max(hull[1], x1), min(hull[2], y0), max(hull[3], y1)
+            if words(*both) <= words(*hull) + words(x0, x1, y0, y1):
+                hull = both
+                ranks.append(rank)
+                continue
+            yield together(hull, ranks)
+        hull, ranks = (x0, x1, y0, y1), [rank]
+    if hull:
+        yield together(hull, ranks)
 
 
 def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packed matches of whole pairs of documents to chains."""
+    """Packed matches of whole pairs of documents to clusters of chains."""
     for _, _, blobs in _parts_of(batches):
         later, earlier, diagonal, x = (np.concatenate(c) for c in zip(*map(unpack, blobs), strict=True))
         y = x - diagonal
@@ -353,7 +383,7 @@ def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in zip(bounds, np.append(bounds[1:], len(pair)), strict=True):
             s, e = start[a:b], end[a:b]
             segments = list(zip(x[s].tolist(), (x[e] + 1).tolist(), y[s].tolist(), (y[e] + 1).tolist(), strict=True))
-            ranges = []
+            ranges, found = [], []
             for links in [segments] if len(segments) == 1 else chain(segments):
                 x0, x1, y0, y1 = links[0][0], links[-1][1] + K - 1, links[0][2], links[-1][3] + K - 1
                 # A few words close to a better chain on both sides: that chain's alignment reaches them.
@@ -362,8 +392,8 @@ def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ):
                     continue
                 ranges.append((x0, x1, y0, y1))
-                packed = np.array(links, "<i4").tobytes()
-                out.append((int(later[s[0]]), int(earlier[s[0]]), x0, x1, y0, y1, packed))
+                found.append((x0, x1, y0, y1, links))
+            out.extend((int(later[s[0]]), int(earlier[s[0]]), *hull, packed.tobytes()) for *hull, packed in clusters(found))
         if out:
             kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.binary()]
             yield pa.RecordBatch.from_arrays(
@@ -432,23 +462,35 @@ def align(a: np.ndarray, b: np.ndarray, a0: int, b0: int, links: list[tuple[int,
     return x0 - left[0], x1 + right[0], y0 - left[1], y1 + right[1], matched
 
 
+SPAN = "later long, earlier long, x0 int, y0 int, role int, at int, words binary, segments binary"
+_SPAN = pa.schema([("later", pa.int64()), ("earlier", pa.int64()), *[(c, pa.int32()) for c in ("x0", "y0", "role", "at")],
+                   ("words", pa.binary()), ("segments", pa.binary())])
+
+
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashed words of the asked spans: chain, role, first word, words."""
+    """Hashed words of the asked spans. Rows are sorted: a document's text (texts, if rows share the
+    id), then what is asked of it, so that its words are hashed once and one document is held."""
     words_of = hasher().words
+    key, texts, hashed = None, [], None
     for batch in batches:
-        rows, last, words = [], None, None
-        texts = batch.column(batch.schema.get_field_index("text"))
-        asked = batch.drop_columns(["text"]).to_pylist()
-        for r, text in zip(asked, texts, strict=True):
-            text = text.as_py()
-            if text is not last:
-                last, words = text, words_of(text or "").astype(np.uint32)
-            a = max(0, r["a"] - MARGIN)
-            rows.append((r["chain"], r["role"], a, words[a : r["b"] + MARGIN].tobytes()))
-        columns = list(zip(*rows, strict=True)) or [()] * 4
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["chain", "role", "at", "words"])
+        rows = []
+        text_column = batch.column(batch.schema.get_field_index("text"))
+        for i, r in enumerate(batch.drop_columns(["text"]).to_pylist()):
+            if (r["doc_id"], r["salt"]) != key:
+                key, texts, hashed = (r["doc_id"], r["salt"]), [], None
+            if r["role"] < 0:
+                text = text_column[i].as_py()
+                if text not in texts:
+                    texts.append(text)
+                continue
+            if hashed is None:
+                hashed = [words_of(t or "").astype(np.uint32) for t in texts]
+            at = max(0, r["a"] - MARGIN)
+            rows.extend(
+                (r["later"], r["earlier"], r["x0"], r["y0"], r["role"], at, words[at : r["b"] + MARGIN].tobytes(), r["segments"])
+                for words in hashed if len(words) >= r["b"])
+        columns = list(zip(*rows, strict=True)) or [()] * len(_SPAN)
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SPAN, strict=True)], schema=_SPAN)
 
 
 PASSAGE = "doc_id long, start int, end int, source_id long, source_start int, source_end int, matched int, identity double"
@@ -462,23 +504,48 @@ def _may_hold_a_passage(a: np.ndarray, b: np.ndarray) -> bool:
     return int((shared[MIN_WORDS:] - shared[:-MIN_WORDS]).max()) >= LEAST_SHARED
 
 
+def align_cluster(a: np.ndarray, b: np.ndarray, a_at: int, b_at: int, segments: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+    """Passages x0, x1, y0, y1, agreeing words of a cluster's chains, best chain first. A chain whose
+    words lie in a passage found before adds nothing to what repeats, and is passed over."""
+    if not _may_hold_a_passage(a, b):
+        return
+    found: list[tuple[int, int]] = []
+    for rank in np.unique(segments[:, 0]):
+        links = [tuple(s) for s in segments[segments[:, 0] == rank, 1:].tolist()]
+        if any(x0 <= links[0][0] and links[-1][1] + K - 1 <= x1 for x0, x1 in found):
+            continue
+        i, j = max(0, links[0][0] - MARGIN - a_at), max(0, links[0][2] - MARGIN - b_at)
+        near = a[i : links[-1][1] + K - 1 + MARGIN - a_at], b[j : links[-1][3] + K - 1 + MARGIN - b_at]
+        if not _may_hold_a_passage(*near):
+            continue
+        # Changes crowded near an end cut an alignment short; the lower loss reaches beyond them.
+        tries = [(links, 1.5), (links, LEAST_LOSS), *[([s], 1.5) for s in links if len(links) > 1]]
+        for part, loss in tries:
+            x0, x1, y0, y1, matched = align(*near, a_at + i, b_at + j, part, loss)
+            if x1 - x0 >= MIN_WORDS and matched >= IDENTITY * max(x1 - x0, y1 - y0):
+                found.append((x0, x1))
+                yield x0, x1, y0, y1, matched
+                if part is links:
+                    break
+
+
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows are sorted by cluster and role: the later document's words and the segments, then the
+    earlier one's words."""
+    key, sides = None, []
     for batch in batches:
         out = []
         for r in batch.to_pylist():
-            a, b = np.frombuffer(r["a_words"], "<u4"), np.frombuffer(r["b_words"], "<u4")
-            if not _may_hold_a_passage(a, b):
+            if (r["later"], r["earlier"], r["x0"], r["y0"]) != key:
+                key, sides = (r["later"], r["earlier"], r["x0"], r["y0"]), []
+            words = np.frombuffer(r["words"], "<u4")
+            if r["role"] == 0:
+                sides.append((words, r["at"], np.frombuffer(r["segments"], "<i4").reshape(-1, 5)))
                 continue
-            links = [tuple(s) for s in np.frombuffer(r["segments"], "<i4").reshape(-1, 4).tolist()]
-            # Changes crowded near an end cut an alignment short; the lower loss reaches beyond them.
-            tries = [(links, 1.5), (links, LEAST_LOSS), *[([s], 1.5) for s in links if len(links) > 1]]
-            for part, loss in tries:
-                x0, x1, y0, y1, matched = align(a, b, r["a_at"], r["b_at"], part, loss)
-                identity = matched / max(x1 - x0, y1 - y0, 1)
-                if x1 - x0 >= MIN_WORDS and identity >= IDENTITY:
-                    out.append((r["later"], x0, x1, r["earlier"], y0, y1, matched, identity))
-                    if part is links:
-                        break
+            for a, a_at, segments in sides:
+                out.extend(
+                    (r["later"], x0, x1, r["earlier"], y0, y1, matched, matched / max(x1 - x0, y1 - y0))
+                    for x0, x1, y0, y1, matched in align_cluster(a, words, a_at, r["at"], segments))
         columns = list(zip(*out, strict=True)) or [()] * 8
         kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64()]
         yield pa.RecordBatch.from_arrays(
@@ -492,23 +559,27 @@ def passages(docs: DataFrame) -> DataFrame:
     parts = PARTS * width(docs.sparkSession)
     found = texts.mapInArrow(_seeds(parts), PACKED).repartition("kind", "part").sortWithinPartitions("kind", "part")
     matches = found.mapInArrow(_join_seeds(parts), PACKED).repartition("part").sortWithinPartitions("part")
-    chains = matches.mapInArrow(_chains, CHAIN)
-    key = F.xxhash64("later", "earlier", "x0", "x1", "y0", "y1").alias("chain")
-    chains = stored(chains.select(key, "*"), "chains")
-    asked = chains.select("chain", F.explode(F.array(
-        F.struct(F.col("later").alias("doc_id"), F.lit(0).alias("role"), F.col("x0").alias("a"), F.col("x1").alias("b")),
-        F.struct(F.col("earlier").alias("doc_id"), F.lit(1).alias("role"), F.col("y0").alias("a"), F.col("y1").alias("b")),
-    )).alias("ask")).select("chain", "ask.*")
-    spans = texts.join(asked, "doc_id").select("chain", "role", "a", "b", "text").mapInArrow(
-        _spans, "chain long, role int, at int, words binary")
-    spans = stored(spans, "spans")
-
-    def side(role: int, name: str) -> DataFrame:
-        rows = spans.where(F.col("role") == role).select("chain", F.col("at").alias(f"{name}_at"), F.col("words").alias(f"{name}_words"))
-        return rows
-
-    both = chains.join(side(0, "a"), "chain").join(side(1, "b"), "chain")
-    return both.select("later", "earlier", "a_at", "a_words", "b_at", "b_words", "segments").mapInArrow(_aligned, PASSAGE)
+    pairs = stored(matches.mapInArrow(_chains, CLUSTER), "clusters")
+    asked = pairs.select("later", "earlier", "x0", "y0", F.explode(F.array(
+        F.struct(F.col("later").alias("doc_id"), F.lit(0).alias("role"), F.col("x0").alias("a"), F.col("x1").alias("b"), "segments"),
+        F.struct(F.col("earlier").alias("doc_id"), F.lit(1).alias("role"), F.col("y0").alias("a"), F.col("y1").alias("b"), F.lit(None).alias("segments")),
+    )).alias("ask")).select("later", "earlier", "x0", "y0", "ask.*")
+    # A document that very many others are compared with is asked in several groups, with its text in each.
+    hot = asked.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP_ASKS)
+    hot = stored(hot.select("doc_id", F.ceil(F.col("n") / GROUP_ASKS).cast("int").alias("groups")), "hot_documents")
+    n_hot = hot.count()
+    if n_hot:
+        hot = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
+        group = F.pmod(F.xxhash64("later", "earlier", "x0", "y0"), F.coalesce("groups", F.lit(1))).cast("int")
+        asked = asked.join(hot, "doc_id", "left").withColumn("salt", group).drop("groups")
+        texts = texts.join(hot, "doc_id", "left").select(
+            "doc_id", "text", F.explode(F.sequence(F.lit(0), F.coalesce("groups", F.lit(1)) - 1)).alias("salt"))
+    else:
+        asked, texts = asked.withColumn("salt", F.lit(0)), texts.withColumn("salt", F.lit(0))
+    rows = texts.where(F.col("doc_id").isNotNull()).withColumn("role", F.lit(-1)).unionByName(asked, allowMissingColumns=True)
+    rows = rows.repartition("doc_id", "salt").sortWithinPartitions("doc_id", "salt", "role")
+    spans = rows.mapInArrow(_spans, SPAN).repartition("later", "earlier", "x0", "y0")
+    return spans.sortWithinPartitions("later", "earlier", "x0", "y0", "role").mapInArrow(_aligned, PASSAGE)
 
 
 def cut(docs: DataFrame, found: DataFrame) -> DataFrame:
