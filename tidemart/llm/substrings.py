@@ -401,65 +401,124 @@ def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["later", "earlier", "x0", "x1", "y0", "y1", "segments"])
 
 
+#: No word's hash: what shorter rows are filled up with, on either side.
+_PAD_A, _PAD_B = -1, -2
+#: Rows that are aligned side by side.
+SIDE_BY_SIDE = 512
+
+Words = list[np.ndarray]
+
+
+def _filled(rows: Words, wide: int, pad: int) -> np.ndarray:
+    out = np.full((len(rows), wide), pad, np.int64)
+    for i, row in enumerate(rows):
+        out[i, : len(row)] = row
+    return out
+
+
+def _side_by_side(a: Words, b: Words) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows of similar length as matrices: their numbers, ``a``, ``b``. Rows with an empty side are left out."""
+    sizes = np.array([(len(x), len(y)) for x, y in zip(a, b, strict=True)]).reshape(-1, 2)
+    order = np.lexsort((sizes.sum(axis=1), sizes.max(axis=1)))
+    order = order[sizes[order].min(axis=1) > 0]
+    for at in range(0, len(order), SIDE_BY_SIDE):
+        rows = order[at : at + SIDE_BY_SIDE]
+        m, n = sizes[rows].max(axis=0).tolist()
+        yield rows, _filled([a[i] for i in rows], m, _PAD_A), _filled([b[i] for i in rows], n, _PAD_B)
+
+
+def lcs_all(a: Words, b: Words) -> np.ndarray:
+    """Lengths of the longest common subsequences of ``a[i]`` and ``b[i]``."""
+    out = np.zeros(len(a), np.int64)
+    for rows, x, y in _side_by_side(a, b):
+        best = np.zeros((len(rows), y.shape[1] + 1), np.int32)
+        for i in range(x.shape[1]):
+            step = best.copy()
+            np.maximum(best[:, 1:], best[:, :-1] + (y == x[:, i : i + 1]), out=step[:, 1:])
+            best = np.maximum.accumulate(step, axis=1)
+        out[rows] = best[:, -1]
+    return out
+
+
 def lcs(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the longest common subsequence."""
-    if not len(a) or not len(b):
-        return 0
-    row = np.zeros(len(b) + 1, np.int64)
-    for w in a:
-        step = row.copy()
-        step[1:] = np.maximum(row[1:], row[:-1] + (b == w))
-        row = np.maximum.accumulate(step)
-    return int(row[-1])
-
-
-def _reach(a: np.ndarray, b: np.ndarray, loss: float = 1.5) -> tuple[int, int]:
-    """How many words of either side to add at an end: the alignment of the two beginnings with the
-    best sum of +1 for each agreeing word and -``loss`` for each other step."""
-    n = min(len(a), len(b))
-    if not n:
-        return 0, 0
-    equal = a[:n] == b[:n]
-    run = n if equal.all() else int(equal.argmin())  # equal words first
-    a, b = a[run:], b[run:]
-    if not len(a) or not len(b):
-        return run, run
-    columns = np.arange(len(b) + 1)
-    row = -loss * columns
-    best, at = 0.0, (0, 0)
-    for i, w in enumerate(a):
-        step = row - loss
-        step[1:] = np.maximum(step[1:], row[:-1] + np.where(b == w, 1.0, -loss))
-        row = np.maximum.accumulate(step + loss * columns) - loss * columns
-        j = int(row.argmax())
-        if row[j] > best:
-            best, at = float(row[j]), (i + 1, j)
-    return run + at[0], run + at[1]
-
-
-def align(a: np.ndarray, b: np.ndarray, a0: int, b0: int, links: list[tuple[int, int, int, int]], loss: float = 1.5):
-    """Align the words ``a`` (from position a0 of its text) and ``b`` along a chain. Returns
-    x0, x1, y0, y1 and the number of agreeing words."""
-    x0, y0 = links[0][0], links[0][2]
-    x1, y1 = x0, y0
-    matched = 0
-    for sx, ex, sy, _ in links:
-        ex = ex + K - 1
-        skip = max(0, x1 - sx, y1 - sy)  # words that the segment before has covered
-        sx, sy = sx + skip, sy + skip
-        if sx >= ex:
-            continue
-        matched += lcs(a[x1 - a0 : sx - a0], b[y1 - b0 : sy - b0])
-        n = ex - sx
-        matched += int((a[sx - a0 : ex - a0] == b[sy - b0 : sy - b0 + n]).sum())
-        x1, y1 = ex, sy + n
-    i, j = x0 - a0, y0 - b0
-    left = _reach(a[max(0, i - MARGIN) : i][::-1], b[max(0, j - MARGIN) : j][::-1], loss)
-    matched += lcs(a[i - left[0] : i], b[j - left[1] : j])
-    i, j = x1 - a0, y1 - b0
-    right = _reach(a[i : i + MARGIN], b[j : j + MARGIN], loss)
-    matched += lcs(a[i : i + right[0]], b[j : j + right[1]])
-    return x0 - left[0], x1 + right[0], y0 - left[1], y1 + right[1], matched
+    return int(lcs_all([a], [b])[0])
+
+
+def reach_all(a: Words, b: Words, loss: float = 1.5) -> np.ndarray:
+    """How many words of either side to add at an end, for each pair: the alignment of the two
+    beginnings with the best sum of +1 for each agreeing word and -``loss`` for each other step.
+    Equal words at the very beginning are added first."""
+    out = np.zeros((len(a), 2), np.int64)
+    for k, (x, y) in enumerate(zip(a, b, strict=True)):
+        n = min(len(x), len(y))
+        equal = x[:n] == y[:n]
+        out[k] = n if equal.all() else int(equal.argmin())
+    runs = out[:, 0].tolist()
+    for rows, x, y in _side_by_side([x[r:] for x, r in zip(a, runs, strict=True)], [y[r:] for y, r in zip(b, runs, strict=True)]):
+        every, drop = np.arange(len(rows)), (loss * np.arange(y.shape[1] + 1)).astype(np.float32)
+        score = np.repeat(-drop[None], len(rows), axis=0)
+        best, at = np.zeros(len(rows), np.float32), np.zeros((len(rows), 2), np.int64)
+        for i in range(x.shape[1]):
+            step = score - np.float32(loss)
+            hit = np.where(y == x[:, i : i + 1], np.float32(1), np.float32(-loss))
+            np.maximum(step[:, 1:], score[:, :-1] + hit, out=step[:, 1:])
+            step += drop
+            score = np.maximum.accumulate(step, axis=1, out=step)
+            score -= drop
+            j = score.argmax(axis=1)
+            top = score[every, j]
+            better = top > best
+            best[better] = top[better]
+            at[better, 0], at[better, 1] = i + 1, j[better]
+            if (score.max(axis=1) + (x.shape[1] - 1 - i) <= best).all():
+                break  # no later word can make up for what is lost
+        out[rows] += at
+    return out
+
+
+Links = list[tuple[int, int, int, int]]
+Task = tuple[np.ndarray, np.ndarray, int, int, Links]
+
+
+def align_all(tasks: list[Task], loss: float = 1.5) -> list[tuple[int, int, int, int, int]]:
+    """Align words a (from position a0 of its text) and b (from b0) along a chain, for each (a, b,
+    a0, b0, chain). Returns x0, x1, y0, y1 and the number of agreeing words of each."""
+    matched = np.zeros(len(tasks), np.int64)
+    owner, gap_a, gap_b = [], [], []
+    ends = [[], []], [[], []]  # sides a and b of the left and the right ends
+    for t, (a, b, a0, b0, links) in enumerate(tasks):
+        x1, y1 = links[0][0], links[0][2]
+        i, j = x1 - a0, y1 - b0
+        ends[0][0].append(a[max(0, i - MARGIN) : i][::-1])
+        ends[0][1].append(b[max(0, j - MARGIN) : j][::-1])
+        for sx, ex, sy, _ in links:
+            ex = ex + K - 1
+            skip = max(0, x1 - sx, y1 - sy)  # words that the segment before has covered
+            sx, sy = sx + skip, sy + skip
+            if sx >= ex:
+                continue
+            if sx > x1 and sy > y1:
+                owner.append(t)
+                gap_a.append(a[x1 - a0 : sx - a0])
+                gap_b.append(b[y1 - b0 : sy - b0])
+            n = ex - sx
+            matched[t] += int((a[sx - a0 : ex - a0] == b[sy - b0 : sy - b0 + n]).sum())
+            x1, y1 = ex, sy + n
+        i, j = x1 - a0, y1 - b0
+        ends[1][0].append(a[i : i + MARGIN])
+        ends[1][1].append(b[j : j + MARGIN])
+        tasks[t] = a, b, x1, y1, links
+    np.add.at(matched, np.array(owner, np.int64), lcs_all(gap_a, gap_b))
+    added = []
+    for side_a, side_b in ends:
+        reach = reach_all(side_a, side_b, loss)
+        added.append(reach)
+        matched += lcs_all([x[:n] for x, n in zip(side_a, reach[:, 0], strict=True)], [y[:n] for y, n in zip(side_b, reach[:, 1], strict=True)])
+    left, right = added
+    return [
+        (links[0][0] - int(left[t, 0]), x1 + int(right[t, 0]), links[0][2] - int(left[t, 1]), y1 + int(right[t, 1]), int(matched[t]))
+        for t, (_, _, x1, y1, links) in enumerate(tasks)
+    ]
 
 
 SPAN = "later long, earlier long, x0 int, y0 int, role int, at int, words binary, segments binary"
@@ -498,35 +557,70 @@ PASSAGE = "doc_id long, start int, end int, source_id long, source_start int, so
 
 def _may_hold_a_passage(a: np.ndarray, b: np.ndarray) -> bool:
     """Are there ``MIN_WORDS`` words in a row of which enough occur in ``b`` at all?"""
-    if len(a) < MIN_WORDS:
+    if len(a) < MIN_WORDS or not len(b):
         return False
-    shared = np.cumsum(np.append(0, np.isin(a, b)))
+    others = np.sort(b)
+    at = others.searchsorted(a)
+    at[at == len(others)] = 0
+    shared = np.zeros(len(a) + 1, np.int64)
+    np.cumsum(others[at] == a, out=shared[1:])
     return int((shared[MIN_WORDS:] - shared[:-MIN_WORDS]).max()) >= LEAST_SHARED
 
 
-def align_cluster(a: np.ndarray, b: np.ndarray, a_at: int, b_at: int, segments: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
-    """Passages x0, x1, y0, y1, agreeing words of a cluster's chains, best chain first. A chain whose
-    words lie in a passage found before adds nothing to what repeats, and is passed over."""
-    if not _may_hold_a_passage(a, b):
-        return
-    found: list[tuple[int, int]] = []
-    for rank in np.unique(segments[:, 0]):
-        links = [tuple(s) for s in segments[segments[:, 0] == rank, 1:].tolist()]
-        if any(x0 <= links[0][0] and links[-1][1] + K - 1 <= x1 for x0, x1 in found):
-            continue
-        i, j = max(0, links[0][0] - MARGIN - a_at), max(0, links[0][2] - MARGIN - b_at)
-        near = a[i : links[-1][1] + K - 1 + MARGIN - a_at], b[j : links[-1][3] + K - 1 + MARGIN - b_at]
-        if not _may_hold_a_passage(*near):
+def _is_passage(x0: int, x1: int, y0: int, y1: int, matched: int) -> bool:
+    return x1 - x0 >= MIN_WORDS and matched >= IDENTITY * max(x1 - x0, y1 - y0)
+
+
+def _try_chains(tasks: list[Task]) -> list[list[tuple[int, int, int, int, int]]]:
+    """Each chain's passages. Changes crowded near an end cut an alignment short; a lower loss reaches
+    beyond them. A chain that makes none as a whole is tried by its segments."""
+    out: list[list] = [[] for _ in tasks]
+    left = list(range(len(tasks)))
+    for loss in (1.5, LEAST_LOSS):
+        for t, got in zip(left, align_all([tasks[t] for t in left], loss), strict=True):
+            if _is_passage(*got):
+                out[t].append(got)
+        left = [t for t in left if not out[t]]
+    parts = [(t, (*tasks[t][:4], [s])) for t in left if len(tasks[t][4]) > 1 for s in tasks[t][4]]
+    for (t, _), got in zip(parts, align_all([p for _, p in parts]), strict=True):
+        if _is_passage(*got):
+            out[t].append(got)
+    return out
+
+
+Cluster = tuple[np.ndarray, np.ndarray, int, int, np.ndarray]
+
+
+def align_clusters(items: list[Cluster]) -> list[list[tuple[int, int, int, int, int]]]:
+    """Passages x0, x1, y0, y1, agreeing words of each cluster (a, b, a's and b's first position,
+    segments). Chains of all clusters are aligned side by side: first every cluster's best one, then
+    the others. A chain whose words lie in a passage of a better one adds nothing to what repeats,
+    and is passed over."""
+    found: list[list] = [[] for _ in items]
+    waiting: list[list[tuple[int, Task]]] = [[], []]
+    for c, (a, b, a_at, b_at, segments) in enumerate(items):
+        if not _may_hold_a_passage(a, b):
             continue
-        # Changes crowded near an end cut an alignment short; the lower loss reaches beyond them.
-        tries = [(links, 1.5), (links, LEAST_LOSS), *[([s], 1.5) for s in links if len(links) > 1]]
-        for part, loss in tries:
-            x0, x1, y0, y1, matched = align(*near, a_at + i, b_at + j, part, loss)
-            if x1 - x0 >= MIN_WORDS and matched >= IDENTITY * max(x1 - x0, y1 - y0):
-                found.append((x0, x1))
-                yield x0, x1, y0, y1, matched
-                if part is links:
-                    break
+        ranks = segments[:, 0].tolist()
+        for rank in dict.fromkeys(ranks):
+            links = [tuple(s[1:]) for s in segments[ranks.index(rank) : len(ranks) - ranks[::-1].index(rank)].tolist()]
+            waiting[rank != ranks[0]].append((c, (a, b, a_at, b_at, links)))
+    for chains in waiting:
+        tasks = []
+        for c, (a, b, a_at, b_at, links) in chains:
+            x0, x1, y0, y1 = links[0][0], links[-1][1] + K - 1, links[0][2], links[-1][3] + K - 1
+            i, j = max(0, x0 - MARGIN - a_at), max(0, y0 - MARGIN - b_at)
+            near = a[i : x1 + MARGIN - a_at], b[j : y1 + MARGIN - b_at]
+            if not _covered(found[c], x0, x1) and (len(near[0]) + len(near[1]) == len(a) + len(b) or _may_hold_a_passage(*near)):
+                tasks.append((c, (*near, a_at + i, b_at + j, links)))
+        for (c, task), got in zip(tasks, _try_chains([t for _, t in tasks]), strict=True):
+            if not _covered(found[c], task[4][0][0], task[4][-1][1] + K - 1):
+                found[c].extend(got)
+    return found
+
+
+def _covered(passages: list[tuple[int, int, int, int, int]], x0: int, x1: int) -> bool:
+    return any(p[0] <= x0 and x1 <= p[1] for p in passages)
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -534,7 +628,7 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     earlier one's words."""
     key, sides = None, []
     for batch in batches:
-        out = []
+        names, items = [], []
         for r in batch.to_pylist():
             if (r["later"], r["earlier"], r["x0"], r["y0"]) != key:
                 key, sides = (r["later"], r["earlier"], r["x0"], r["y0"]), []
@@ -543,9 +637,12 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sides.append((words, r["at"], np.frombuffer(r["segments"], "<i4").reshape(-1, 5)))
                 continue
             for a, a_at, segments in sides:
-                out.extend(
-                    (r["later"], x0, x1, r["earlier"], y0, y1, matched, matched / max(x1 - x0, y1 - y0))
-                    for x0, x1, y0, y1, matched in align_cluster(a, words, a_at, r["at"], segments))
+                names.append(key[:2])
+                items.append((a, words, a_at, r["at"], segments))
+        out = [
+            (later, x0, x1, earlier, y0, y1, matched, matched / max(x1 - x0, y1 - y0))
+            for (later, earlier), found in zip(names, align_clusters(items), strict=True) for x0, x1, y0, y1, matched in found
+        ]
         columns = list(zip(*out, strict=True)) or [()] * 8
         kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64()]
         yield pa.RecordBatch.from_arrays(
