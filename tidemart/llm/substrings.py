@@ -61,7 +61,7 @@ BLOCK_SEEDS = 1 << 20
 GROUP_ASKS = 20_000
 #: Documents asked more often than that are broadcast up to this many (16 bytes each).
 BROADCAST_ROWS = 200_000
-#: Ranges of seeds, and groups of pairs, for each shuffle partition.
+#: Ranges of seeds for each shuffle partition.
 PARTS = 4
 MEMO_WORDS = 600_000
 WORD = re.compile(r"\S+")
@@ -213,7 +213,7 @@ def _packed_matches(later, x, earlier, y, parts: int) -> pa.RecordBatch:
     return _packed(MATCHES, part[order], later, earlier, x - y, x)
 
 
-def _seeds(parts: int):
+def _seeds(parts: int, groups: int):
     """Matches among a block of the task's own documents, and the first occurrence of each of its seeds.
 
     Nearly all seeds occur in one document only, so what they take decides what is moved: a block's
@@ -228,7 +228,7 @@ def _seeds(parts: int):
             seed, doc, pos = seed[order], doc[order], pos[order]
             matches, first = _star(seed, doc, pos)
             if len(matches[0]):
-                yield _packed_matches(*matches, parts)
+                yield _packed_matches(*matches, groups)
             yield _packed(SEEDS, seed[first] * parts >> SEED_BITS, seed[first], doc[first], pos[first])
 
         for batch in batches:
@@ -258,10 +258,16 @@ def _parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, lis
         yield kind, part, [blob for _, _, blob in group]
 
 
-def _join_seeds(parts: int):
-    """Seeds that several blocks have become matches; a seed that only one block has goes no further."""
+def _join_seeds(groups: int):
+    """Seeds that several blocks have become matches; a seed that only one block has goes no further.
+    Matches of many ranges of seeds are packed together, so that packets stay few and large."""
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def flush():
+            return _packed_matches(*(np.concatenate(c) for c in zip(*held, strict=True)), groups)
+
         for kind, part, blobs in _parts_of(batches):
             if kind == MATCHES:
                 yield pa.RecordBatch.from_arrays(
@@ -271,8 +277,13 @@ def _join_seeds(parts: int):
                 seed, doc, pos = (np.concatenate(c) for c in zip(*map(unpack, blobs), strict=True))
                 order = np.lexsort((pos, doc, seed))
                 matches, _ = _star(seed[order], doc[order], pos[order])
-                if len(matches[0]):
-                    yield _packed_matches(*matches, parts)
+                held.append(matches)
+                size += len(matches[0])
+                if size >= BLOCK_SEEDS:
+                    yield flush()
+                    held, size = [], 0
+        if size:
+            yield flush()
 
     return join
 
@@ -653,9 +664,9 @@ def passages(docs: DataFrame) -> DataFrame:
     """Every passage of a document that an earlier one (smaller doc_id) holds as well: its words
     [start, end), the earlier document and place, the agreeing words and their share."""
     texts = docs.select(F.col("doc_id").cast("long"), "text")
-    parts = PARTS * width(docs.sparkSession)
-    found = texts.mapInArrow(_seeds(parts), PACKED).repartition("kind", "part").sortWithinPartitions("kind", "part")
-    matches = found.mapInArrow(_join_seeds(parts), PACKED).repartition("part").sortWithinPartitions("part")
+    groups = width(docs.sparkSession)
+    found = texts.mapInArrow(_seeds(PARTS * groups, groups), PACKED).repartition("kind", "part").sortWithinPartitions("kind", "part")
+    matches = found.mapInArrow(_join_seeds(groups), PACKED).repartition("part").sortWithinPartitions("part")
     pairs = stored(matches.mapInArrow(_chains, CLUSTER), "clusters")
     asked = pairs.select("later", "earlier", "x0", "y0", F.explode(F.array(
         F.struct(F.col("later").alias("doc_id"), F.lit(0).alias("role"), F.col("x0").alias("a"), F.col("x1").alias("b"), "segments"),
