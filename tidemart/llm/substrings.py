@@ -69,23 +69,25 @@ _STRIP = ".,;:!?\"'()[]{}<>|*#&%$-_"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
+class Memo(dict):
+    """Hashes of the words met so far."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = value = xxhash.xxh64_intdigest(word.strip(_STRIP).lower() or word)
+        return value
+
+
 class Hasher:
     """64-bit hashes of words without case and outer punctuation, remembered per worker."""
 
     def __init__(self):
-        self.memo: dict[str, int] = {}
+        self.memo = Memo()
 
     def words(self, text: str) -> np.ndarray:
-        words, memo = text.split(), self.memo
-        try:
-            return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
-        except KeyError:
-            if len(memo) > MEMO_WORDS:
-                memo.clear()
-            for w in words:
-                if w not in memo:
-                    memo[w] = xxhash.xxh64_intdigest(w.strip(_STRIP).lower() or w)
-            return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+        words = text.split()
+        if len(self.memo) > MEMO_WORDS:
+            self.memo.clear()
+        return np.fromiter(map(self.memo.__getitem__, words), np.uint64, len(words))
 
 
 def hasher() -> Hasher:
@@ -120,13 +122,40 @@ def minimizers(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(seeds), np.concatenate(places)
 
 
+def _sliding(values: np.ndarray, window: int, best: np.ufunc) -> np.ndarray:
+    """The best of every ``window`` entries in a row, from runs of doubled length."""
+    size = 1
+    while 2 * size <= window:
+        values = best(values[:-size], values[size:])
+        size *= 2
+    return best(values[: len(values) - window + size], values[window - size :]) if window > size else values
+
+
 def _least(grams: np.ndarray, window: int) -> np.ndarray:
-    """Positions of the smallest entry of every window."""
+    """Positions of the smallest entries of every window."""
     n = len(grams)
     if n <= window:
         return np.array([int(grams.argmin())])
-    view = np.lib.stride_tricks.sliding_window_view(grams, window)
-    return np.unique(view.argmin(axis=1) + np.arange(n - window + 1))
+    if window == 1:
+        return np.arange(n)
+    # An entry is the smallest of some window if it is as small as the largest of its windows' minima.
+    minima = np.zeros(n + window - 1, grams.dtype)
+    minima[window - 1 : n] = _sliding(grams, window, np.minimum)
+    return np.flatnonzero(grams == _sliding(minima, window, np.maximum))
+
+
+def _by_seed(seed: np.ndarray) -> np.ndarray:
+    """The order of the seeds, equal ones as they come."""
+    bits = len(seed).bit_length()
+    if SEED_BITS + bits > 63:
+        return np.argsort(seed, kind="stable")
+    return np.sort(seed << bits | np.arange(len(seed))) & ((1 << bits) - 1)
+
+
+def _repeated(seed: np.ndarray) -> np.ndarray:
+    """Which of the sorted seeds are not the only one of their kind."""
+    same = np.concatenate([[False], seed[1:] == seed[:-1], [False]])
+    return same[1:] | same[:-1]
 
 
 def _star(seed: np.ndarray, doc: np.ndarray, pos: np.ndarray):
@@ -223,13 +252,22 @@ def _seeds(parts: int, groups: int):
         held, size, words_of = [], 0, hasher().words
 
         def flush():
+            held.sort(key=lambda h: int(h[1][0]))
             seed, doc, pos = (np.concatenate(c) for c in zip(*held, strict=True))
-            order = np.lexsort((pos, doc, seed))
+            order = _by_seed(seed)
             seed, doc, pos = seed[order], doc[order], pos[order]
-            matches, first = _star(seed, doc, pos)
+            again = np.flatnonzero(_repeated(seed))
+            if any(a[1][0] == b[1][0] for a, b in itertools.pairwise(held)):  # rows that share a doc_id
+                rows = again[np.lexsort((pos[again], doc[again], seed[again]))]
+                doc[again], pos[again] = doc[rows], pos[rows]
+            matches, first = _star(seed[again], doc[again], pos[again])
             if len(matches[0]):
                 yield _packed_matches(*matches, groups)
-            yield _packed(SEEDS, seed[first] * parts >> SEED_BITS, seed[first], doc[first], pos[first])
+            keep = np.ones(len(seed), bool)
+            keep[again] = False
+            keep[again[first]] = True
+            seed, doc, pos = seed[keep], doc[keep], pos[keep]
+            yield _packed(SEEDS, seed * parts >> SEED_BITS, seed, doc, pos)
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -275,6 +313,9 @@ def _join_seeds(groups: int):
                     schema=_PACKED)
             elif len(blobs) > 1:
                 seed, doc, pos = (np.concatenate(c) for c in zip(*map(unpack, blobs), strict=True))
+                order = _by_seed(seed)
+                again = order[_repeated(seed[order])]
+                seed, doc, pos = seed[again], doc[again], pos[again]
                 order = np.lexsort((pos, doc, seed))
                 matches, _ = _star(seed[order], doc[order], pos[order])
                 held.append(matches)
@@ -412,18 +453,20 @@ def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["later", "earlier", "x0", "x1", "y0", "y1", "segments"])
 
 
-#: No word's hash: what shorter rows are filled up with, on either side.
-_PAD_A, _PAD_B = -1, -2
+#: What shorter rows are filled up with, on either side; words with these hashes count as the next.
+_PAD_A, _PAD_B = 0, 1
 #: Rows that are aligned side by side.
-SIDE_BY_SIDE = 512
+SIDE_BY_SIDE = 256
 
 Words = list[np.ndarray]
 
 
 def _filled(rows: Words, wide: int, pad: int) -> np.ndarray:
-    out = np.full((len(rows), wide), pad, np.int64)
+    out = np.zeros((len(rows), wide), np.uint32)
     for i, row in enumerate(rows):
         out[i, : len(row)] = row
+    np.maximum(out, 2, out=out)
+    out[np.arange(wide) >= np.array([len(row) for row in rows])[:, None]] = pad
     return out
 
 
@@ -442,7 +485,7 @@ def lcs_all(a: Words, b: Words) -> np.ndarray:
     """Lengths of the longest common subsequences of ``a[i]`` and ``b[i]``."""
     out = np.zeros(len(a), np.int64)
     for rows, x, y in _side_by_side(a, b):
-        best = np.zeros((len(rows), y.shape[1] + 1), np.int32)
+        best = np.zeros((len(rows), y.shape[1] + 1), np.int16 if y.shape[1] < 1 << 15 else np.int32)
         for i in range(x.shape[1]):
             step = best.copy()
             np.maximum(best[:, 1:], best[:, :-1] + (y == x[:, i : i + 1]), out=step[:, 1:])
@@ -466,23 +509,29 @@ def reach_all(a: Words, b: Words, loss: float = 1.5) -> np.ndarray:
         out[k] = n if equal.all() else int(equal.argmin())
     runs = out[:, 0].tolist()
     for rows, x, y in _side_by_side([x[r:] for x, r in zip(a, runs, strict=True)], [y[r:] for y, r in zip(b, runs, strict=True)]):
-        every, drop = np.arange(len(rows)), (loss * np.arange(y.shape[1] + 1)).astype(np.float32)
+        # Sums are doubled, so that they are whole numbers.
+        lost, drop = np.int16(2 * loss), (2 * loss * np.arange(y.shape[1] + 1)).astype(np.int16)
         score = np.repeat(-drop[None], len(rows), axis=0)
-        best, at = np.zeros(len(rows), np.float32), np.zeros((len(rows), 2), np.int64)
+        best, at = np.zeros(len(rows), np.int16), np.zeros((len(rows), 2), np.int64)
         for i in range(x.shape[1]):
-            step = score - np.float32(loss)
-            hit = np.where(y == x[:, i : i + 1], np.float32(1), np.float32(-loss))
+            step = score - lost
+            hit = (y == x[:, i : i + 1]).view(np.int8) * np.int16(2 + lost) - lost
             np.maximum(step[:, 1:], score[:, :-1] + hit, out=step[:, 1:])
             step += drop
             score = np.maximum.accumulate(step, axis=1, out=step)
             score -= drop
             j = score.argmax(axis=1)
-            top = score[every, j]
-            better = top > best
+            top = score[np.arange(len(rows)), j]
+            better = np.flatnonzero(top > best)
             best[better] = top[better]
             at[better, 0], at[better, 1] = i + 1, j[better]
-            if (score.max(axis=1) + (x.shape[1] - 1 - i) <= best).all():
-                break  # no later word can make up for what is lost
+            # Rows in which no later words can make up for what is lost are done.
+            going = top + 2 * (x.shape[1] - 1 - i) > best
+            if 4 * np.count_nonzero(going) < 3 * len(rows):
+                out[rows[~going]] += at[~going]
+                rows, x, y, score, best, at = (c[going] for c in (rows, x, y, score, best, at))
+                if not len(rows):
+                    break
         out[rows] += at
     return out
 
