@@ -132,12 +132,14 @@ def _sliding(values: np.ndarray, window: int, best: np.ufunc) -> np.ndarray:
 
 
 def _least(grams: np.ndarray, window: int) -> np.ndarray:
-    """Positions of the smallest entries of every window."""
+    """Positions of the smallest entry of every window, of equal ones the first."""
     n = len(grams)
     if n <= window:
         return np.array([int(grams.argmin())])
     if window == 1:
         return np.arange(n)
+    low = np.uint64((1 << n.bit_length()) - 1)
+    grams = grams & ~low | np.arange(n, dtype=np.uint64)
     # An entry is the smallest of some window if it is as small as the largest of its windows' minima.
     minima = np.zeros(n + window - 1, grams.dtype)
     minima[window - 1 : n] = _sliding(grams, window, np.minimum)
@@ -207,21 +209,29 @@ SEEDS, MATCHES = 0, 1
 def pack(ascending: np.ndarray, *columns: np.ndarray) -> bytes:
     """Equally long integer columns, the first in ascending order, as its steps and the others less
     their least values, in planes of bytes that compress to little more than what they tell."""
-    lows = [int(c.min()) for c in columns]
-    steps = np.diff(ascending, prepend=ascending[:1])
-    stacked = np.stack([steps, *[c - low for c, low in zip(columns, lows, strict=True)]]).astype(np.uint64)
-    planes = stacked.view(np.uint8).reshape(len(stacked), -1, 8).transpose(0, 2, 1).tobytes()
-    head = np.array([len(ascending), len(stacked), ascending[0], *lows], np.int64).tobytes()
-    return head + pa.compress(planes, codec="zstd", asbytes=True)
+    head, planes = [len(ascending), len(columns) + 1], []
+    for low, values in [(ascending[0], np.diff(ascending, prepend=ascending[:1])), *[(c.min(), c - c.min()) for c in columns]]:
+        size = (int(values.max()).bit_length() + 7) // 8
+        head += [int(low), size]
+        bytes_of = values.astype("<u8").view(np.uint8).reshape(-1, 8)
+        planes += [bytes_of[:, k].tobytes() for k in range(size)]
+    return np.array(head, np.int64).tobytes() + pa.compress(b"".join(planes), codec="zstd", asbytes=True)
 
 
 def unpack(packed: bytes) -> list[np.ndarray]:
     n, width = np.frombuffer(packed, np.int64, 2).tolist()
-    lows = np.frombuffer(packed, np.int64, width, 16)
-    planes = pa.decompress(packed[16 + 8 * width :], decompressed_size=8 * n * width, codec="zstd", asbytes=True)
-    stacked = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, 8, n).transpose(0, 2, 1)).view(np.uint64)
-    steps, *rest = stacked.reshape(width, n).astype(np.int64)
-    return [lows[0] + np.cumsum(steps), *[c + low for c, low in zip(rest, lows[1:], strict=True)]]
+    heads = np.frombuffer(packed, np.int64, 2 * width, 16).reshape(width, 2).tolist()
+    total = n * sum(size for _, size in heads)
+    planes = np.frombuffer(pa.decompress(packed[16 * (1 + width) :], decompressed_size=total, codec="zstd", asbytes=True), np.uint8).reshape(-1, n)
+    out, at = [], 0
+    for i, (low, size) in enumerate(heads):
+        values = np.zeros((n, 8), np.uint8)
+        for k in range(size):
+            values[:, k] = planes[at + k]
+        at += size
+        column = values.view("<i8").reshape(n)
+        out.append(low + (column if i else np.cumsum(column)))
+    return out
 
 
 def _packed(kind: int, parts: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
