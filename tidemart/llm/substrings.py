@@ -505,7 +505,9 @@ def lcs_all(a: Words, b: Words) -> np.ndarray:
 
 
 def lcs(a: np.ndarray, b: np.ndarray) -> int:
-    return int(lcs_all([a], [b])[0])
+    """Length of the longest common subsequence of any two sequences."""
+    codes = np.unique(np.concatenate([a, b]), return_inverse=True)[1] + 2
+    return int(lcs_all([codes[: len(a)]], [codes[len(a) :]])[0])
 
 
 def reach_all(a: Words, b: Words, loss: float = 1.5) -> np.ndarray:
