@@ -166,6 +166,9 @@ def _star(seed: np.ndarray, doc: np.ndarray, pos: np.ndarray):
     A seed's second occurrence in one document meets the second in the other, and so on. A long
     seed matches at its first and its last K words."""
     n = len(seed)
+    if not n:
+        nothing = np.zeros(0, np.int64)
+        return (nothing,) * 4, nothing
     new_seed = np.append(True, seed[1:] != seed[:-1])
     new_doc = new_seed | np.append(True, doc[1:] != doc[:-1])
     rows = np.arange(n)
@@ -328,8 +331,9 @@ def _join_seeds(groups: int):
                 seed, doc, pos = seed[again], doc[again], pos[again]
                 order = np.lexsort((pos, doc, seed))
                 matches, _ = _star(seed[order], doc[order], pos[order])
-                held.append(matches)
-                size += len(matches[0])
+                if len(matches[0]):
+                    held.append(matches)
+                    size += len(matches[0])
                 if size >= BLOCK_SEEDS:
                     yield flush()
                     held, size = [], 0
