@@ -7,7 +7,8 @@ probability 1 - (6/7)^20 = 0.95. A template of up to eight shingles is retrieved
 shingles as well, and so never missed; by windows alone one of a single shingle, which lies in two
 windows that share two of six shingles, would be missed with probability (2/3)^20 = 0.0003.
 Retrieved templates are
-verified exactly: the text must have 0.8 of their shingles.
+verified exactly: the text must have 0.8 of their shingles. Keys come from shingles, so a text without
+a single shingle of any template has no key in common with one, and its windows are not looked at.
 
 Defined results. Null, empty or word-free text: no license. Null doc_id: kept. Repeated rows: found
 once; rows that share a doc_id are told apart by their texts. A template of fewer than five words,
@@ -31,6 +32,9 @@ SHORT = 2 * WINDOW
 CONTAINMENT = 0.8
 #: Template bands are broadcast up to this many rows (about 16 MB); beyond, they are shuffled.
 BROADCAST_ROWS = 200_000
+#: With up to so many template bands (no more than about as many shingles), texts that share no shingle
+#: with any template are left out before windows are looked at.
+PROBED_ROWS = 20_000
 
 # Notices by which licenses are named, as their authors word them.
 TEMPLATES = [
@@ -100,15 +104,25 @@ def shingle_keys(h: str) -> Column:
     return F.expr(f"array_distinct(transform({h}, x -> (xxhash64(x, 31) & -32L) | 31L))")
 
 
+def sharing(hashed: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of ``hashed(h)`` that have a shingle of any of a few templates, ``known(th)``. A key in
+    common is a shingle in common: without one, nothing can be retrieved and nothing found."""
+    every = known.select(F.explode("th").alias("x")).agg(F.collect_set("x").alias("every"))  # one row
+    return hashed.join(F.broadcast(every), F.arrays_overlap("h", "every")).drop("every")
+
+
 def find_licenses(docs: DataFrame, notices: DataFrame) -> DataFrame:
     """Notices found: doc_id, template_id, license and containment, each once per different text."""
     known = notices.select("template_id", "license", words(F.col("text")).alias("tw")).where(F.size("tw") >= SHINGLE)
     known = known.select("template_id", "license", hashes("tw").alias("th"), F.array_distinct(shingles("tw")).alias("ts"))
     keys = known.select("template_id", F.explode(F.concat(
         band_keys("th", 1), F.when(F.size("th") <= SHORT, shingle_keys("th")).otherwise(F.array().cast("array<bigint>")))).alias("key")).distinct()
-    small = keys.count() <= BROADCAST_ROWS
+    n_keys = keys.count()
+    small = n_keys <= BROADCAST_ROWS
     texts = keyed(docs)
     hashed = texts.select("doc_id", "text_key", words(F.col("text")).alias("w")).select("doc_id", "text_key", hashes("w").alias("h"))
+    if n_keys <= PROBED_ROWS:
+        hashed = sharing(hashed, known)
     listed = hashed.select("doc_id", "text_key", F.explode(F.concat(band_keys("h", STRIDE), shingle_keys("h"))).alias("key"))
     retrieved = listed.join(F.broadcast(keys) if small else keys, "key")
     asked = retrieved.groupBy("doc_id", "text_key").agg(F.collect_set("template_id").alias("asked"))  # at most all templates
