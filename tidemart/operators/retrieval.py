@@ -40,7 +40,8 @@ DEEPEST = 100
 
 @dataclass(frozen=True)
 class SectionIndex:
-    sections: DataFrame  # sid, doc_id, section_no, section, n_words
+    texts: DataFrame  # lid, doc_id, section_no, section
+    sections: DataFrame  # sid, lid, n_words: the ids in the order of sizes
     postings: DataFrame  # word, block, largest, sids
     words: DataFrame  # word, df, champions
     last: DataFrame  # place, sid: the first sections among equals
@@ -58,31 +59,42 @@ def distinct_words(text: str) -> Column:
 
 
 def build_index(sections: DataFrame, folder: str) -> SectionIndex:
-    """Store the index of ``sections`` (as from ``split_sections``) below ``folder``."""
+    """Store the index of ``sections`` (as from ``split_sections``) below ``folder``.
+
+    Texts are written once and never moved: what is sorted and grouped are ids and words. The words
+    of a section are held as one text, which takes less room than an array of them.
+    """
     spark = sections.sparkSession
-    sized = sections.select("doc_id", "section_no", "section", distinct_words("section").alias("words")).withColumn("n_words", F.size("words"))
+    listed = distinct_words("section")
+    taken = sections.select(F.monotonically_increasing_id().alias("lid"), "doc_id", "section_no", "section", F.array_join(listed, " ").alias("words"))
     # Stored before it is sorted: a sort looks at its input twice, and texts are to be taken apart once.
-    unsorted = scratch_dir(spark, "tokenised")
-    sized.write.parquet(unsorted)
-    ordered = spark.read.schema(sized.schema).parquet(unsorted).orderBy(F.desc("n_words"), "doc_id", "section_no")
+    _write(taken, f"{folder}/texts")
+    words = F.when(F.col("words") != "", F.split("words", " ")).otherwise(F.array().cast("array<string>"))
+    texts = spark.read.schema(taken.schema).parquet(f"{folder}/texts")
+    ordered = texts.select("lid", "doc_id", "section_no", "words", F.size(words).alias("n_words")).orderBy(F.desc("n_words"), "doc_id", "section_no")
     # Numbers grow with the partition and within it, hence along the order; once stored they are facts.
-    ordered.withColumn("sid", F.monotonically_increasing_id()).write.parquet(f"{folder}/sections")
+    _write(ordered.select(F.monotonically_increasing_id().alias("sid"), "lid", "n_words", "words"), f"{folder}/sections")
     stored = spark.read.parquet(f"{folder}/sections")
-    holds = stored.select(F.explode("words").alias("word"), F.shiftright("sid", BLOCK_BITS).alias("block"), "sid", "n_words")
+    holds = stored.select(F.explode(words).alias("word"), F.shiftright("sid", BLOCK_BITS).alias("block"), "sid", "n_words")
     blocks = holds.groupBy("word", "block").agg(
         F.max("n_words").alias("largest"), F.sort_array(F.collect_list("sid")).alias("sids"))
-    blocks.sortWithinPartitions("word", "block").write.parquet(f"{folder}/postings")
+    _write(blocks.sortWithinPartitions("word", "block"), f"{folder}/postings")
     lists = spark.read.parquet(f"{folder}/postings").groupBy("word").agg(
         F.sum(F.size("sids")).alias("df"), F.min(F.struct("block", F.slice("sids", 1, CHAMPIONS).alias("sids"))).alias("first"))
-    lists.select("word", "df", F.col("first.sids").alias("champions")).write.parquet(f"{folder}/words")
-    last = stored.orderBy(*_equals()).limit(DEEPEST).select("sid", "section", "doc_id", "section_no")
-    place = F.row_number().over(Window.orderBy(*_equals()))  # of DEEPEST rows
-    last.select(place.alias("place"), "sid").write.parquet(f"{folder}/last")
+    _write(lists.select("word", "df", F.col("first.sids").alias("champions")), f"{folder}/words")
+    last = texts.orderBy(*_equals()).limit(DEEPEST).select("lid", "section", "doc_id", "section_no")
+    last = stored.select("sid", "lid").join(F.broadcast(last), "lid")  # DEEPEST rows
+    place = F.row_number().over(Window.orderBy(*_equals()))
+    _write(last.select(place.alias("place"), "sid"), f"{folder}/last")
     return open_index(spark, folder)
 
 
+def _write(df: DataFrame, path: str) -> None:
+    df.write.option("compression", "zstd").parquet(path)
+
+
 def open_index(spark: SparkSession, folder: str) -> SectionIndex:
-    return SectionIndex(*(spark.read.parquet(f"{folder}/{t}") for t in ("sections", "postings", "words", "last")))
+    return SectionIndex(*(spark.read.parquet(f"{folder}/{t}") for t in ("texts", "sections", "postings", "words", "last")))
 
 
 def _equals() -> list[Column]:
@@ -113,10 +125,13 @@ def topk(questions: DataFrame, index: SectionIndex, k: int = 3) -> DataFrame:
     per_question = Window.partitionBy("question_id")
     ahead = scored.withColumn("_rank", F.rank().over(per_question.orderBy(F.desc("overlap")))).where(F.col("_rank") <= k)
     # Stored, so that its size is known: a few answers are sent to the texts and not the texts to them.
-    best = scratch_dir(ahead.sparkSession, "answers")
+    spark = ahead.sparkSession
+    best = scratch_dir(spark, "answers")
     ahead.write.parquet(best)
-    answers = ahead.sparkSession.read.schema(ahead.schema).parquet(best)
-    texts = attach(index.sections.select("sid", "doc_id", "section_no", "section"), answers, "sid", "inner")
+    answers = attach(index.sections.select("sid", "lid"), spark.read.schema(ahead.schema).parquet(best), "sid", "inner")
+    located = scratch_dir(spark, "located")
+    answers.write.parquet(located)
+    texts = attach(index.texts.select("lid", "doc_id", "section_no", "section"), spark.read.schema(answers.schema).parquet(located), "lid", "inner")
     place = F.row_number().over(per_question.orderBy(F.desc("overlap"), *_equals()))
     return texts.withColumn("rnk", place).where(F.col("rnk") <= k).select(
         "question_id", "rnk", "doc_id", "section_no", "overlap", "section")
@@ -128,7 +143,10 @@ def shared_words(asked: DataFrame, pairs: DataFrame, index: SectionIndex) -> Dat
     b, q = blocks.alias("b"), asked.alias("q")
     words = b.join(q, F.col("b.question_id").eqNullSafe(F.col("q.question_id"))).select(
         "b.question_id", "block", "wanted", F.explode("words").alias("word"))
-    held = words.join(index.postings, ["word", "block"])
+    # Only the lists of words that are asked for are moved, however few those are.
+    said = asked.select(F.explode("words").alias("word")).distinct()
+    lists = attach(index.postings, said, "word", "inner") if is_small(asked) else index.postings
+    held = words.join(lists, ["word", "block"])
     return held.select("question_id", F.explode(F.array_intersect("wanted", "sids")).alias("sid"), F.lit(1).alias("n"))
 
 
