@@ -43,6 +43,8 @@ EPOCHS = 8
 RATE = 0.3
 PENALTY = 0.02
 MEMO_WORDS = 400_000
+#: Tokens without a feature of any weight that are remembered, about 100 bytes each.
+MEMO_WITHOUT = 800_000
 WORD = re.compile(r"[^\W\d_]+")
 
 # Letters that signs and digits stand for.
@@ -62,7 +64,7 @@ REPEATED = re.compile(r"([^\W\d_])\1(\1)?")
 AROUND = ".,;:?\"')]}"
 #: Single characters set apart, within a token by a sign, or by spaces.
 PARTED = re.compile(rf"^(?:[^\W_]|[{_SIGNS}])([.\-_*])(?:(?:[^\W_]|[{_SIGNS}])\1){{2,}}(?:[^\W_]|[{_SIGNS}])[.,;:!?]*$")
-SPACED = re.compile(r"(?<!\S)\S(?: \S){3,}(?!\S)")
+SPACED = re.compile(r"(?<!\S)\S \S \S \S(?: \S)*(?!\S)")
 _RUN = re.compile(r"(.)\1*", re.S)
 
 
@@ -70,9 +72,11 @@ _ALL = (1 << 64) - 1
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
-    h = h ^ (h >> np.uint64(31))
-    h = h * np.uint64(0x9E3779B97F4A7C15)
-    return h ^ (h >> np.uint64(29))
+    """Mixes the bits of ``h`` in place."""
+    h ^= h >> np.uint64(31)
+    h *= np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(29)
+    return h
 
 
 def grams(codes: np.ndarray, n: int) -> np.ndarray:
@@ -80,10 +84,12 @@ def grams(codes: np.ndarray, n: int) -> np.ndarray:
     m = len(codes) - n + 1
     if m <= 0:
         return np.zeros(0, np.uint64)
+    codes = codes.astype(np.uint64, copy=False)
     h = np.full(m, n + 1, np.uint64)
     with np.errstate(over="ignore"):
         for j in range(n):
-            h = h * np.uint64(1_000_003) + codes[j : j + m].astype(np.uint64)
+            h *= np.uint64(1_000_003)
+            h += codes[j : j + m]
             h = _mix(h)
     return h
 
@@ -103,19 +109,20 @@ def count_grams(words: Counter) -> np.ndarray:
     """The table's counts: grams of each order in its first half, contexts in its second."""
     table, half = np.zeros(TABLE, np.int64), TABLE // 2
     text = "".join("<" * (ORDER - 1) + w + ">" for w in words)
-    codes = np.array([ord(c) for c in text], np.uint32) if text else np.zeros(0, np.uint32)
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     lengths = np.array([len(w) + ORDER for w in words], np.int64)
     weight = np.repeat(np.array(list(words.values()), np.int64), lengths)
     inside = np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)  # place in the word's frame
+    context = np.zeros(len(codes), np.uint64)  # before single characters: none
     for n in range(1, ORDER + 1):
         h = grams(codes, n)
         last = np.arange(len(h)) + n - 1  # the predicted character
         ok = (inside[last] >= ORDER - 1) & (inside[last] >= n - 1)
         at = (h[ok] % np.uint64(half)).astype(np.int64)
         table += np.bincount(at, weights=weight[last[ok]], minlength=TABLE).astype(np.int64)
-        context = grams(codes, n - 1)[: len(h)] if n > 1 else np.zeros(len(h), np.uint64)
-        at = (context[ok] % np.uint64(half)).astype(np.int64) + half
+        at = (context[: len(h)][ok] % np.uint64(half)).astype(np.int64) + half
         table += np.bincount(at, weights=weight[last[ok]], minlength=TABLE).astype(np.int64)
+        context = h  # the grams of one character less
     return table
 
 
@@ -125,9 +132,13 @@ def character_counts(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(TABLE, np.int64)
         for batch in batches:
-            words: Counter = Counter()
+            tokens: Counter = Counter()
             for text in batch.column(0):
-                words.update(WORD.findall((text.as_py() or "").lower()))
+                tokens.update((text.as_py() or "").lower().split())
+            words: Counter = Counter()
+            for token, n in tokens.items():
+                for word in [token] if token.isalpha() else WORD.findall(token):
+                    words[word] += n
             table += count_grams(words)
         at = np.flatnonzero(table)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(table[at])], ["entry", "n"])
@@ -219,39 +230,51 @@ def _repeated(token: str) -> bool:
 
 
 def features(word: str) -> list[int]:
-    names = [f"<{word}>", *(f"<{word[:n]}" for n in BEGINNINGS if len(word) > n)]
-    return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % BUCKETS for x in names]
+    """The buckets of the word in a frame and of its framed beginnings."""
+    framed = f"<{word}>".encode("utf-8", "surrogatepass")
+    if len(framed) == len(word) + 2:  # one byte a character
+        names = [framed, *[framed[: n + 1] for n in BEGINNINGS if len(word) > n]]
+    else:
+        names = [framed, *[f"<{word[:n]}".encode("utf-8", "surrogatepass") for n in BEGINNINGS if len(word) > n]]
+    return [zlib.crc32(x) % BUCKETS for x in names]
 
 
 class Extractor:
-    """Features of texts; remembers those of each token."""
+    """Features of texts; remembers those of each token, and the tokens that have none."""
 
     def __init__(self, table: np.ndarray, wanted: np.ndarray | None = None):
-        self.model, self.memo = CharacterModel(table), {}
+        self.model, self.memo, self.without = CharacterModel(table), {}, set()
         self.wanted = None if wanted is None else set(np.flatnonzero(wanted).tolist())
 
     def _token(self, token: str, spaced: bool = False) -> tuple[int, ...]:
         words = decode(token[::2], self.model, spaced=True) if spaced else token_words(token, self.model)
-        found = {f for w in words for f in features(w)}
-        return tuple(f for f in found if self.wanted is None or f in self.wanted)
+        found = set(features(words[0])) if len(words) == 1 else {f for w in words for f in features(w)}
+        return tuple(found if self.wanted is None else found & self.wanted)
+
+    def _new(self, token: str) -> tuple[int, ...]:
+        word = token.rstrip(AROUND)
+        if word in self.without:
+            own = ()
+        elif (own := self.memo.get(word)) is None:
+            own = self._token(word)
+        if len(self.memo) > MEMO_WORDS:
+            self.memo.clear()
+        if len(self.without) > MEMO_WITHOUT:
+            self.without.clear()
+        if own:
+            self.memo[word] = self.memo[token] = own
+        else:
+            self.without.update((word, token))
+        return own
 
     def of(self, text: str | None) -> set[int]:
         """The features that the text has at least once."""
         text = text or ""
         hits: set[int] = set()
         memo = self.memo
-        for token in set(text.split()):
+        for token in set(text.split()).difference(self.without):
             own = memo.get(token)
-            if own is None:
-                if len(memo) > MEMO_WORDS:
-                    memo.clear()
-                word = token.rstrip(AROUND)
-                own = memo.get(word)
-                if own is None:
-                    own = memo[word] = self._token(word)
-                memo[token] = own
-            if own:
-                hits.update(own)
+            hits.update(self._new(token) if own is None else own)
         for run in SPACED.finditer(text):
             hits.update(self._token(run.group(0), spaced=True))
         return hits
