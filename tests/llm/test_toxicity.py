@@ -47,3 +47,21 @@ def test_counts_are_those_of_each_gram_and_its_context(spark):
     counted = toxicity.character_counts(spark.createDataFrame([(t,) for t in docs], "text string").repartition(3))
     assert (counted == expected).all()
     assert not toxicity.count_grams(Counter()).any() and toxicity.count_grams(Counter({"\ud800": 1})).sum() == 20
+
+
+def test_counting_in_parts_and_repeated_letters(monkeypatch):
+    words = Counter({w: i + 1 for i, w in enumerate(f"x{a}{b}" for a in "abcdé" for b in "uvw")})
+    whole = toxicity.count_grams(words)
+    monkeypatch.setattr(toxicity, "COUNTED_WORDS", 4)
+    assert (toxicity.count_grams(words) == whole).all()
+    rnd = random.Random(4)
+    for token in ["".join(rnd.choices("aab1_é.\n", k=rnd.randrange(14))) for _ in range(20000)]:
+        doubled, i = [], 0  # letters twice or three times, from the left
+        while i + 1 < len(token):
+            if token[i] == token[i + 1] and token[i].isalpha():
+                n = 3 if token[i : i + 3] == token[i] * 3 else 2
+                doubled.append(n)
+                i += n
+            else:
+                i += 1
+        assert toxicity._repeated(token) == (len(doubled) >= 3 or 3 in doubled), token

@@ -17,6 +17,7 @@ table: no rows. Further columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 import uuid
@@ -33,6 +34,8 @@ from pyspark.sql import functions as F
 from tidemart.llm.common import held_out, kept
 
 ORDER = 5
+#: Words whose grams are counted at a time: arrays of some MB, not as large as the vocabulary.
+COUNTED_WORDS = 1 << 15
 #: Entries of the language model's count table: its size does not depend on the corpus.
 TABLE = 1 << 19
 #: Most labelled documents of each class that the classifier is fitted on.
@@ -59,7 +62,7 @@ _SIGNS = "".join(re.escape(c) for c in LOOKS_LIKE)
 #: A sign between letters, or before two letters at a token's start.
 MIXED = re.compile(rf"[^\W\d_][{_SIGNS}]+[^\W\d_]|^[{_SIGNS}][^\W\d_]{{2}}")
 #: A letter twice or three times; three doublings or one tripling look disguised.
-REPEATED = re.compile(r"([^\W\d_])\1(\1)?")
+DISGUISED = re.compile(r"([^\W\d_])\1(?:\1|.*?([^\W\d_])\2.*?([^\W\d_])\3)", re.S)
 #: Punctuation around a word.
 AROUND = ".,;:?\"')]}"
 #: Single characters set apart, within a token by a sign, or by spaces.
@@ -107,6 +110,13 @@ def gram(text: str) -> int:
 
 def count_grams(words: Counter) -> np.ndarray:
     """The table's counts: grams of each order in its first half, contexts in its second."""
+    table, pairs = np.zeros(TABLE, np.int64), iter(words.items())
+    while some := dict(itertools.islice(pairs, COUNTED_WORDS)):
+        table += _count_some(some)
+    return table
+
+
+def _count_some(words: dict[str, int]) -> np.ndarray:
     table, half = np.zeros(TABLE, np.int64), TABLE // 2
     text = "".join("<" * (ORDER - 1) + w + ">" for w in words)
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
@@ -225,8 +235,7 @@ def token_words(token: str, model: CharacterModel) -> list[str]:
 
 
 def _repeated(token: str) -> bool:
-    runs = REPEATED.findall(token)
-    return len(runs) >= 3 or any(third for _, third in runs)
+    return DISGUISED.search(token) is not None
 
 
 def features(word: str) -> list[int]:
