@@ -24,6 +24,7 @@ Which earlier document a passage is traced to may depend on how the table is spl
 
 from __future__ import annotations
 
+import bisect
 import itertools
 import re
 from collections.abc import Iterator
@@ -55,7 +56,7 @@ LEAST_LOSS = 0.5
 #: A passage has 45 words in a row of which at least this many occur on the other side. If every 45 had
 #: 29 at most, 45 k + r words (r < 45) had no more than 29 k + min(r, 29), which is below 0.8 (45 k + r).
 LEAST_SHARED = 30
-#: Seeds that a task joins among themselves at once.
+#: Seeds that a task joins among themselves at once, and those of the texts hashed with the last one.
 BLOCK_SEEDS = 1 << 20
 #: Spans that are asked of one document's text in one group.
 GROUP_ASKS = 20_000
@@ -77,17 +78,119 @@ class Memo(dict):
         return value
 
 
+#: Characters of texts whose words are hashed together.
+HASHED_CHARS = 1 << 18
+#: Punctuation characters on a side of a word that are looked for in arrays.
+MOST_STRIPPED = 8
+_SPACE, _PUNCTUATION = np.zeros(256, bool), np.zeros(256, bool)
+_SPACE[[*range(9, 14), *range(28, 33)]] = True
+_PUNCTUATION[list(_STRIP.encode())] = True
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+#: First bytes of characters that lower case may change, other than the Latin ones of U+00C0 to U+00DE, which keep
+#: their first byte 0xC3 and get 0x20 added to the second.
+_CASED = np.zeros(256, bool)
+_CASED[0xF0:] = True
+_CASED[[chr(c).encode()[0] for c in range(0x100, 0x10000) if not 0xD800 <= c < 0xE000 and chr(c).lower() != chr(c)]] = True
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (
+    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def _turned(h: np.ndarray, bits: int) -> np.ndarray:
+    return h << np.uint64(bits) | h >> np.uint64(64 - bits)
+
+
+def _hashes(raw: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """XXH64 (seed 0) of the ``size`` bytes, fewer than 32, of ``raw`` from each of ``starts``."""
+    eights = np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))
+    fours = np.ndarray(len(raw) - 3, "<u4", raw, strides=(1,))
+    h = np.full(len(starts), _P5 + np.uint64(size), np.uint64)
+    for at in range(0, size - 7, 8):
+        h ^= _turned(eights[starts + at] * _P2, 31) * _P1
+        h = _turned(h, 27) * _P1 + _P4
+    at = size & ~7
+    if size & 4:
+        h ^= fours[starts + at].astype(np.uint64) * _P1
+        h = _turned(h, 23) * _P2 + _P3
+        at += 4
+    for k in range(at, size):
+        h ^= raw[starts + k].astype(np.uint64) * _P5
+        h = _turned(h, 11) * _P1
+    h ^= h >> np.uint64(33)
+    h *= _P2
+    h ^= h >> np.uint64(29)
+    h *= _P3
+    return h ^ h >> np.uint64(32)
+
+
 class Hasher:
-    """64-bit hashes of words without case and outer punctuation, remembered per worker."""
+    """64-bit hashes of words without case and outer punctuation. Those of short words in Latin-1 or in scripts
+    without case are computed side by side, the others are remembered per worker."""
 
     def __init__(self):
         self.memo = Memo()
 
     def words(self, text: str) -> np.ndarray:
-        words = text.split()
+        return self.words_all([text])[0]
+
+    def words_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The hashes of each text's words."""
+        out, some, held = [], [], 0
+        for text in texts:
+            some.append(text if text.isascii() else " ".join(text.split()))
+            held += len(text)
+            if held >= HASHED_CHARS:
+                out += self._together(some)
+                some, held = [], 0
+        return out + self._together(some) if some else out
+
+    def _together(self, texts: list[str]) -> list[np.ndarray]:
+        raws = [t.encode() for t in texts]
+        joined = b"\n".join(raws) + b"\n" * 8  # words are read by eights
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
-        return np.fromiter(map(self.memo.__getitem__, words), np.uint64, len(words))
+        raw = np.frombuffer(joined, np.uint8)
+        edges = np.flatnonzero(np.diff(_SPACE[raw], prepend=True))
+        starts, ends = edges[::2].copy(), edges[1::2].copy()
+        text_ends = np.cumsum(np.fromiter(map(len, raws), np.int64, len(raws)) + 1)
+        counts = np.diff(starts.searchsorted(text_ends), prepend=0)
+        apart = self._strip(raw, starts, ends)
+        lower = _LOWER[raw]
+        if not joined.isascii():
+            apart[edges[::2].searchsorted(np.flatnonzero(_CASED[raw]), side="right") - 1] = True
+            after = np.flatnonzero(raw == 0xC3) + 1
+            capital = raw[after]
+            lower[after[(capital <= 0x9E) & (capital != 0x97)]] += 0x20
+        sizes = ends - starts
+        apart |= sizes >= 32
+        out = np.zeros(len(starts), np.uint64)
+        sizes[apart] = 0
+        with np.errstate(over="ignore"):
+            order = np.argsort(sizes.astype(np.uint8), kind="stable")
+            bounds = np.append(0, np.cumsum(np.bincount(sizes, minlength=32))).tolist()
+            for size in range(1, 32):
+                rows = order[bounds[size] : bounds[size + 1]]
+                if len(rows):
+                    out[rows] = _hashes(lower, starts[rows], size)
+        rest = order[: bounds[1]]
+        words = [joined[a:b].decode() for a, b in zip(edges[::2][rest].tolist(), edges[1::2][rest].tolist(), strict=True)]
+        out[rest] = np.fromiter(map(self.memo.__getitem__, words), np.uint64, len(words))
+        return np.split(out, np.cumsum(counts)[:-1])
+
+    @staticmethod
+    def _strip(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Moves the words' bounds over outer punctuation, unless they are nothing else; returns which words are
+        left over."""
+        left = np.zeros(len(starts), bool)
+        for bounds, step, last in ((starts, 1, 0), (ends, -1, -1)):
+            some = np.flatnonzero(_PUNCTUATION[raw[bounds + last]])
+            for _ in range(MOST_STRIPPED):
+                bounds[some] += step
+                some = some[starts[some] < ends[some]]
+                some = some[_PUNCTUATION[raw[bounds[some] + last]]]
+                if not len(some):
+                    break
+            left[some] = True
+        return left | (starts >= ends)
 
 
 def hasher() -> Hasher:
@@ -97,14 +200,25 @@ def hasher() -> Hasher:
 def minimizers(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and positions of a text's seeds. The last two bits of a hash tell which of ``SPANS`` it
     is of."""
-    n = len(words) - K + 1
-    if n < 1:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    grams, power = np.zeros(n, np.uint64), np.uint64(1)
-    seeds, places = [], []
+    seeds, _, places = minimizers_all([words])
+    return seeds, places
+
+
+def minimizers_all(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The seeds of several texts, kind by kind: hashes, numbers of texts and positions. The last two bits of a
+    hash tell which of ``SPANS`` it is of."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    begins = np.cumsum(sizes) - sizes
+    grams = np.concatenate(texts) if texts else np.zeros(0, np.uint64)
+    text = np.repeat(np.arange(len(texts)), sizes)
+    place = np.arange(len(grams)) - begins[text]
+    left = sizes[text] - place  # words from here to the text's end
+    power, words = np.uint64(1), grams
+    seeds, owners, places = [], [], []
     with np.errstate(over="ignore"):
+        grams = np.zeros(max(0, len(words) - K + 1), np.uint64)
         for j in range(K):
-            grams += words[j : j + n] * power
+            grams += words[j : j + len(grams)] * power
             power *= _BASE
         for kind, (span, window) in enumerate(zip(SPANS, WINDOWS, strict=True)):
             if kind:
@@ -116,10 +230,13 @@ def minimizers(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             mixed = grams ^ (grams >> np.uint64(29))
             mixed *= np.uint64(0xBF58476D1CE4E5B9)
             mixed ^= mixed >> np.uint64(32)
-            at = _least(mixed, window)
+            at = _least_of_each(mixed, window, begins, sizes - span + 1, text, place, left - span + 1)
             seeds.append(mixed[at] & ~np.uint64(3) | np.uint64(kind))
-            places.append(at)
-    return np.concatenate(seeds), np.concatenate(places)
+            owners.append(text[at])
+            places.append(place[at])
+    if not seeds:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(seeds), np.concatenate(owners), np.concatenate(places)
 
 
 def _sliding(values: np.ndarray, window: int, best: np.ufunc) -> np.ndarray:
@@ -131,19 +248,27 @@ def _sliding(values: np.ndarray, window: int, best: np.ufunc) -> np.ndarray:
     return best(values[: len(values) - window + size], values[window - size :]) if window > size else values
 
 
-def _least(grams: np.ndarray, window: int) -> np.ndarray:
-    """Positions of the smallest entry of every window, of equal ones the first."""
+def _least_of_each(grams: np.ndarray, window: int, begins: np.ndarray, counts: np.ndarray, text: np.ndarray, place: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Positions of the smallest entry of every window of a text's grams, of equal ones the first. ``begins`` and
+    ``counts`` are the texts' bounds; ``left`` is 1 for a text's last gram and less behind it."""
     n = len(grams)
-    if n <= window:
-        return np.array([int(grams.argmin())])
+    text, place, left = text[:n], place[:n], left[:n]
     if window == 1:
-        return np.arange(n)
-    low = np.uint64((1 << n.bit_length()) - 1)
-    grams = grams & ~low | np.arange(n, dtype=np.uint64)
+        return np.flatnonzero(left > 0)
+    short = np.flatnonzero((counts > 0) & (counts <= window))
+    alone = [a + int(grams[a : a + c].argmin()) for a, c in zip(begins[short].tolist(), counts[short].tolist(), strict=True)]
+    if n <= window:
+        return np.array(alone, np.int64)
+    low = np.array([(1 << max(0, c).bit_length()) - 1 for c in counts.tolist()], np.uint64)[text]
+    grams = grams & ~low | place.astype(np.uint64)
     # An entry is the smallest of some window if it is as small as the largest of its windows' minima.
-    minima = np.zeros(n + window - 1, grams.dtype)
-    minima[window - 1 : n] = _sliding(grams, window, np.minimum)
-    return np.flatnonzero(grams == _sliding(minima, window, np.maximum))
+    minima = np.zeros(n + window - 1, np.uint64)
+    minima[window - 1 : n] = _sliding(grams, window, np.minimum) * (left >= window)[: n - window + 1]
+    found = (grams == _sliding(minima, window, np.maximum)) & (left > 0)
+    if alone:
+        found &= (counts > window)[text]
+        found[alone] = True
+    return np.flatnonzero(found)
 
 
 def _by_seed(seed: np.ndarray) -> np.ndarray:
@@ -262,15 +387,17 @@ def _seeds(parts: int, groups: int):
     seeds go out sorted, packed by range of seeds."""
 
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, words_of = [], 0, hasher().words
+        held, size, words_all = [], 0, hasher().words_all
 
         def flush():
-            held.sort(key=lambda h: int(h[1][0]))
-            seed, doc, pos = (np.concatenate(c) for c in zip(*held, strict=True))
+            ids, (seed, doc, pos) = np.concatenate([h[0] for h in held]), (np.concatenate(c) for c in list(zip(*held, strict=True))[1:])
+            if np.any(ids[1:] < ids[:-1]):
+                order = np.argsort(doc, kind="stable")
+                seed, doc, pos = seed[order], doc[order], pos[order]
             order = _by_seed(seed)
             seed, doc, pos = seed[order], doc[order], pos[order]
             again = np.flatnonzero(_repeated(seed))
-            if any(a[1][0] == b[1][0] for a, b in itertools.pairwise(held)):  # rows that share a doc_id
+            if len(np.unique(ids)) < len(ids):  # rows that share a doc_id
                 rows = again[np.lexsort((pos[again], doc[again], seed[again]))]
                 doc[again], pos[again] = doc[rows], pos[rows]
             matches, first = _star(seed[again], doc[again], pos[again])
@@ -282,21 +409,32 @@ def _seeds(parts: int, groups: int):
             seed, doc, pos = seed[keep], doc[keep], pos[keep]
             yield _packed(SEEDS, seed * parts >> SEED_BITS, seed, doc, pos)
 
+        def learn(texts: list[tuple[int, str]]):
+            ids = np.array([d for d, _ in texts], np.int64)
+            seed, owner, at = minimizers_all(words_all([t for _, t in texts]))
+            # The leading bits, and the two that tell the kind.
+            short = (seed >> np.uint64(66 - SEED_BITS) << np.uint64(2) | seed & np.uint64(3)).astype(np.int64)
+            held.append((ids, short, ids[owner], at))
+            return len(at)
+
+        texts, chars = [], 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = text.as_py()
                 if doc_id is None or not text:
                     continue
-                seed, at = minimizers(words_of(text))
-                if len(at):
-                    # The leading bits, and the two that tell the kind.
-                    short = (seed >> np.uint64(66 - SEED_BITS) << np.uint64(2) | seed & np.uint64(3)).astype(np.int64)
-                    held.append((short, np.full(len(at), doc_id, np.int64), at))
-                    size += len(at)
+                texts.append((doc_id, text))
+                chars += len(text)
+                if chars >= HASHED_CHARS:
+                    size += learn(texts)
+                    texts, chars = [], 0
                 if size >= BLOCK_SEEDS:
                     yield from flush()
-                    held, size = [], 0
-        if held:
+                    held.clear()
+                    size = 0
+        if texts:
+            size += learn(texts)
+        if size:
             yield from flush()
 
     return seeds
@@ -475,18 +613,32 @@ SIDE_BY_SIDE = 256
 Words = list[np.ndarray]
 
 
+def _sizes(rows: Words) -> np.ndarray:
+    return np.fromiter(map(len, rows), np.int64, len(rows))
+
+
 def _filled(rows: Words, wide: int, pad: int) -> np.ndarray:
-    out = np.zeros((len(rows), wide), np.uint32)
-    for i, row in enumerate(rows):
-        out[i, : len(row)] = row
-    np.maximum(out, 2, out=out)
-    out[np.arange(wide) >= np.array([len(row) for row in rows])[:, None]] = pad
+    out = np.full((len(rows), wide), pad, np.uint32)
+    out[np.arange(wide) < _sizes(rows)[:, None]] = np.maximum(np.concatenate(rows), 2)
+    return out
+
+
+def _equal_beginnings(a: Words, b: Words) -> np.ndarray:
+    """How many words at the beginnings of ``a[i]`` and ``b[i]`` are equal."""
+    out = np.minimum(_sizes(a), _sizes(b))
+    order = np.argsort(out)
+    order = order[out[order] > 0]
+    for at in range(0, len(order), SIDE_BY_SIDE):
+        rows = order[at : at + SIDE_BY_SIDE]
+        n = int(out[rows[-1]])
+        differ = _filled([a[i][:n] for i in rows], n + 1, _PAD_A) != _filled([b[i][:n] for i in rows], n + 1, _PAD_B)
+        out[rows] = differ.argmax(axis=1)
     return out
 
 
 def _side_by_side(a: Words, b: Words) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Rows of similar length as matrices: their numbers, ``a``, ``b``. Rows with an empty side are left out."""
-    sizes = np.array([(len(x), len(y)) for x, y in zip(a, b, strict=True)]).reshape(-1, 2)
+    sizes = np.stack([_sizes(a), _sizes(b)], axis=1)
     order = np.lexsort((sizes.sum(axis=1), sizes.max(axis=1)))
     order = order[sizes[order].min(axis=1) > 0]
     for at in range(0, len(order), SIDE_BY_SIDE):
@@ -497,14 +649,15 @@ def _side_by_side(a: Words, b: Words) -> Iterator[tuple[np.ndarray, np.ndarray,
 
 def lcs_all(a: Words, b: Words) -> np.ndarray:
     """Lengths of the longest common subsequences of ``a[i]`` and ``b[i]``."""
-    out = np.zeros(len(a), np.int64)
-    for rows, x, y in _side_by_side(a, b):
+    out = _equal_beginnings(a, b)
+    runs = out.tolist()
+    for rows, x, y in _side_by_side([x[r:] for x, r in zip(a, runs, strict=True)], [y[r:] for y, r in zip(b, runs, strict=True)]):
         best = np.zeros((len(rows), y.shape[1] + 1), np.int16 if y.shape[1] < 1 << 15 else np.int32)
         for i in range(x.shape[1]):
             step = best.copy()
             np.maximum(best[:, 1:], best[:, :-1] + (y == x[:, i : i + 1]), out=step[:, 1:])
             best = np.maximum.accumulate(step, axis=1)
-        out[rows] = best[:, -1]
+        out[rows] += best[:, -1]
     return out
 
 
@@ -514,17 +667,33 @@ def lcs(a: np.ndarray, b: np.ndarray) -> int:
     return int(lcs_all([codes[: len(a)]], [codes[len(a) :]])[0])
 
 
+def _may_gain(x: np.ndarray, y: np.ndarray, lost: int) -> np.ndarray:
+    """Rows whose beginnings may have an alignment with a sum above 0. One that ends after i words of a side
+    agrees in no more of them than occur on the other side at all, and loses for each of the rest."""
+    x, y = np.ascontiguousarray(x.T), np.ascontiguousarray(y.T)
+    shared_x, shared_y = np.zeros(x.shape, bool), np.zeros(y.shape, bool)
+    for i in range(len(x)):
+        hit = y == x[i]
+        np.logical_or.reduce(hit, axis=0, out=shared_x[i])
+        shared_y |= hit
+    ok = np.ones(x.shape[1], bool)
+    for shared in (shared_x, shared_y):
+        ok &= np.where(shared, 2, -lost).cumsum(axis=0).max(axis=0) > 0
+    return ok
+
+
 def reach_all(a: Words, b: Words, loss: float = 1.5) -> np.ndarray:
     """How many words of either side to add at an end, for each pair: the alignment of the two
     beginnings with the best sum of +1 for each agreeing word and -``loss`` for each other step.
     Equal words at the very beginning are added first."""
-    out = np.zeros((len(a), 2), np.int64)
-    for k, (x, y) in enumerate(zip(a, b, strict=True)):
-        n = min(len(x), len(y))
-        equal = x[:n] == y[:n]
-        out[k] = n if equal.all() else int(equal.argmin())
+    out = np.repeat(_equal_beginnings(a, b)[:, None], 2, axis=1)
     runs = out[:, 0].tolist()
-    for rows, x, y in _side_by_side([x[r:] for x, r in zip(a, runs, strict=True)], [y[r:] for y, r in zip(b, runs, strict=True)]):
+    a, b = [x[r:] for x, r in zip(a, runs, strict=True)], [y[r:] for y, r in zip(b, runs, strict=True)]
+    # Most ends go apart at once: only those that may gain are aligned.
+    some = [rows[_may_gain(x, y, int(2 * loss))] for rows, x, y in _side_by_side(a, b)]
+    some = np.concatenate(some) if some else np.zeros(0, np.int64)
+    for rows, x, y in _side_by_side([a[i] for i in some], [b[i] for i in some]):
+        rows = some[rows]
         # Sums are doubled, so that they are whole numbers.
         lost, drop = np.int16(2 * loss), (2 * loss * np.arange(y.shape[1] + 1)).astype(np.int16)
         score = np.repeat(-drop[None], len(rows), axis=0)
@@ -556,17 +725,20 @@ Links = list[tuple[int, int, int, int]]
 Task = tuple[np.ndarray, np.ndarray, int, int, Links]
 
 
-def align_all(tasks: list[Task], loss: float = 1.5) -> list[tuple[int, int, int, int, int]]:
-    """Align words a (from position a0 of its text) and b (from b0) along a chain, for each (a, b,
-    a0, b0, chain). Returns x0, x1, y0, y1 and the number of agreeing words of each."""
-    matched = np.zeros(len(tasks), np.int64)
+#: What tasks have in common for every loss: agreeing words between the chain's ends, where it ends,
+#: and the sides of its left and its right end.
+Cores = tuple[np.ndarray, list[tuple[int, int]], tuple[tuple[Words, Words], tuple[Words, Words]]]
+
+
+def _cores(tasks: list[Task]) -> Cores:
+    matched, until = np.zeros(len(tasks), np.int64), []
     owner, gap_a, gap_b = [], [], []
-    ends = [[], []], [[], []]  # sides a and b of the left and the right ends
+    (left_a, left_b), (right_a, right_b) = ends = ([], []), ([], [])
     for t, (a, b, a0, b0, links) in enumerate(tasks):
         x1, y1 = links[0][0], links[0][2]
-        i, j = x1 - a0, y1 - b0
-        ends[0][0].append(a[max(0, i - MARGIN) : i][::-1])
-        ends[0][1].append(b[max(0, j - MARGIN) : j][::-1])
+        i, j, agreeing = x1 - a0, y1 - b0, 0
+        left_a.append(a[max(0, i - MARGIN) : i][::-1])
+        left_b.append(b[max(0, j - MARGIN) : j][::-1])
         for sx, ex, sy, _ in links:
             ex = ex + K - 1
             skip = max(0, x1 - sx, y1 - sy)  # words that the segment before has covered
@@ -578,25 +750,36 @@ def align_all(tasks: list[Task], loss: float = 1.5) -> list[tuple[int, int, int,
                 gap_a.append(a[x1 - a0 : sx - a0])
                 gap_b.append(b[y1 - b0 : sy - b0])
             n = ex - sx
-            matched[t] += int((a[sx - a0 : ex - a0] == b[sy - b0 : sy - b0 + n]).sum())
+            agreeing += np.count_nonzero(a[sx - a0 : ex - a0] == b[sy - b0 : sy - b0 + n])
             x1, y1 = ex, sy + n
         i, j = x1 - a0, y1 - b0
-        ends[1][0].append(a[i : i + MARGIN])
-        ends[1][1].append(b[j : j + MARGIN])
-        tasks[t] = a, b, x1, y1, links
+        right_a.append(a[i : i + MARGIN])
+        right_b.append(b[j : j + MARGIN])
+        matched[t] = agreeing
+        until.append((x1, y1))
     np.add.at(matched, np.array(owner, np.int64), lcs_all(gap_a, gap_b))
-    added = []
+    return matched, until, ends
+
+
+def _extended(tasks: list[Task], cores: Cores, loss: float) -> list[tuple[int, int, int, int, int]]:
+    matched, until, ends = cores
+    matched, added = matched.copy(), []
     for side_a, side_b in ends:
         reach = reach_all(side_a, side_b, loss)
-        added.append(reach)
-        matched += lcs_all([x[:n] for x, n in zip(side_a, reach[:, 0], strict=True)], [y[:n] for y, n in zip(side_b, reach[:, 1], strict=True)])
-    left, right = added
+        added.append(reach.tolist())
+        matched += lcs_all([x[:n] for x, (n, _) in zip(side_a, added[-1], strict=True)], [y[:n] for y, (_, n) in zip(side_b, added[-1], strict=True)])
     return [
-        (links[0][0] - int(left[t, 0]), x1 + int(right[t, 0]), links[0][2] - int(left[t, 1]), y1 + int(right[t, 1]), int(matched[t]))
-        for t, (_, _, x1, y1, links) in enumerate(tasks)
+        (task[4][0][0] - left_x, x1 + right_x, task[4][0][2] - left_y, y1 + right_y, m)
+        for task, (x1, y1), (left_x, left_y), (right_x, right_y), m in zip(tasks, until, *added, matched.tolist(), strict=True)
     ]
 
 
+def align_all(tasks: list[Task], loss: float = 1.5) -> list[tuple[int, int, int, int, int]]:
+    """Align words a (from position a0 of its text) and b (from b0) along a chain, for each (a, b,
+    a0, b0, chain). Returns x0, x1, y0, y1 and the number of agreeing words of each."""
+    return _extended(tasks, _cores(tasks), loss)
+
+
 SPAN = "later long, earlier long, x0 int, y0 int, role int, at int, words binary, segments binary"
 _SPAN = pa.schema([("later", pa.int64()), ("earlier", pa.int64()), *[(c, pa.int32()) for c in ("x0", "y0", "role", "at")],
                    ("words", pa.binary()), ("segments", pa.binary())])
@@ -605,21 +788,25 @@ _SPAN = pa.schema([("later", pa.int64()), ("earlier", pa.int64()), *[(c, pa.int3
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hashed words of the asked spans. Rows are sorted: a document's text (texts, if rows share the
     id), then what is asked of it, so that its words are hashed once and one document is held."""
-    words_of = hasher().words
+    words_all = hasher().words_all
     key, texts, hashed = None, [], None
     for batch in batches:
         rows = []
         text_column = batch.column(batch.schema.get_field_index("text"))
-        for i, r in enumerate(batch.drop_columns(["text"]).to_pylist()):
+        plain = batch.drop_columns(["text"]).to_pylist()
+        # Texts that are asked for in this batch are hashed together.
+        asked = [i for i, (r, after) in enumerate(itertools.pairwise(plain)) if r["role"] < 0 <= after["role"]]
+        words_by_row = dict(zip(asked, words_all([text_column[i].as_py() or "" for i in asked]), strict=True))
+        for i, r in enumerate(plain):
             if (r["doc_id"], r["salt"]) != key:
                 key, texts, hashed = (r["doc_id"], r["salt"]), [], None
             if r["role"] < 0:
                 text = text_column[i].as_py()
-                if text not in texts:
-                    texts.append(text)
+                if text not in [t for t, _ in texts]:
+                    texts.append((text, words_by_row.get(i)))
                 continue
             if hashed is None:
-                hashed = [words_of(t or "").astype(np.uint32) for t in texts]
+                hashed = [(words_all([text or ""])[0] if words is None else words).astype(np.uint32) for text, words in texts]
             at = max(0, r["a"] - MARGIN)
             rows.extend(
                 (r["later"], r["earlier"], r["x0"], r["y0"], r["role"], at, words[at : r["b"] + MARGIN].tobytes(), r["segments"])
@@ -631,16 +818,42 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 PASSAGE = "doc_id long, start int, end int, source_id long, source_start int, source_end int, matched int, identity double"
 
 
-def _may_hold_a_passage(a: np.ndarray, b: np.ndarray) -> bool:
-    """Are there ``MIN_WORDS`` words in a row of which enough occur in ``b`` at all?"""
-    if len(a) < MIN_WORDS or not len(b):
-        return False
-    others = np.sort(b)
-    at = others.searchsorted(a)
+#: Words of pairs that are looked at together for what they share.
+SHARED_WORDS = 1 << 15
+
+
+def _may_hold_passages(pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """For each (a, b): are there ``MIN_WORDS`` words in a row of a of which enough occur in b at all?"""
+    out, some, held = np.zeros(len(pairs), bool), [], 0
+    for i, (a, b) in enumerate(pairs):
+        if len(a) < MIN_WORDS or not len(b):
+            continue
+        some.append(i)
+        held += len(a) + len(b)
+        if held >= SHARED_WORDS:
+            out[some] = _share_enough([pairs[k] for k in some])
+            some, held = [], 0
+    if some:
+        out[some] = _share_enough([pairs[k] for k in some])
+    return out
+
+
+def _share_enough(pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    sides = []
+    for side in zip(*pairs, strict=True):
+        pair = np.repeat(np.arange(len(side), dtype=np.uint64), _sizes(side))
+        sides.append((pair, pair << np.uint64(32) | np.concatenate(side)))
+    (pair, words), (_, others) = sides
+    others.sort()
+    at = others.searchsorted(words)
     at[at == len(others)] = 0
-    shared = np.zeros(len(a) + 1, np.int64)
-    np.cumsum(others[at] == a, out=shared[1:])
-    return int((shared[MIN_WORDS:] - shared[:-MIN_WORDS]).max()) >= LEAST_SHARED
+    shared = np.zeros(len(words) + 1, np.int64)
+    np.cumsum(others[at] == words, out=shared[1:])
+    enough = shared[MIN_WORDS:] - shared[:-MIN_WORDS] >= LEAST_SHARED
+    enough &= pair[MIN_WORDS - 1 :] == pair[: len(enough)]
+    out = np.zeros(len(pairs), bool)
+    out[pair[: len(enough)][enough].astype(np.int64)] = True
+    return out
 
 
 def _is_passage(x0: int, x1: int, y0: int, y1: int, matched: int) -> bool:
@@ -651,9 +864,11 @@ def _try_chains(tasks: list[Task]) -> list[list[tuple[int, int, int, int, int]]]
     """Each chain's passages. Changes crowded near an end cut an alignment short; a lower loss reaches
     beyond them. A chain that makes none as a whole is tried by its segments."""
     out: list[list] = [[] for _ in tasks]
+    matched, until, ends = _cores(tasks)
     left = list(range(len(tasks)))
     for loss in (1.5, LEAST_LOSS):
-        for t, got in zip(left, align_all([tasks[t] for t in left], loss), strict=True):
+        cores = matched[left], [until[t] for t in left], tuple(tuple([side[t] for t in left] for side in end) for end in ends)
+        for t, got in zip(left, _extended([tasks[t] for t in left], cores, loss), strict=True):
             if _is_passage(*got):
                 out[t].append(got)
         left = [t for t in left if not out[t]]
@@ -673,30 +888,51 @@ def align_clusters(items: list[Cluster]) -> list[list[tuple[int, int, int, int,
     the others. A chain whose words lie in a passage of a better one adds nothing to what repeats,
     and is passed over."""
     found: list[list] = [[] for _ in items]
+    covers = [Cover() for _ in items]
     waiting: list[list[tuple[int, Task]]] = [[], []]
+    may_hold = _may_hold_passages([item[:2] for item in items]).tolist()
     for c, (a, b, a_at, b_at, segments) in enumerate(items):
-        if not _may_hold_a_passage(a, b):
+        if not may_hold[c]:
             continue
-        ranks = segments[:, 0].tolist()
-        for rank in dict.fromkeys(ranks):
-            links = [tuple(s[1:]) for s in segments[ranks.index(rank) : len(ranks) - ranks[::-1].index(rank)].tolist()]
-            waiting[rank != ranks[0]].append((c, (a, b, a_at, b_at, links)))
+        for k, (_, links) in enumerate(itertools.groupby(segments.tolist(), lambda s: s[0])):
+            waiting[k > 0].append((c, (a, b, a_at, b_at, [tuple(s[1:]) for s in links])))
     for chains in waiting:
-        tasks = []
+        tasks, parts = [], []
         for c, (a, b, a_at, b_at, links) in chains:
             x0, x1, y0, y1 = links[0][0], links[-1][1] + K - 1, links[0][2], links[-1][3] + K - 1
+            if covers[c].holds(x0, x1):
+                continue
             i, j = max(0, x0 - MARGIN - a_at), max(0, y0 - MARGIN - b_at)
             near = a[i : x1 + MARGIN - a_at], b[j : y1 + MARGIN - b_at]
-            if not _covered(found[c], x0, x1) and (len(near[0]) + len(near[1]) == len(a) + len(b) or _may_hold_a_passage(*near)):
-                tasks.append((c, (*near, a_at + i, b_at + j, links)))
+            if len(near[0]) + len(near[1]) < len(a) + len(b):
+                parts.append(len(tasks))
+            tasks.append((c, (*near, a_at + i, b_at + j, links)))
+        none = {k for k, may in zip(parts, _may_hold_passages([tasks[k][1][:2] for k in parts]).tolist(), strict=True) if not may}
+        tasks = [t for k, t in enumerate(tasks) if k not in none]
         for (c, task), got in zip(tasks, _try_chains([t for _, t in tasks]), strict=True):
-            if not _covered(found[c], task[4][0][0], task[4][-1][1] + K - 1):
+            if got and not covers[c].holds(task[4][0][0], task[4][-1][1] + K - 1):
                 found[c].extend(got)
+                for x0, x1, *_ in got:
+                    covers[c].add(x0, x1)
     return found
 
 
-def _covered(passages: list[tuple[int, int, int, int, int]], x0: int, x1: int) -> bool:
-    return any(p[0] <= x0 and x1 <= p[1] for p in passages)
+class Cover:
+    """Ranges of which none lies in another, in order."""
+
+    def __init__(self):
+        self.starts, self.ends = [], []
+
+    def holds(self, start: int, end: int) -> bool:
+        """Whether [start, end) lies in one of the ranges added."""
+        at = bisect.bisect_right(self.starts, start)
+        return at > 0 and end <= self.ends[at - 1]
+
+    def add(self, start: int, end: int) -> None:
+        if self.holds(start, end):
+            return
+        first, last = bisect.bisect_left(self.starts, start), bisect.bisect_right(self.ends, end)
+        self.starts[first:last], self.ends[first:last] = [start], [end]
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
