@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Callable
 
 import numpy as np
 
@@ -47,6 +48,22 @@ def _has_space_run(text: str) -> bool:
     return SPACE_RUN.search(text) is not None
 
 
+class Memo(dict):
+    """Ids of the chunks met so far. Plain words are added as they are asked for; other new chunks
+    are put down in ``waiting``, with no ids yet."""
+
+    def __init__(self, plain: Callable[[str], bytes | None]):
+        self.plain, self.waiting = plain, []
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.plain(chunk)
+        if ids is None:
+            self.waiting.append(chunk)
+            return b""
+        self[chunk] = ids
+        return ids
+
+
 class Encoder:
     """Encodes texts with a file of the ``tokenizers`` library; the ids are exactly those of
     ``Tokenizer.encode(text, add_special_tokens=False)``.
@@ -61,7 +78,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.joined = joined
-        self.memo: dict[str, bytes] = {}
+        self.memo = Memo(self._plain)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model, self.letters = self.tokenizer.model, byte_letters()
         self.mark = "\n" if joined else " \x01 "
@@ -120,6 +137,21 @@ class Encoder:
         for chunk, stem, tail in ends:
             memo[chunk] = memo[stem] + memo[tail]
 
+    def _plain(self, chunk: str) -> bytes | None:
+        """Ids of a plain Latin word and the points after it."""
+        if not chunk:
+            return b""
+        if chunk[-1] in POINTS:
+            stem = chunk.rstrip(POINTS)
+            if stem and stem[-1].isalpha():
+                before = len(self.memo.waiting)
+                ids = self.memo[stem] + self.memo[chunk[len(stem) :]]
+                if len(self.memo.waiting) == before:
+                    return ids
+                del self.memo.waiting[before:]
+            return None
+        return self._word(chunk)
+
     def _word(self, chunk: str) -> bytes | None:
         """A plain Latin word is one pre-token, which the tokenizer's model takes as it is."""
         lead = self.joined and chunk[0] == " "
@@ -155,21 +187,17 @@ class Encoder:
             if parts is None:
                 raw = self._whole(text)
             else:
-                try:
+                if len(memo) + len(parts) > MEMO_CHUNKS:
+                    memo.clear()
+                raw = b"".join(map(memo.__getitem__, parts))
+                if memo.waiting:
+                    new = set(memo.waiting)
+                    memo.waiting.clear()
+                    self._learn(new)
                     raw = b"".join(map(memo.__getitem__, parts))
-                except KeyError:
-                    raw = self._new(parts)
             out.append(np.frombuffer(raw, "<u4"))
         return out
 
-    def _new(self, parts: list[str]) -> bytes:
-        new = set(parts).difference(self.memo)
-        if len(self.memo) + len(new) > MEMO_CHUNKS:
-            self.memo.clear()
-            new = set(parts)
-        self._learn(new)
-        return b"".join(map(self.memo.__getitem__, parts))
-
 
 def encoder(path: str, joined: bool) -> Encoder:
     """The worker's encoder for a file, kept from task to task."""
