@@ -65,3 +65,24 @@ def test_counting_in_parts_and_repeated_letters(monkeypatch):
             else:
                 i += 1
         assert toxicity._repeated(token) == (len(doubled) >= 3 or 3 in doubled), token
+
+
+def test_grams_are_hashed_once(monkeypatch):
+    table = toxicity.count_grams(Counter({"fool": 9, "idiot": 5, "cool": 2, "état": 1}))
+    asked = []
+    plain = toxicity.gram
+    monkeypatch.setattr(toxicity, "gram", lambda text: asked.append(text) or plain(text))
+    tokens = ["1d10t", "c00l", "f@ol", "id!0t", "fo0l", "cooool", "ét@t"]
+    model = toxicity.CharacterModel(table)
+    words = [toxicity.decode(t, model) for t in tokens]
+    assert len(asked) == len(set(asked)) > 100
+    monkeypatch.setattr(toxicity, "MEMO_WORDS", 1)
+    assert [toxicity.decode(t, toxicity.CharacterModel(table)) for t in tokens] == words
+    half = toxicity.TABLE // 2
+    for context, c in [("<<<<", "f"), ("<foo", "l"), ("<éta", "t"), ("zzzz", "q")]:
+        p = 1e-4
+        for n in range(1, toxicity.ORDER + 1):
+            own = (context + c)[-n:]
+            total = int(table[(plain(own[:-1]) if n > 1 else 0) % half + half])
+            p = (min(int(table[plain(own) % half]), total) + 4 * p) / (total + 4)
+        assert abs(model.log_chance(context, c) - np.log(p)) < 1e-12

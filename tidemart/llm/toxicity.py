@@ -159,23 +159,33 @@ def character_counts(docs: DataFrame) -> np.ndarray:
     return table
 
 
+class Entries(dict):
+    """The table's entries of grams met so far; contexts and short grams come again with most characters."""
+
+    def __missing__(self, text: str) -> int:
+        if len(self) > MEMO_WORDS:
+            self.clear()
+        self[text] = entry = gram(text) % (TABLE // 2)
+        return entry
+
+
 class CharacterModel:
     """Log-probabilities of characters after up to four others."""
 
     def __init__(self, table: np.ndarray):
-        self.table, self.memo = table.tolist(), {}
+        self.table, self.memo, self.entries = table.tolist(), {}, Entries()
 
     def log_chance(self, context: str, c: str) -> float:
         key = (context, c)
         if key not in self.memo:
             if len(self.memo) > MEMO_WORDS:
                 self.memo.clear()
-            half, p = TABLE // 2, 1e-4
+            half, p, table, entries = TABLE // 2, 1e-4, self.table, self.entries
             text = context + c
             for n in range(1, ORDER + 1):
                 own = text[len(text) - n :]
-                seen = self.table[gram(own) % half]
-                total = self.table[(gram(own[:-1]) if n > 1 else 0) % half + half]
+                seen = table[entries[own]]
+                total = table[(entries[own[:-1]] if n > 1 else 0) + half]
                 p = (min(seen, total) + 4 * p) / (total + 4)
             self.memo[key] = math.log(p)
         return self.memo[key]
@@ -242,7 +252,7 @@ def features(word: str) -> list[int]:
     """The buckets of the word in a frame and of its framed beginnings."""
     framed = f"<{word}>".encode("utf-8", "surrogatepass")
     if len(framed) == len(word) + 2:  # one byte a character
-        names = [framed, *[framed[: n + 1] for n in BEGINNINGS if len(word) > n]]
+        names = [framed, *[framed[: n + 1] for n in BEGINNINGS[: max(0, len(word) - BEGINNINGS[0])]]]
     else:
         names = [framed, *[f"<{word[:n]}".encode("utf-8", "surrogatepass") for n in BEGINNINGS if len(word) > n]]
     return [zlib.crc32(x) % BUCKETS for x in names]
@@ -253,12 +263,12 @@ class Extractor:
 
     def __init__(self, table: np.ndarray, wanted: np.ndarray | None = None):
         self.model, self.memo, self.without = CharacterModel(table), {}, set()
-        self.wanted = None if wanted is None else set(np.flatnonzero(wanted).tolist())
+        self.wanted = np.ones(BUCKETS, bool).tobytes() if wanted is None else (wanted != 0).tobytes()
 
     def _token(self, token: str, spaced: bool = False) -> tuple[int, ...]:
         words = decode(token[::2], self.model, spaced=True) if spaced else token_words(token, self.model)
-        found = set(features(words[0])) if len(words) == 1 else {f for w in words for f in features(w)}
-        return tuple(found if self.wanted is None else found & self.wanted)
+        wanted = self.wanted
+        return tuple({f for w in words for f in features(w) if wanted[f]}) if words else ()
 
     def _new(self, token: str) -> tuple[int, ...]:
         word = token.rstrip(AROUND)
