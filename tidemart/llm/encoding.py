@@ -3,17 +3,20 @@
 A tokenizer that splits text before it merges never merges across the split, so the ids of a
 text are the ids of its chunks, joined. Chunks repeat, texts do not: looking chunks up costs a
 fraction of encoding them. Only chunks not met before go to the tokenizer, many at a time with a
-separator between them.
+separator between them. A column is cut into chunks as bytes, and each distinct one looked up once.
 """
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from tidemart.llm.common import kept
 
@@ -25,6 +28,21 @@ CALL_CHARS = 20_000
 INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 #: Texts in which splitting at every space and line break could part a run of white space.
 SPACE_RUN = re.compile(r"\s\s|\s\Z|\x00")
+#: Texts of a column that are looked at one by one (RE2): two spaces or line breaks side by side or one
+#: at the end, and any other white space.
+ODD = (
+    r"[ \n][ \n]|[ \n]\z|[\x00\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
+#: Kinds of bytes in a column's texts. No tokenizer takes a letter together with a mark after it.
+LETTER, MARK, LINE, SPACE = 1, 2, 3, 4
+KIND = np.zeros(256, np.uint8)
+KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = LETTER
+KIND[list(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")] = MARK
+KIND[10], KIND[32] = LINE, SPACE
+#: A plain Latin word of a column (RE2), see ``Encoder._word``.
+PLAIN = r"\A ?[A-Za-z\x{aa}\x{b5}\x{ba}\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]+\z"
+#: Bytes of a column's texts that are cut into chunks together (at least one text). A bound on memory.
+COLUMN_BYTES = 1 << 22
 #: Between a letter and one of these every tokenizer splits.
 POINTS = ".,;:!?"
 #: Python's split() takes these as white space, tokenizers do not.
@@ -198,6 +216,86 @@ class Encoder:
             out.append(np.frombuffer(raw, "<u4"))
         return out
 
+    def _ids(self, chunks: list[str]) -> list[bytes]:
+        """Ids of distinct chunks. What they share with a full memo stays in it."""
+        memo = self.memo
+        raw = list(map(memo.get, chunks))
+        new = [i for i, ids in enumerate(raw) if ids is None]
+        if len(memo) + len(new) > MEMO_CHUNKS:
+            memo.clear()
+            memo.update((c, ids) for c, ids in zip(chunks, raw, strict=True) if ids is not None)
+        if new:
+            self._learn_many([chunks[i] for i in new])
+        for i in new:
+            raw[i] = memo[chunks[i]]
+        return raw
+
+    def _learn_many(self, chunks: list[str]) -> None:
+        """Encode a column's new chunks, plain Latin words by themselves."""
+        plain = pc.match_substring_regex(pa.array(chunks, pa.large_string()), PLAIN).to_numpy(zero_copy_only=False).tolist()
+        self._learn({c for c, p in zip(chunks, plain, strict=True) if not p})
+        words = [c for c, p in zip(chunks, plain, strict=True) if p]
+        shown = codecs.charmap_decode("\n".join(words).encode(), "strict", "".join(self.letters))[0]
+        ids: list[int] = []
+        ends = []
+        for word in shown.split(self.letters[10]) if words else []:
+            ids += [t.id for t in self.model.tokenize(word)]
+            ends.append(len(ids))
+        raw, at = np.array(ids, "<u4").tobytes(), 0
+        for word, end in zip(words, ends, strict=True):
+            self.memo[word] = raw[4 * at : 4 * end]
+            at = end
+
+    def encode_column(self, texts: pa.Array, end_id: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For one slice of the column after another: the ids of its texts, each followed by ``end_id``, and
+        how many each text has with it. Null counts as empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        a = 0
+        while a < len(texts):
+            b = int(np.searchsorted(sizes, (sizes[a - 1] if a else 0) + COLUMN_BYTES, side="right"))
+            b = max(a + 1, b)
+            yield self._encode_slice(texts.slice(a, b - a), end_id)
+            a = b
+
+    def _encode_slice(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        odd = pc.match_substring_regex(texts, ODD) if self.joined else pa.array([True] * len(texts))
+        for special in self.special:
+            odd = pc.or_(odd, pc.match_substring(texts, special))
+        apart = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        alone = [x.tobytes() for x in self.encode(texts.take(pa.array(apart)).to_pylist())]
+        texts = pc.if_else(odd, "", texts)
+
+        # A chunk starts at every space, line break and text, after every line break and at marks after a letter.
+        bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = texts.buffers()[2] if bounds[-1] else pa.py_buffer(b"")
+        body = np.frombuffer(data, np.uint8)[: bounds[-1]]
+        kind = KIND[body]
+        letter = kind == LETTER  # or the second byte of one from U+00C0 to U+00FF, but for the signs of multiplying and dividing
+        letter[1:] |= (body[:-1] == 0xC3) & (body[1:] != 0x97) & (body[1:] != 0xB7)
+        cut = kind >= LINE
+        cut[1:] |= (kind[:-1] == LINE) | ((kind[1:] == MARK) & letter[:-1])
+        cut[bounds[:-1][np.diff(bounds) > 0]] = True
+        at = np.append(np.flatnonzero(cut), bounds[-1])
+        words = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at), data).dictionary_encode()
+
+        # The chunks' numbers text by text; then, by numbers of their own, a text looked at alone and the end.
+        raw = self._ids(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        last = np.searchsorted(at, bounds[1:])
+        end = len(raw)
+        raw += [np.array([end_id], "<u4").tobytes(), *alone]
+        place = np.append(last[apart], last)
+        order = np.argsort(np.append(apart, np.arange(len(texts))), kind="stable")
+        extra = np.append(np.arange(end + 1, len(raw)), np.full(len(texts), end))
+        numbers = np.insert(words.indices.to_numpy().astype(np.int64), place[order], extra[order])
+
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        counts = sizes[numbers]
+        ends = np.cumsum(counts)
+        shift = (np.cumsum(sizes) - sizes)[numbers] - (ends - counts)
+        ids = np.frombuffer(b"".join(raw), "<u4")[np.repeat(shift, counts) + np.arange(ends[-1])]
+        return ids, np.diff(ends[numbers == end], prepend=0)
+
 
 def encoder(path: str, joined: bool) -> Encoder:
     """The worker's encoder for a file, kept from task to task."""

@@ -63,7 +63,7 @@ class WaveletMatrix:
             counts = np.bitwise_count(np.pad(packed, (0, pad)).reshape(-1, BLOCK // 8)).sum(1, dtype=np.int64)
             planes.append(packed)
             ranks.append(np.concatenate([[0], np.cumsum(counts)]).astype("<u4"))
-            rest = np.concatenate([rest[~ones], rest[ones]])
+            rest = np.concatenate([rest.compress(~ones), rest.compress(ones)])
             zeros.append(int(len(ones) - counts.sum()))
         return cls(len(ids), planes, ranks, zeros)
 
@@ -152,11 +152,11 @@ class WaveletMatrix:
         return ids.astype("<u4")
 
 
-def _shard(part: int, number: int, start: int, doc_ids: list, parts: list[np.ndarray], bits: int) -> pa.RecordBatch:
+def _shard(part: int, number: int, start: int, doc_ids: list, lengths: list[np.ndarray], parts: list[np.ndarray], bits: int) -> pa.RecordBatch:
     matrix = WaveletMatrix.build(np.concatenate(parts), bits)
     return pa.RecordBatch.from_pylist([{
         "part": part, "shard": number, "start": start, "n_tokens": matrix.n, "doc_ids": doc_ids,
-        "lengths": [len(p) for p in parts], "planes": [p.tobytes() for p in matrix.planes],
+        "lengths": np.concatenate(lengths), "planes": [p.tobytes() for p in matrix.planes],
         "ranks": [r.tobytes() for r in matrix.ranks], "zeros": matrix.zeros,
     }], schema=SHARD)
 
@@ -175,19 +175,25 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
         enc = encoder(tokenizer, joined=True)
         bits = max(1, int(max(end_id, enc.tokenizer.get_vocab_size() - 1)).bit_length())
         part, number, start, held = TaskContext.get().partitionId(), 0, 0, 0
-        doc_ids, parts = [], []
-        end = np.array([end_id], "<u4")
+        doc_ids, lengths, parts = [], [], []
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.concatenate([enc.encode([text.as_py()])[0], end])
-                doc_ids.append(doc_id)
-                parts.append(ids)
-                held += len(ids)
-                if held >= shard_tokens:
-                    yield _shard(part, number, start, doc_ids, parts, bits)
-                    number, start, held, doc_ids, parts = number + 1, start + held, 0, [], []
+            names, a = batch.column(0).to_pylist(), 0
+            for ids, sizes in enc.encode_column(batch.column(1), end_id):
+                ends, b, at = np.cumsum(sizes), 0, 0
+                while b < len(ends):  # as far as the document that fills the shard
+                    c = int(np.searchsorted(ends, at + shard_tokens - held)) + 1
+                    to, full = int(ends[min(c, len(ends)) - 1]), c <= len(ends)
+                    doc_ids += names[a + b : a + min(c, len(ends))]
+                    lengths.append(sizes[b:c])
+                    parts.append(ids[at:to])
+                    held += to - at
+                    b, at = c, to
+                    if full:
+                        yield _shard(part, number, start, doc_ids, lengths, parts, bits)
+                        number, start, held, doc_ids, lengths, parts = number + 1, start + held, 0, [], [], []
+                a += len(ends)
         if parts:
-            yield _shard(part, number, start, doc_ids, parts, bits)
+            yield _shard(part, number, start, doc_ids, lengths, parts, bits)
 
     ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(F.col("doc_id")).sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(build, SHARD_DDL).write.option("compression", "zstd").parquet(path)
